@@ -10,10 +10,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.operators import area
-from shoplens.params import TaskParams
+from shoplens.operators import ads, area, category, pageflow, sampling, sessions
+from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
+from shoplens.schema import AD_BLACKLIST
 from shoplens.sources.actions import scan_actions, scan_clicks
+from shoplens.sources.adlog import parse_ad_log
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -76,3 +78,244 @@ def q_area_top3(spark, sf_dir):
 def q_area_top3_sql(spark, sf_dir):
     t = Tables(spark, sf_dir)
     return area.area_top3_sql(spark, scan_clicks(t.actions, AREA_PARAMS), t.cities, t.products)
+
+
+# ---------------------------------------------------------------- sessions
+SESSION_PARAMS = DEFAULT_SESSION_PARAMS
+
+
+def _summary(t: Tables) -> DataFrame:
+    return sessions.session_summary(scan_actions(t.actions, SESSION_PARAMS))
+
+
+def _enriched(t: Tables) -> DataFrame:
+    return sessions.enrich(_summary(t), t.users)
+
+
+def _filtered(t: Tables, p: TaskParams = SESSION_PARAMS) -> DataFrame:
+    return sessions.filter_sessions(_enriched(t), p)
+
+
+@query("session_summary")
+def q_session_summary(spark, sf_dir):
+    return sessions.public(_summary(Tables(spark, sf_dir)))
+
+
+@query("session_enriched")
+def q_session_enriched(spark, sf_dir):
+    return sessions.public(_enriched(Tables(spark, sf_dir)))
+
+
+FILTER_AGE = TaskParams(start_age=20, end_age=50)
+FILTER_IN = TaskParams(professionals=tuple(f"professional{i}" for i in range(1, 41)),
+                       cities=("city1", "city2", "city3"))
+FILTER_SEX = TaskParams(sex="male")
+FILTER_OVERLAP = TaskParams(keywords=("kw1", "kw2"), category_ids=tuple(range(1, 31)))
+
+
+def _filter_query(p: TaskParams):
+    def run(spark, sf_dir):
+        return _filtered(Tables(spark, sf_dir), p).select("session_id", "user_id")
+    return run
+
+
+QUERIES["session_filter_age"] = _filter_query(FILTER_AGE)
+QUERIES["session_filter_in"] = _filter_query(FILTER_IN)
+QUERIES["session_filter_sex"] = _filter_query(FILTER_SEX)
+QUERIES["session_filter_overlap"] = _filter_query(FILTER_OVERLAP)
+
+
+@query("session_filtered")
+def q_session_filtered(spark, sf_dir):
+    return sessions.public(_filtered(Tables(spark, sf_dir)))
+
+
+@query("session_histogram")
+def q_session_histogram(spark, sf_dir):
+    return sessions.length_histogram(_filtered(Tables(spark, sf_dir)))
+
+
+@query("session_stat_ratio")
+def q_session_stat_ratio(spark, sf_dir):
+    return sessions.stat_ratio(_filtered(Tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- sampling
+SAMPLE_TOTAL = 300
+
+
+def _quota(t: Tables) -> DataFrame:
+    return sampling.extract_quota(sampling.hour_counts(_filtered(t)), SAMPLE_TOTAL)
+
+
+def _extracted(t: Tables) -> DataFrame:
+    return sampling.extract_sessions(_filtered(t), _quota(t), SAMPLE_TOTAL)
+
+
+@query("session_hour_count")
+def q_session_hour_count(spark, sf_dir):
+    return sampling.hour_counts(_filtered(Tables(spark, sf_dir)))
+
+
+@query("session_extract_quota")
+def q_session_extract_quota(spark, sf_dir):
+    return _quota(Tables(spark, sf_dir))
+
+
+@query("session_extract")
+def q_session_extract(spark, sf_dir):
+    return _extracted(Tables(spark, sf_dir))
+
+
+@query("session_extract_detail")
+def q_session_extract_detail(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return sampling.extract_detail(scan_actions(t.actions, SESSION_PARAMS), _extracted(t))
+
+
+# ---------------------------------------------------------------- categories
+def _fa(t: Tables) -> DataFrame:
+    return category.filtered_actions(scan_actions(t.actions, SESSION_PARAMS), _filtered(t))
+
+
+@query("filtered_actions")
+def q_filtered_actions(spark, sf_dir):
+    return _fa(Tables(spark, sf_dir)).select(*category.FILTERED_ACTION_COLUMNS)
+
+
+@query("category_click_count")
+def q_category_click_count(spark, sf_dir):
+    return category.click_counts(_fa(Tables(spark, sf_dir)))
+
+
+@query("category_order_count")
+def q_category_order_count(spark, sf_dir):
+    return category.order_counts(_fa(Tables(spark, sf_dir)))
+
+
+@query("category_pay_count")
+def q_category_pay_count(spark, sf_dir):
+    return category.pay_counts(_fa(Tables(spark, sf_dir)))
+
+
+@query("active_categories")
+def q_active_categories(spark, sf_dir):
+    return category.active_categories(_fa(Tables(spark, sf_dir)))
+
+
+@query("category_funnel")
+def q_category_funnel(spark, sf_dir):
+    return category.category_funnel(_fa(Tables(spark, sf_dir)))
+
+
+def _top10(fa: DataFrame) -> DataFrame:
+    return category.top_categories(category.category_funnel(fa), 10)
+
+
+@query("top10_category")
+def q_top10_category(spark, sf_dir):
+    return _top10(_fa(Tables(spark, sf_dir)))
+
+
+@query("session_category_count")
+def q_session_category_count(spark, sf_dir):
+    fa = _fa(Tables(spark, sf_dir))
+    return category.session_category_clicks(fa, _top10(fa))
+
+
+@query("top_sessions_per_category")
+def q_top_sessions_per_category(spark, sf_dir):
+    fa = _fa(Tables(spark, sf_dir))
+    return category.top_sessions(category.session_category_clicks(fa, _top10(fa)), 10)
+
+
+# ---------------------------------------------------------------- page flow
+PAGE_PARAMS = TaskParams()
+
+
+def _page_actions(t: Tables) -> DataFrame:
+    return scan_actions(t.actions, PAGE_PARAMS)
+
+
+@query("page_pairs")
+def q_page_pairs(spark, sf_dir):
+    return pageflow.page_pairs(_page_actions(Tables(spark, sf_dir)))
+
+
+@query("page_pair_count")
+def q_page_pair_count(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return pageflow.page_pair_counts(pageflow.page_pairs(_page_actions(t)), PAGE_PARAMS.target_page_flow)
+
+
+@query("page_start_count")
+def q_page_start_count(spark, sf_dir):
+    return pageflow.start_page_count(_page_actions(Tables(spark, sf_dir)), PAGE_PARAMS.target_page_flow)
+
+
+@query("page_convert_rate")
+def q_page_convert_rate(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    flow = PAGE_PARAMS.target_page_flow
+    acts = _page_actions(t)
+    return pageflow.convert_rate(spark, pageflow.page_pair_counts(pageflow.page_pairs(acts), flow),
+                                 pageflow.start_page_count(acts, flow), flow)
+
+
+# ---------------------------------------------------------------- advertisement clicks (batch)
+def _clicks(t: Tables) -> DataFrame:
+    return parse_ad_log(t.ad_log)
+
+
+@query("ad_log_parsed")
+def q_ad_log_parsed(spark, sf_dir):
+    return _clicks(Tables(spark, sf_dir))
+
+
+FIXED_BLACKLIST = (0,)
+
+
+@query("ad_blacklist_filter")
+def q_ad_blacklist_filter(spark, sf_dir):
+    blacklist = spark.createDataFrame([(u,) for u in FIXED_BLACKLIST], AD_BLACKLIST)
+    return ads.clicks_per_user(ads.drop_blacklisted(_clicks(Tables(spark, sf_dir)), blacklist))
+
+
+@query("ad_user_click_count")
+def q_ad_user_click_count(spark, sf_dir):
+    return ads.user_click_count(_clicks(Tables(spark, sf_dir)))
+
+
+@query("ad_blacklist")
+def q_ad_blacklist(spark, sf_dir):
+    return ads.blacklist_candidates(ads.user_click_count(_clicks(Tables(spark, sf_dir))))
+
+
+@query("ad_stat")
+def q_ad_stat(spark, sf_dir):
+    return ads.ad_stat(_clicks(Tables(spark, sf_dir)))
+
+
+@query("ad_province_count")
+def q_ad_province_count(spark, sf_dir):
+    return ads.province_count(ads.ad_stat(_clicks(Tables(spark, sf_dir))))
+
+
+@query("ad_province_top3")
+def q_ad_province_top3(spark, sf_dir):
+    return ads.province_top3(ads.province_count(ads.ad_stat(_clicks(Tables(spark, sf_dir)))))
+
+
+@query("ad_click_trend")
+def q_ad_click_trend(spark, sf_dir):
+    return ads.click_trend(_clicks(Tables(spark, sf_dir)))
+
+
+@query("ad_recent_hour")
+def q_ad_recent_hour(spark, sf_dir):
+    return ads.recent_hour(_clicks(Tables(spark, sf_dir)))
+
+
+@query("ad_sliding_hour")
+def q_ad_sliding_hour(spark, sf_dir):
+    return ads.sliding_hour(_clicks(Tables(spark, sf_dir)))

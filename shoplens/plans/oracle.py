@@ -6,6 +6,7 @@ the adapter tables as CTEs, then states the operator's result declaratively.
 
 from __future__ import annotations
 
+from shoplens.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
 from shoplens.sources.city_area import AREA_LEVELS, CITY_AREA_ROWS, DEFAULT_AREA_LEVEL
 
 _CITY_VALUES = ", ".join(f"({i}::BIGINT, '{n}', '{a}')" for i, n, a in CITY_AREA_ROWS)
@@ -108,3 +109,224 @@ FROM basic GROUP BY area""")
 oracle("area_product_info", _AREA_CTES, "SELECT * FROM info")
 oracle("area_top3", _AREA_CTES, "SELECT * FROM top3")
 oracle("area_top3_sql", _AREA_CTES, "SELECT * FROM top3")
+
+
+# ---------------------------------------------------------------- sessions
+def _bucket_case(col: str, buckets) -> str:
+    parts = []
+    for name, lo, hi in buckets:
+        cond = f"{col} >= {lo}" if hi is None else f"{col} BETWEEN {lo} AND {hi}"
+        parts.append(f"WHEN {cond} THEN '{name}'")
+    return "CASE " + " ".join(parts) + " END"
+
+
+_VISIT = _bucket_case("visit_length", VISIT_BUCKETS)
+_STEP = _bucket_case("step_length", STEP_BUCKETS)
+
+_SESSION_CTES = """
+summary AS (
+  SELECT session_id, min(user_id) AS user_id, min(action_time) AS start_time,
+         CAST(date_diff('second', min(action_time), max(action_time)) AS BIGINT) AS visit_length,
+         count(*) AS step_length,
+         string_agg(DISTINCT search_keyword, ',' ORDER BY search_keyword)
+           FILTER (WHERE search_keyword <> '') AS search_keywords,
+         nullif(array_to_string(list_sort(list_distinct(
+           list(click_category_id) FILTER (WHERE click_category_id <> -1))), ','), '') AS click_category_ids,
+         list_distinct(list(search_keyword) FILTER (WHERE search_keyword <> '')) AS kw_list,
+         list_distinct(list(click_category_id) FILTER (WHERE click_category_id <> -1)) AS cat_list
+  FROM actions GROUP BY session_id),
+enriched AS (
+  SELECT s.session_id, s.user_id, s.start_time, s.visit_length, s.step_length, s.search_keywords,
+         s.click_category_ids, u.age, u.professional, u.sex, u.city, s.kw_list, s.cat_list
+  FROM summary s JOIN user_info u ON s.user_id = u.user_id),
+S AS (SELECT * FROM enriched WHERE age BETWEEN 20 AND 50 AND sex = 'male'),
+FA AS (SELECT * FROM actions WHERE session_id IN (SELECT session_id FROM S))"""
+
+_SUMMARY_COLS = ("session_id, user_id, start_time, visit_length, step_length, search_keywords, "
+                 "click_category_ids")
+_ENRICHED_COLS = _SUMMARY_COLS + ", age, professional, sex, city"
+
+oracle("session_summary", _SESSION_CTES, f"SELECT {_SUMMARY_COLS} FROM summary")
+oracle("session_enriched", _SESSION_CTES, f"SELECT {_ENRICHED_COLS} FROM enriched")
+oracle("session_filter_age", _SESSION_CTES,
+       "SELECT session_id, user_id FROM enriched WHERE age BETWEEN 20 AND 50")
+_PROFS = ", ".join(f"'professional{i}'" for i in range(1, 41))
+oracle("session_filter_in", _SESSION_CTES,
+       f"SELECT session_id, user_id FROM enriched WHERE professional IN ({_PROFS}) "
+       "AND city IN ('city1', 'city2', 'city3')")
+oracle("session_filter_sex", _SESSION_CTES,
+       "SELECT session_id, user_id FROM enriched WHERE sex = 'male'")
+_CATS = ", ".join(str(i) for i in range(1, 31))
+oracle("session_filter_overlap", _SESSION_CTES,
+       "SELECT session_id, user_id FROM enriched WHERE list_has_any(kw_list, ['kw1', 'kw2']) "
+       f"AND list_has_any(cat_list, [{_CATS}])")
+oracle("session_filtered", _SESSION_CTES, f"SELECT {_ENRICHED_COLS} FROM S")
+oracle("session_histogram", _SESSION_CTES, f"""
+SELECT 'visit_length' AS kind, {_VISIT} AS bucket, count(*) AS cnt FROM S
+WHERE {_VISIT} IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'step_length' AS kind, {_STEP} AS bucket, count(*) AS cnt FROM S
+WHERE {_STEP} IS NOT NULL GROUP BY 2""")
+
+
+def _ratio(n: str, d: str) -> str:
+    return (f"CASE WHEN {d} = 0 THEN 0.0::DOUBLE "
+            f"ELSE ((200 * {n} + {d}) // (2 * {d})) / 100.0::DOUBLE END")
+
+
+_ratio_cols = ",\n       ".join(
+    [_ratio(f"count(*) FILTER (WHERE vb = '{n}')", "count(*)") + f" AS visit_length_{n}_ratio"
+     for n, _, _ in VISIT_BUCKETS]
+    + [_ratio(f"count(*) FILTER (WHERE sb = '{n}')", "count(*)") + f" AS step_length_{n}_ratio"
+       for n, _, _ in STEP_BUCKETS])
+oracle("session_stat_ratio", _SESSION_CTES, f"""
+SELECT count(*) AS session_count,
+       {_ratio_cols}
+FROM (SELECT {_VISIT} AS vb, {_STEP} AS sb FROM S)""")
+
+# ---------------------------------------------------------------- sampling
+_SAMPLE_CTES = _SESSION_CTES + """,
+hours AS (
+  SELECT strftime(start_time, '%Y-%m-%d') AS date, strftime(start_time, '%H') AS hour,
+         count(*) AS cnt
+  FROM S GROUP BY 1, 2),
+quota AS (
+  SELECT date, hour, cnt, CAST(sum(cnt) OVER (PARTITION BY date) AS BIGINT) AS day_cnt,
+         CAST(least(cnt, (cnt * (300 // (SELECT count(DISTINCT date) FROM hours)))
+                         // sum(cnt) OVER (PARTITION BY date)) AS BIGINT) AS quota
+  FROM hours),
+ex AS (
+  SELECT session_id, start_time, search_keywords, click_category_ids FROM (
+    SELECT s.*, q.quota,
+           row_number() OVER (PARTITION BY q.date, q.hour
+                              ORDER BY md5(s.session_id || '-42'), s.session_id) AS rn
+    FROM S s JOIN quota q
+      ON strftime(s.start_time, '%Y-%m-%d') = q.date AND strftime(s.start_time, '%H') = q.hour)
+  WHERE rn <= quota)"""
+
+oracle("session_hour_count", _SAMPLE_CTES, "SELECT * FROM hours")
+oracle("session_extract_quota", _SAMPLE_CTES, "SELECT * FROM quota")
+oracle("session_extract", _SAMPLE_CTES, "SELECT * FROM ex")
+oracle("session_extract_detail", _SAMPLE_CTES, """
+SELECT session_id, user_id, page_id, action_time, search_keyword, click_category_id,
+       click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids
+FROM actions WHERE session_id IN (SELECT session_id FROM ex)""")
+
+# ---------------------------------------------------------------- categories
+_CATEGORY_CTES = _SESSION_CTES + """,
+kinds AS (
+  SELECT click_category_id AS category_id, 1 AS c, 0 AS o, 0 AS p FROM FA WHERE click_category_id <> -1
+  UNION ALL
+  SELECT CAST(trim(x) AS BIGINT), 0, 1, 0
+  FROM (SELECT unnest(string_split(order_category_ids, ',')) AS x FROM FA
+        WHERE order_category_ids IS NOT NULL) WHERE trim(x) <> ''
+  UNION ALL
+  SELECT CAST(trim(x) AS BIGINT), 0, 0, 1
+  FROM (SELECT unnest(string_split(pay_category_ids, ',')) AS x FROM FA
+        WHERE pay_category_ids IS NOT NULL) WHERE trim(x) <> ''),
+funnel AS (
+  SELECT category_id, CAST(sum(c) AS BIGINT) AS click_count, CAST(sum(o) AS BIGINT) AS order_count,
+         CAST(sum(p) AS BIGINT) AS pay_count
+  FROM kinds GROUP BY category_id),
+top10 AS (
+  SELECT * FROM funnel
+  ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id LIMIT 10),
+sess_cat AS (
+  SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+  FROM FA WHERE click_category_id IN (SELECT category_id FROM top10)
+  GROUP BY 1, 2)"""
+
+oracle("filtered_actions", _CATEGORY_CTES, """
+SELECT session_id, action_time, page_id, click_category_id, order_category_ids, pay_category_ids
+FROM FA""")
+oracle("category_click_count", _CATEGORY_CTES,
+       "SELECT category_id, count(*) AS cnt FROM kinds WHERE c = 1 GROUP BY 1")
+oracle("category_order_count", _CATEGORY_CTES,
+       "SELECT category_id, count(*) AS cnt FROM kinds WHERE o = 1 GROUP BY 1")
+oracle("category_pay_count", _CATEGORY_CTES,
+       "SELECT category_id, count(*) AS cnt FROM kinds WHERE p = 1 GROUP BY 1")
+oracle("active_categories", _CATEGORY_CTES, "SELECT DISTINCT category_id FROM kinds")
+oracle("category_funnel", _CATEGORY_CTES, "SELECT * FROM funnel")
+oracle("top10_category", _CATEGORY_CTES, "SELECT * FROM top10")
+oracle("session_category_count", _CATEGORY_CTES, "SELECT * FROM sess_cat")
+oracle("top_sessions_per_category", _CATEGORY_CTES, """
+SELECT category_id, session_id, click_count FROM (
+  SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+  FROM sess_cat) WHERE rn <= 10""")
+
+# ---------------------------------------------------------------- page flow
+_FLOW = [1, 2, 3, 4, 5, 6, 7]
+_STEPS = [(i + 1, f"{a}_{b}") for i, (a, b) in enumerate(zip(_FLOW, _FLOW[1:]))]
+_STEP_VALUES = ", ".join(f"({s}, '{p}')" for s, p in _STEPS)
+_PAGE_CTES = f"""
+pairs AS (
+  SELECT session_id, page_id, next_page_id FROM (
+    SELECT session_id, page_id,
+           lead(page_id) OVER (PARTITION BY session_id ORDER BY action_time, page_id) AS next_page_id
+    FROM actions) WHERE next_page_id IS NOT NULL),
+pair_count AS (
+  SELECT concat(CAST(page_id AS VARCHAR), '_', CAST(next_page_id AS VARCHAR)) AS page_pair,
+         count(*) AS cnt
+  FROM pairs GROUP BY 1
+  HAVING page_pair IN ({", ".join(f"'{p}'" for _, p in _STEPS)})),
+start_count AS (
+  SELECT CAST({_FLOW[0]} AS BIGINT) AS start_page, count(*) AS cnt FROM actions WHERE page_id = {_FLOW[0]}),
+steps AS (SELECT * FROM (VALUES {_STEP_VALUES}) t(step, page_pair)),
+chained AS (
+  SELECT s.step, s.page_pair, CAST(coalesce(c.cnt, 0) AS BIGINT) AS cnt
+  FROM steps s LEFT JOIN pair_count c ON s.page_pair = c.page_pair),
+rates AS (
+  SELECT step, page_pair, cnt,
+         coalesce(lag(cnt) OVER (ORDER BY step), (SELECT cnt FROM start_count)) AS prev_cnt
+  FROM chained)"""
+
+oracle("page_pairs", _PAGE_CTES, "SELECT * FROM pairs")
+oracle("page_pair_count", _PAGE_CTES, "SELECT * FROM pair_count")
+oracle("page_start_count", _PAGE_CTES, "SELECT * FROM start_count")
+oracle("page_convert_rate", _PAGE_CTES, """
+SELECT step, page_pair, cnt, prev_cnt,
+       CASE WHEN prev_cnt = 0 THEN NULL
+            ELSE ((200 * cnt + prev_cnt) // (2 * prev_cnt)) / 100.0::DOUBLE END AS rate
+FROM rates""")
+
+# ---------------------------------------------------------------- advertisement clicks
+_AD_CTES = """
+split_log AS (SELECT string_split(value, ' ') AS p FROM ad_log),
+parsed AS (
+  SELECT epoch_ms(CAST(p[1] AS BIGINT)) AS ts, strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%Y%m%d') AS date,
+         p[2] AS province, p[3] AS city, CAST(p[4] AS BIGINT) AS userid, CAST(p[5] AS BIGINT) AS adid
+  FROM split_log
+  WHERE len(p) = 5 AND TRY_CAST(p[1] AS BIGINT) IS NOT NULL AND p[2] <> '' AND p[3] <> ''
+    AND TRY_CAST(p[4] AS BIGINT) IS NOT NULL AND TRY_CAST(p[5] AS BIGINT) IS NOT NULL),
+ucc AS (SELECT date, userid, adid, count(*) AS click_count FROM parsed GROUP BY 1, 2, 3),
+stat AS (SELECT date, province, city, adid, count(*) AS click_count FROM parsed GROUP BY 1, 2, 3, 4),
+prov AS (SELECT date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_count
+         FROM stat GROUP BY 1, 2, 3),
+top3 AS (
+  SELECT date, province, adid, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, adid) AS rn
+    FROM prov) WHERE rn <= 3),
+per_minute AS (
+  SELECT date_trunc('minute', ts) AS m, adid, count(*) AS click_count FROM parsed GROUP BY 1, 2),
+trend AS (
+  SELECT strftime(m, '%Y%m%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute,
+         adid, click_count
+  FROM per_minute)"""
+
+oracle("ad_log_parsed", _AD_CTES, "SELECT * FROM parsed")
+oracle("ad_blacklist_filter", _AD_CTES,
+       "SELECT userid, count(*) AS cnt FROM parsed WHERE userid NOT IN (0) GROUP BY userid")
+oracle("ad_user_click_count", _AD_CTES, "SELECT * FROM ucc")
+oracle("ad_blacklist", _AD_CTES, "SELECT DISTINCT userid FROM ucc WHERE click_count > 10")
+oracle("ad_stat", _AD_CTES, "SELECT * FROM stat")
+oracle("ad_province_count", _AD_CTES, "SELECT * FROM prov")
+oracle("ad_province_top3", _AD_CTES, "SELECT * FROM top3")
+oracle("ad_click_trend", _AD_CTES, "SELECT * FROM trend")
+oracle("ad_recent_hour", _AD_CTES, """
+SELECT strftime(m, '%Y%m%d') AS date, strftime(m, '%H') AS hour, strftime(m, '%M') AS minute,
+       adid, click_count
+FROM per_minute WHERE m >= (SELECT max(m) FROM per_minute) - INTERVAL 59 MINUTE""")
+oracle("ad_sliding_hour", _AD_CTES, """
+SELECT m + to_minutes(k + 1) AS window_end, adid, CAST(sum(click_count) AS BIGINT) AS click_count
+FROM per_minute CROSS JOIN range(60) r(k)
+GROUP BY 1, 2""")
