@@ -9,13 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shoplens.operators import ads, area, category, pageflow, sampling, sessions
 from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
+from shoplens.runtime import shared_dir
 from shoplens.schema import AD_BLACKLIST
 from shoplens.sources.actions import scan_actions, scan_clicks
-from shoplens.sources.adlog import parse_ad_log
+from shoplens.sources import testdata
+from shoplens.sources.adlog import parse_ad_log, read_ad_log_stream
+from shoplens.streaming import ads as stream_ads
+from shoplens.streaming.ads import AdStreamStore
+from shoplens.streaming.feed import write_feed
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -319,3 +325,79 @@ def q_ad_recent_hour(spark, sf_dir):
 @query("ad_sliding_hour")
 def q_ad_sliding_hour(spark, sf_dir):
     return ads.sliding_hour(_clicks(Tables(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- keyed sinks (two batches)
+def _parity_clicks(t: Tables):
+    lines = testdata.ad_log(t.spark, t.sf_dir, keep_event_id=True)
+    even = parse_ad_log(lines.where(F.col("event_id") % 2 == 0).select("value"))
+    odd = parse_ad_log(lines.where(F.col("event_id") % 2 == 1).select("value"))
+    return even, odd
+
+
+def _apply_two(spark, sf_dir, sink_name: str, make_rows) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    store = AdStreamStore(spark, shared_dir(spark, "upsert"))
+    sink = store.sink(sink_name)
+    for batch_id, clicks in enumerate(_parity_clicks(t)):
+        sink.apply(make_rows(clicks), batch_id)
+    return sink.snapshot()
+
+
+@query("upsert_replace")
+def q_upsert_replace(spark, sf_dir):
+    return _apply_two(spark, sf_dir, "ad_stat", ads.ad_stat)
+
+
+@query("upsert_add")
+def q_upsert_add(spark, sf_dir):
+    return _apply_two(spark, sf_dir, "ad_user_click_count", ads.user_click_count)
+
+
+@query("upsert_replace_group")
+def q_upsert_replace_group(spark, sf_dir):
+    return _apply_two(spark, sf_dir, "ad_province_top3",
+                      lambda c: ads.province_top3(ads.province_count(ads.ad_stat(c))))
+
+
+# ---------------------------------------------------------------- streaming forms
+STREAM_FEED_FILES = 16
+STREAM_WATERMARK = "7 days"
+AVAILABLE_NOW = {"availableNow": True}
+
+
+def _run_stream(spark, sf_dir, job: str) -> AdStreamStore:
+    """Feed the ad log through the clean-clicks query and then ``job``; return the store."""
+    store = AdStreamStore(spark, shared_dir(spark, "ad-stream"))
+    write_feed(Tables(spark, sf_dir).ad_log, store.path("feed"), STREAM_FEED_FILES)
+    lines = read_ad_log_stream(spark, store.path("feed"), max_files_per_trigger=2)
+    stream_ads.start_clean_clicks(lines, store, AVAILABLE_NOW).awaitTermination()
+    clicks = stream_ads.clean_clicks(store, max_files_per_trigger=4)
+    if job == "stat":
+        q = stream_ads.start_ad_stat(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW)
+    elif job == "trend":
+        q = stream_ads.start_click_trend(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW)
+    else:
+        q = stream_ads.start_blacklist(clicks, store, trigger=AVAILABLE_NOW)
+    q.awaitTermination()
+    return store
+
+
+@query("ad_stat_stream")
+def q_ad_stat_stream(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "stat").sink("ad_stat").snapshot()
+
+
+@query("ad_province_top3_stream")
+def q_ad_province_top3_stream(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "stat").sink("ad_province_top3").snapshot()
+
+
+@query("ad_click_trend_stream")
+def q_ad_click_trend_stream(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "trend").sink("ad_click_trend").snapshot()
+
+
+@query("ad_blacklist_stream")
+def q_ad_blacklist_stream(spark, sf_dir):
+    return _run_stream(spark, sf_dir, "blacklist").sink("ad_blacklist").snapshot()

@@ -330,3 +330,40 @@ oracle("ad_sliding_hour", _AD_CTES, """
 SELECT m + to_minutes(k + 1) AS window_end, adid, CAST(sum(click_count) AS BIGINT) AS click_count
 FROM per_minute CROSS JOIN range(60) r(k)
 GROUP BY 1, 2""")
+
+# ---------------------------------------------------------------- keyed sinks and streams
+_PARITY_CTES = _AD_CTES + """,
+ad_log_ids AS (
+  SELECT event_id, concat(CAST(epoch_us(ts) // 1000 AS VARCHAR), ' ', CAST(user_id % 5 AS VARCHAR), ' ',
+                CAST(user_id % 10 AS VARCHAR), ' ',
+                CAST(CASE WHEN event_id % 4 = 0 THEN user_id % 3 ELSE user_id END AS VARCHAR), ' ',
+                CAST(CASE WHEN event_id % 4 = 0 THEN 0
+                          ELSE CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 20 END AS VARCHAR)) AS value
+  FROM events WHERE event_type IN ('click', 'view')),
+parsed2 AS (
+  SELECT event_id % 2 AS b, strftime(epoch_ms(CAST(p[1] AS BIGINT)), '%Y%m%d') AS date,
+         p[2] AS province, p[3] AS city, CAST(p[4] AS BIGINT) AS userid, CAST(p[5] AS BIGINT) AS adid
+  FROM (SELECT event_id, string_split(value, ' ') AS p FROM ad_log_ids)),
+stat_b AS (SELECT b, date, province, city, adid, count(*) AS click_count FROM parsed2 GROUP BY ALL),
+top3_b AS (
+  SELECT b, date, province, adid, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY b, date, province ORDER BY click_count DESC, adid) AS rn
+    FROM (SELECT b, date, province, adid, CAST(sum(click_count) AS BIGINT) AS click_count
+          FROM stat_b GROUP BY ALL)) WHERE rn <= 3)"""
+
+oracle("upsert_replace", _PARITY_CTES, """
+SELECT date, province, city, adid, click_count FROM stat_b WHERE b = 1
+UNION ALL
+SELECT date, province, city, adid, click_count FROM stat_b s WHERE b = 0
+  AND NOT EXISTS (SELECT 1 FROM stat_b t WHERE t.b = 1 AND t.date = s.date AND t.province = s.province
+                  AND t.city = s.city AND t.adid = s.adid)""")
+oracle("upsert_add", _AD_CTES, "SELECT * FROM ucc")
+oracle("upsert_replace_group", _PARITY_CTES, """
+SELECT date, province, adid, click_count FROM top3_b WHERE b = 1
+UNION ALL
+SELECT date, province, adid, click_count FROM top3_b s WHERE b = 0
+  AND NOT EXISTS (SELECT 1 FROM top3_b t WHERE t.b = 1 AND t.date = s.date AND t.province = s.province)""")
+oracle("ad_stat_stream", _AD_CTES, "SELECT * FROM stat")
+oracle("ad_province_top3_stream", _AD_CTES, "SELECT * FROM top3")
+oracle("ad_click_trend_stream", _AD_CTES, "SELECT * FROM trend")
+oracle("ad_blacklist_stream", _AD_CTES, "SELECT DISTINCT userid FROM ucc WHERE click_count > 10")

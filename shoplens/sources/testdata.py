@@ -96,10 +96,11 @@ def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ad_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """One text column ``value``: ``<epoch ms> <province> <city> <userid> <adid>``.
 
     A quarter of the lines is concentrated on users 0-2 and ad 0 (a hot key by design).
+    ``keep_event_id`` also returns the source ``event_id`` (to split the log into batches).
     """
     e = read_table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
     hot = F.col("event_id") % 4 == 0
@@ -107,5 +108,6 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.when(hot, uid % 3).otherwise(uid)
     ad = F.when(hot, F.lit(0).cast("bigint")).otherwise(
         F.regexp_extract("props", "([0-9]+)", 1).cast("bigint") % 20)
-    return e.select(F.concat_ws(" ", _str(epoch_millis(F.col("ts"))), _str(uid % 5), _str(uid % 10),
-                                _str(user), _str(ad)).alias("value"))
+    line = F.concat_ws(" ", _str(epoch_millis(F.col("ts"))), _str(uid % 5), _str(uid % 10),
+                       _str(user), _str(ad)).alias("value")
+    return e.select("event_id", line) if keep_event_id else e.select(line)
