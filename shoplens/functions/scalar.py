@@ -153,3 +153,47 @@ def register_sql_functions(spark: SparkSession) -> None:
                  RETURNS STRING RETURN concat_ws(sep, CAST(v1 AS STRING), v2)""")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION get_json_field(json STRING, field STRING)
                  RETURNS STRING RETURN get_json_object(json, concat('$.', field))""")
+
+
+def scalar_showcase(events):
+    """H1-H18 applied to the ``events`` table: one output column per helper."""
+    ts = F.col("ts")
+    k = F.regexp_extract("props", "([0-9]+)", 1)
+    unpadded = F.concat(F.date_format(ts, "yyyy-MM-dd "), F.hour(ts).cast("string"),
+                        F.date_format(ts, ":mm:ss"))
+    minute_key = format_time_minute(ts)
+    mk_date, mk_hour, mk_minute = minute_key_parts(minute_key)
+    text = F.when(F.col("event_type") == "error", F.lit(None).cast("string")) \
+        .when(F.col("event_type") == "click", F.lit("")).otherwise(F.col("event_type"))
+    packed = F.concat(F.lit("event="), F.col("event_id").cast("string"), F.lit("|type="),
+                      F.col("event_type"), F.lit("|k="), k)
+    ratio = half_up_ratio(F.col("event_id") % 200, F.col("user_id") % 17 + 1)
+    pair = F.concat_ws("_", (F.col("event_id") % 10).cast("string"),
+                       ((F.col("event_id") + 1) % 10).cast("string"))
+    cutoff = F.lit("2024-01-15 00:00:00").cast("timestamp_ntz")
+    return events.select(
+        "event_id",
+        parse_time(unpadded).alias("parsed_time"),
+        format_time(ts).alias("time_text"),
+        format_date(ts).alias("date_text"),
+        format_date_key(ts).alias("date_key"),
+        parse_date_key(format_date_key(ts)).alias("date_from_key"),
+        minute_key.alias("minute_key"),
+        date_hour_key(ts).alias("date_hour"),
+        (ts < cutoff).alias("is_before"),
+        (ts > cutoff).alias("is_after"),
+        seconds_between(F.to_date(ts).cast("timestamp_ntz"), ts).alias("seconds_of_day"),
+        yesterday_of(F.to_date(ts)).alias("yesterday"),
+        mk_date.alias("mk_date"), mk_hour.alias("mk_hour"), mk_minute.alias("mk_minute"),
+        is_empty(text).alias("text_is_empty"),
+        trim_comma(F.concat(F.lit(","), k, F.lit(",,"))).alias("trimmed"),
+        pad2(F.hour(ts)).alias("hour_padded"),
+        ratio.alias("ratio"),
+        field_of_packed(packed, "type").alias("packed_type"),
+        set_field_in_packed(packed, "type", "x").alias("packed_set"),
+        join_list(ids_array(F.concat(k, F.lit(",,"), (k.cast("bigint") * 2).cast("string"), F.lit(","))))
+        .alias("id_list"),
+        concat_long_string("user_id", "event_type", ":").alias("user_label"),
+        get_json_field("props", "k").alias("json_k"),
+        F.concat_ws("=", pair, ratio.cast("string")).alias("rate_text"),
+    )

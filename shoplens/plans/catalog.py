@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoplens.functions import scalar
 from shoplens.operators import ads, area, category, pageflow, sampling, sessions
 from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
@@ -401,3 +402,9 @@ def q_ad_click_trend_stream(spark, sf_dir):
 @query("ad_blacklist_stream")
 def q_ad_blacklist_stream(spark, sf_dir):
     return _run_stream(spark, sf_dir, "blacklist").sink("ad_blacklist").snapshot()
+
+
+# ---------------------------------------------------------------- scalar functions
+@query("scalar_functions")
+def q_scalar_functions(spark, sf_dir):
+    return scalar.scalar_showcase(Tables(spark, sf_dir).raw("events"))

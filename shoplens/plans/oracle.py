@@ -367,3 +367,41 @@ oracle("ad_stat_stream", _AD_CTES, "SELECT * FROM stat")
 oracle("ad_province_top3_stream", _AD_CTES, "SELECT * FROM top3")
 oracle("ad_click_trend_stream", _AD_CTES, "SELECT * FROM trend")
 oracle("ad_blacklist_stream", _AD_CTES, "SELECT DISTINCT userid FROM ucc WHERE click_count > 10")
+
+# ---------------------------------------------------------------- scalar functions
+oracle("scalar_functions", """
+ev AS (
+  SELECT *, regexp_extract(props, '([0-9]+)', 1) AS k,
+         CASE event_type WHEN 'error' THEN NULL WHEN 'click' THEN '' ELSE event_type END AS txt,
+         concat('event=', CAST(event_id AS VARCHAR), '|type=', event_type, '|k=',
+                regexp_extract(props, '([0-9]+)', 1)) AS packed,
+         CASE WHEN user_id % 17 + 1 = 0 THEN NULL
+              ELSE ((200 * (event_id % 200) + (user_id % 17 + 1)) // (2 * (user_id % 17 + 1)))
+                   / 100.0::DOUBLE END AS ratio
+  FROM events)""", """
+SELECT event_id,
+       strptime(strftime(ts, '%Y-%m-%d ') || CAST(hour(ts) AS VARCHAR) || strftime(ts, ':%M:%S'),
+                '%Y-%m-%d %H:%M:%S') AS parsed_time,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text,
+       strftime(ts, '%Y-%m-%d') AS date_text,
+       strftime(ts, '%Y%m%d') AS date_key,
+       CAST(strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS date_from_key,
+       strftime(ts, '%Y%m%d%H%M') AS minute_key,
+       strftime(ts, '%Y-%m-%d_%H') AS date_hour,
+       ts < TIMESTAMP '2024-01-15 00:00:00' AS is_before,
+       ts > TIMESTAMP '2024-01-15 00:00:00' AS is_after,
+       date_diff('second', CAST(CAST(ts AS DATE) AS TIMESTAMP), ts) AS seconds_of_day,
+       CAST(ts AS DATE) - 1 AS yesterday,
+       strftime(ts, '%Y%m%d') AS mk_date, strftime(ts, '%H') AS mk_hour, strftime(ts, '%M') AS mk_minute,
+       (txt IS NULL OR txt = '') AS text_is_empty,
+       trim(concat(',', k, ',,'), ',') AS trimmed,
+       lpad(CAST(hour(ts) AS VARCHAR), 2, '0') AS hour_padded,
+       ratio,
+       regexp_extract(packed, '(^|\\|)type=([^|]*)', 2) AS packed_type,
+       regexp_replace(packed, '(^|\\|)type=[^|]*', '\\1type=x') AS packed_set,
+       concat(k, ',', CAST(CAST(k AS BIGINT) * 2 AS VARCHAR)) AS id_list,
+       concat(CAST(user_id AS VARCHAR), ':', event_type) AS user_label,
+       json_extract_string(props, '$.k') AS json_k,
+       concat(CAST(event_id % 10 AS VARCHAR), '_', CAST((event_id + 1) % 10 AS VARCHAR), '=',
+              CAST(ratio AS VARCHAR)) AS rate_text
+FROM ev""")
