@@ -177,13 +177,13 @@ def scalar_showcase(events):
         format_time(ts).alias("time_text"),
         format_date(ts).alias("date_text"),
         format_date_key(ts).alias("date_key"),
-        parse_date_key(format_date_key(ts)).alias("date_from_key"),
+        parse_date_key(format_date_key(ts)).cast("string").alias("date_from_key"),
         minute_key.alias("minute_key"),
         date_hour_key(ts).alias("date_hour"),
         (ts < cutoff).alias("is_before"),
         (ts > cutoff).alias("is_after"),
         seconds_between(F.to_date(ts).cast("timestamp_ntz"), ts).alias("seconds_of_day"),
-        yesterday_of(F.to_date(ts)).alias("yesterday"),
+        yesterday_of(F.to_date(ts)).cast("string").alias("yesterday"),
         mk_date.alias("mk_date"), mk_hour.alias("mk_hour"), mk_minute.alias("mk_minute"),
         is_empty(text).alias("text_is_empty"),
         trim_comma(F.concat(F.lit(","), k, F.lit(",,"))).alias("trimmed"),

@@ -385,13 +385,13 @@ SELECT event_id,
        strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text,
        strftime(ts, '%Y-%m-%d') AS date_text,
        strftime(ts, '%Y%m%d') AS date_key,
-       CAST(strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS date_from_key,
+       CAST(CAST(strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE) AS VARCHAR) AS date_from_key,
        strftime(ts, '%Y%m%d%H%M') AS minute_key,
        strftime(ts, '%Y-%m-%d_%H') AS date_hour,
        ts < TIMESTAMP '2024-01-15 00:00:00' AS is_before,
        ts > TIMESTAMP '2024-01-15 00:00:00' AS is_after,
        date_diff('second', CAST(CAST(ts AS DATE) AS TIMESTAMP), ts) AS seconds_of_day,
-       CAST(ts AS DATE) - 1 AS yesterday,
+       CAST(CAST(ts AS DATE) - 1 AS VARCHAR) AS yesterday,
        strftime(ts, '%Y%m%d') AS mk_date, strftime(ts, '%H') AS mk_hour, strftime(ts, '%M') AS mk_minute,
        (txt IS NULL OR txt = '') AS text_is_empty,
        trim(concat(',', k, ',,'), ',') AS trimmed,
