@@ -52,7 +52,8 @@ def join_list(values, sep: str = ",") -> Column:
 
 # ---- J1 / H16 ----
 def concat_long_string(v1, v2, sep: str = ":") -> Column:
-    return F.concat_ws(sep, _c(v1).cast("string"), _c(v2))
+    """'<v1><sep><v2>'; null when either part is null (so a missing city adds nothing to a list)."""
+    return F.concat(_c(v1).cast("string"), F.lit(sep), _c(v2))
 
 
 # ---- J2 / H17 ----
@@ -150,7 +151,7 @@ def register_sql_functions(spark: SparkSession) -> None:
     ``listagg(DISTINCT c, ',') WITHIN GROUP (ORDER BY c)``.
     """
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION concat_long_string(v1 BIGINT, v2 STRING, sep STRING)
-                 RETURNS STRING RETURN concat_ws(sep, CAST(v1 AS STRING), v2)""")
+                 RETURNS STRING RETURN concat(CAST(v1 AS STRING), sep, v2)""")
     spark.sql("""CREATE OR REPLACE TEMPORARY FUNCTION get_json_field(json STRING, field STRING)
                  RETURNS STRING RETURN get_json_object(json, concat('$.', field))""")
 
