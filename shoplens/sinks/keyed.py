@@ -1,11 +1,16 @@
 """Keyed, replay-safe result tables for micro-batch output.
 
-A ``KeyedSink`` keeps one Parquet snapshot directory per applied batch: ``<path>/v=<batch_id>``.
-Applying batch ``b`` reads the newest committed version below ``b``, merges the batch into it
-set-wise (joins and aggregates, no row-by-row lookups) and writes ``v=<b>``. Replaying ``b``
-after a failure reads the same base and rewrites the same directory, so every mode -- including
-the accumulating one -- is idempotent per batch id. The directory being read is never the one
-being written, and each snapshot reads only files (no growing lineage).
+A ``KeyedSink`` keeps one Parquet directory per applied batch: ``<path>/v=<batch_id>``. Applying
+batch ``b`` reads the newest committed state below ``b``, merges the batch into it set-wise (joins
+and aggregates, no row-by-row lookups) and writes ``v=<b>``. Replaying ``b`` after a failure reads
+the same base and rewrites the same directory, so every mode -- including the accumulating one --
+is idempotent per batch id. The directory being read is never the one being written, and every
+state is read back from files (no growing lineage).
+
+With ``partition_cols`` (a subset of the keys, e.g. the day), a version holds only the partitions
+its batch touched (``v=<b>/date=.../``) and the table is, per partition, the newest committed
+version holding it. A micro-batch then reads and rewrites only the partitions it touches, so its
+cost follows the batch, not the table.
 
 Modes:
   replace        overwrite the rows whose key occurs in the batch
@@ -27,15 +32,20 @@ MODES = ("replace", "add", "replace_group", "insert_absent")
 
 class KeyedSink:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
-                 mode: str, group_keys: Sequence[str] = (), value_cols: Sequence[str] = ()):
+                 mode: str, group_keys: Sequence[str] = (), value_cols: Sequence[str] = (),
+                 partition_cols: Sequence[str] = ()):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         if mode == "replace_group" and not group_keys:
             raise ValueError("replace_group needs group_keys")
+        scope = list(group_keys) if mode == "replace_group" else list(keys)
+        if not set(partition_cols) <= set(scope):
+            raise ValueError("partition columns must be part of the keys (groups for replace_group)")
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.mode = list(keys), mode
         self.group_keys = list(group_keys)
         self.value_cols = list(value_cols) or [f.name for f in schema.fields if f.name not in keys]
+        self.partition_cols = list(partition_cols)
 
     # ---- storage helpers (Hadoop FileSystem, so any shared file system works) ----
     def _fs(self):
@@ -58,17 +68,67 @@ class KeyedSink:
                     out.append(int(name[2:]))
         return sorted(out)
 
+    def _partition_dirs(self, version: int) -> list[str]:
+        """Relative partition paths ('date=x' or 'a=x/b=y') stored in one version."""
+        fs, Path = self._fs()
+        level = [(Path(f"{self.path}/v={version}"), "")]
+        for _ in self.partition_cols:
+            nxt = []
+            for p, rel in level:
+                for st in fs.listStatus(p):
+                    name = st.getPath().getName()
+                    if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
+                        nxt.append((st.getPath(), f"{rel}/{name}" if rel else name))
+            level = nxt
+        return [rel for _, rel in level]
+
+    def _layout(self, upto: int | None) -> dict[str, int]:
+        """Partition path -> newest committed version (<= upto) that holds it."""
+        newest: dict[str, int] = {}
+        for v in self.versions():
+            if upto is not None and v > upto:
+                break
+            for rel in self._partition_dirs(v):
+                newest[rel] = v
+        return newest
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], self.schema)
+
     def read_version(self, version: int | None) -> DataFrame:
-        """One committed version (an empty table for ``None``)."""
+        """The table as of ``version`` (an empty table for ``None``)."""
         if version is None:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
+            return self._empty()
+        if not self.partition_cols:
+            return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
+        return self._read_partitions(self._layout(version))
+
+    def _read_partitions(self, layout: dict[str, int], only: set[str] | None = None) -> DataFrame:
+        leaves = [f"{self.path}/v={v}/{rel}" for rel, v in sorted(layout.items())
+                  if only is None or rel in only]
+        if not leaves:
+            return self._empty()
+        schema = T.StructType(list(self.schema.fields) + [T.StructField("v", T.IntegerType())])
+        df = self.spark.read.schema(schema).option("basePath", self.path).parquet(*leaves)
+        return df.select(*self.schema.fieldNames())
 
     def snapshot(self) -> DataFrame:
         """The newest committed table (empty with the sink's schema before the first batch)."""
         vs = self.versions()
         return self.read_version(vs[-1] if vs else None)
 
+    def read_partitions_of(self, batch: DataFrame, version: int) -> DataFrame:
+        """Rows of ``version`` in the partitions that ``batch`` touches (the whole table when
+        unpartitioned)."""
+        if not self.partition_cols:
+            return self.read_version(version)
+        return self._read_partitions(self._layout(version), self._touched(batch))
+
+    def _touched(self, batch: DataFrame) -> set[str]:
+        # One row per touched partition (a handful of days per micro-batch), not per record.
+        vals = batch.select(*self.partition_cols).distinct().collect()
+        return {"/".join(f"{c}={r[c]}" for c in self.partition_cols) for r in vals}
+
     # ---- merge ----
     def merge(self, current: DataFrame, batch: DataFrame) -> DataFrame:
         cols = self.schema.fieldNames()
@@ -91,6 +151,14 @@ class KeyedSink:
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Merge ``batch`` as version ``batch_id``; idempotent for a repeated ``batch_id``."""
         base = [v for v in self.versions() if v < batch_id]
-        current = self.read_version(base[-1] if base else None)
+        base_version = base[-1] if base else None
+        out = f"{self.path}/v={batch_id}"
+        if not self.partition_cols:
+            merged = self.merge(self.read_version(base_version), batch)
+            merged.write.mode("overwrite").parquet(out)
+            return
+        touched = self._touched(batch)
+        current = self._empty() if base_version is None else \
+            self._read_partitions(self._layout(base_version), touched)
         merged = self.merge(current, batch)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id}")
+        merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(out)

@@ -60,15 +60,19 @@ class AdStreamStore:
 
     def sink(self, name: str) -> KeyedSink:
         s, p = self.spark, self.path("tables", name)
+        day = ["date"]  # day-partitioned: a micro-batch rewrites only the days it touches
         if name == "ad_stat":
-            return KeyedSink(s, p, AD_STAT, ["date", "province", "city", "adid"], "replace")
+            return KeyedSink(s, p, AD_STAT, ["date", "province", "city", "adid"], "replace",
+                             partition_cols=day)
         if name == "ad_province_top3":
             return KeyedSink(s, p, AD_PROVINCE_TOP3, ["date", "province", "adid"], "replace_group",
-                             group_keys=["date", "province"])
+                             group_keys=["date", "province"], partition_cols=day)
         if name == "ad_click_trend":
-            return KeyedSink(s, p, AD_CLICK_TREND, ["date", "hour", "minute", "adid"], "replace")
+            return KeyedSink(s, p, AD_CLICK_TREND, ["date", "hour", "minute", "adid"], "replace",
+                             partition_cols=day)
         if name == "ad_user_click_count":
-            return KeyedSink(s, p, AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add")
+            return KeyedSink(s, p, AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
+                             partition_cols=day)
         if name == "ad_blacklist":
             return KeyedSink(s, p, AD_BLACKLIST, ["userid"], "insert_absent")
         raise KeyError(name)
@@ -144,7 +148,8 @@ def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None
         try:
             stat_sink.apply(rows, batch_id)
             touched = rows.select("date", "province").distinct()
-            current = stat_sink.read_version(batch_id).join(touched, ["date", "province"], "left_semi")
+            current = stat_sink.read_partitions_of(rows, batch_id) \
+                .join(touched, ["date", "province"], "left_semi")
             top_sink.apply(ads.province_top3(ads.province_count(current), top_k), batch_id)
         finally:
             rows.unpersist()
@@ -182,7 +187,8 @@ def start_blacklist(clicks: DataFrame, store: AdStreamStore, threshold: int = ad
         try:
             counts_sink.apply(counts, batch_id)
             keys = counts.select("date", "userid", "adid")
-            touched = counts_sink.read_version(batch_id).join(keys, ["date", "userid", "adid"], "left_semi")
+            touched = counts_sink.read_partitions_of(counts, batch_id) \
+                .join(keys, ["date", "userid", "adid"], "left_semi")
             blacklist_sink.apply(ads.blacklist_candidates(touched, threshold), batch_id)
         finally:
             counts.unpersist()

@@ -129,3 +129,23 @@ def test_watermark_drops_events_beyond_delay(spark, root):
     sads.start_ad_stat(sads.clean_clicks(store), store, "1 day", NOW).awaitTermination()
     got = {(r["date"], r["click_count"]) for r in store.sink("ad_stat").snapshot().collect()}
     assert got == {("20240106", 1), ("20240105", 1)}
+
+
+def test_partitioned_sink_rewrites_only_touched_days(spark, root):
+    sink = KeyedSink(spark, os.path.join(root, "t"), AD_STAT, ["date", "province", "city", "adid"], "replace",
+                     partition_cols=["date"])
+    sink.apply(stat_rows(spark, [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 1)]), 0)
+    b1 = stat_rows(spark, [("d2", "p", "c", 1, 4), ("d2", "p", "c", 2, 2)])
+    sink.apply(b1, 1)
+    sink.apply(b1, 1)  # replay
+    assert sorted(f for f in os.listdir(os.path.join(root, "t", "v=1")) if not f.startswith(".")) == \
+        ["_SUCCESS", "date=d2"]
+    assert rows(sink.snapshot()) == [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 4), ("d2", "p", "c", 2, 2)]
+    assert rows(sink.read_version(0)) == [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 1)]
+    add = KeyedSink(spark, os.path.join(root, "a"), AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
+                    partition_cols=["date"])
+    for b in range(3):
+        add.apply(spark.createDataFrame([("20240101", 1, 1, 2), (f"2024010{b + 2}", 1, 1, 1)],
+                                        AD_USER_CLICK_COUNT), b)
+    assert rows(add.snapshot()) == [("20240101", 1, 1, 6), ("20240102", 1, 1, 1), ("20240103", 1, 1, 1),
+                                    ("20240104", 1, 1, 1)]
