@@ -23,8 +23,31 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Streaming state lives in RocksDB (off-heap, spills to local disk, checkpointed to the
+    # shared folder) so per-key running counts do not have to fit in executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
+STATE_STORE_ROCKSDB = DEFAULT_CONF["spark.sql.streaming.stateStore.providerClass"]
+
+
+def scale_conf(input_bytes: int, total_cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Cluster settings sized from the input: about ``partition_bytes`` per scan split and per
+    shuffle partition before AQE coalescing, at least three tasks per core, skew splitting for
+    partitions five times the median, and broadcasts only below 64 MB measured at runtime."""
+    parts = max(3 * total_cores, input_bytes // partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * partition_bytes),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.autoBroadcastJoinThreshold": str(16 << 20),
+        "spark.sql.streaming.stateStore.providerClass": STATE_STORE_ROCKSDB,
+    }
+
 
 def build_session(master: str | None = None, app_name: str = "shoplens",
                   shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
