@@ -56,7 +56,9 @@ def province_top3(pc: DataFrame, k: int = 3) -> DataFrame:
 
 
 def minute_of(ts="ts"):
-    return F.date_trunc("minute", F.col(ts) if isinstance(ts, str) else ts)
+    """The event minute as TIMESTAMP_NTZ (``date_trunc`` yields a zoned TIMESTAMP; casting back
+    keeps the wall clock, so results do not depend on the session time zone)."""
+    return F.date_trunc("minute", F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
 
 
 def trend_columns(minute_col: str = "minute_ts") -> list:
