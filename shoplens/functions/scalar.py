@@ -33,8 +33,10 @@ def half_up_ratio(num, den, digits: int = 2) -> Column:
 
 # ---- H15: comma-separated id list -> array<bigint>, empty items dropped ----
 def ids_array(text) -> Column:
-    parts = F.filter(F.split(_c(text), ","), lambda x: F.trim(x) != "")
-    return F.transform(parts, lambda x: F.trim(x).cast("bigint"))
+    """'5,6,' -> [5, 6]. Regex split + ``array_remove`` + array cast: no lambda, so the
+    expression stays inside whole-stage code generation."""
+    parts = F.split(F.trim(_c(text)), r"\s*,\s*")
+    return F.array_remove(parts, "").cast("array<bigint>")
 
 
 # ---- J3: group_concat_distinct -- exact distinct, nulls ignored, sorted, comma joined ----

@@ -47,17 +47,24 @@ def pay_counts(fa: DataFrame) -> DataFrame:
     return _list_counts(fa, "pay_category_ids")
 
 
+CLICK, ORDER, PAY = 1, 2, 3
+
+
 def _kind_rows(fa: DataFrame) -> DataFrame:
-    """(category_id, c, o, p) with one row per click, ordered id and paid id."""
-    def tag(ids, c, o, p):
-        return F.transform(ids, lambda x: F.struct(x.alias("category_id"), F.lit(c).alias("c"),
-                                                   F.lit(o).alias("o"), F.lit(p).alias("p")))
-    click = F.when(F.col("click_category_id") != -1, F.array(F.col("click_category_id"))) \
-        .otherwise(F.array().cast("array<bigint>"))
-    order = F.coalesce(ids_array("order_category_ids"), F.array().cast("array<bigint>"))
-    pay = F.coalesce(ids_array("pay_category_ids"), F.array().cast("array<bigint>"))
-    rows = F.concat(tag(click, 1, 0, 0), tag(order, 0, 1, 0), tag(pay, 0, 0, 1))
-    return fa.select(F.inline(rows))
+    """(category_id, kind) with one row per click, ordered id and paid id.
+
+    Built from array concatenation, ``array_repeat`` and ``arrays_zip`` (no lambdas), then one
+    ``inline`` generator.
+    """
+    empty = F.array().cast("array<bigint>")
+    click = F.when(F.col("click_category_id") != -1, F.array(F.col("click_category_id"))).otherwise(empty)
+    order = F.coalesce(ids_array("order_category_ids"), empty)
+    pay = F.coalesce(ids_array("pay_category_ids"), empty)
+    cats = F.concat(click, order, pay)
+    kinds = F.concat(F.array_repeat(F.lit(CLICK), F.size(click)), F.array_repeat(F.lit(ORDER), F.size(order)),
+                     F.array_repeat(F.lit(PAY), F.size(pay)))
+    zipped = F.arrays_zip(cats.alias("category_id"), kinds.alias("kind"))
+    return fa.select(F.inline(zipped)).toDF("category_id", "kind")
 
 
 def active_categories(fa: DataFrame) -> DataFrame:
@@ -67,10 +74,11 @@ def active_categories(fa: DataFrame) -> DataFrame:
 
 def category_funnel(fa: DataFrame) -> DataFrame:
     """(category_id, click_count, order_count, pay_count), zeros where absent."""
+    kind = F.col("kind")
     return _kind_rows(fa).groupBy("category_id").agg(
-        F.sum("c").cast("bigint").alias("click_count"),
-        F.sum("o").cast("bigint").alias("order_count"),
-        F.sum("p").cast("bigint").alias("pay_count"))
+        F.count_if(kind == CLICK).alias("click_count"),
+        F.count_if(kind == ORDER).alias("order_count"),
+        F.count_if(kind == PAY).alias("pay_count"))
 
 
 def funnel_order():

@@ -150,9 +150,10 @@ def ratio_columns() -> list[str]:
 
 def stat_ratio(sessions: DataFrame) -> DataFrame:
     """Session count and the share of every bucket, half-up to 2 decimals (0 when empty)."""
-    counts = [F.count_if(visit_bucket() == n).alias(f"v_{n}") for n, _, _ in VISIT_BUCKETS]
-    counts += [F.count_if(step_bucket() == n).alias(f"s_{n}") for n, _, _ in STEP_BUCKETS]
-    agg = sessions.agg(F.count(F.lit(1)).alias("session_count"), *counts)
+    b = sessions.select(visit_bucket().alias("vb"), step_bucket().alias("sb"))
+    counts = [F.count_if(F.col("vb") == n).alias(f"v_{n}") for n, _, _ in VISIT_BUCKETS]
+    counts += [F.count_if(F.col("sb") == n).alias(f"s_{n}") for n, _, _ in STEP_BUCKETS]
+    agg = b.agg(F.count(F.lit(1)).alias("session_count"), *counts)
     total = F.col("session_count")
     ratios = [F.coalesce(half_up_ratio(F.col(f"v_{n}"), total), F.lit(0.0)).alias(f"visit_length_{n}_ratio")
               for n, _, _ in VISIT_BUCKETS]

@@ -10,7 +10,10 @@ state is read back from files (no growing lineage).
 With ``partition_cols`` (a subset of the keys, e.g. the day), a version holds only the partitions
 its batch touched (``v=<b>/date=.../``) and the table is, per partition, the newest committed
 version holding it. A micro-batch then reads and rewrites only the partitions it touches, so its
-cost follows the batch, not the table.
+cost follows the batch, not the table. Every ``compact_every`` batches a full version (marked
+``_FULL``) is written instead; lookups start at the newest full version, and versions older than
+the newest full version at or below the current batch's base are deleted -- no replay of this or
+a later batch can read them -- so a long-running stream keeps a bounded number of directories.
 
 Modes:
   replace        overwrite the rows whose key occurs in the batch
@@ -33,7 +36,7 @@ MODES = ("replace", "add", "replace_group", "insert_absent")
 class KeyedSink:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
                  mode: str, group_keys: Sequence[str] = (), value_cols: Sequence[str] = (),
-                 partition_cols: Sequence[str] = ()):
+                 partition_cols: Sequence[str] = (), compact_every: int = 50, retain: bool = True):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         if mode == "replace_group" and not group_keys:
@@ -46,6 +49,8 @@ class KeyedSink:
         self.group_keys = list(group_keys)
         self.value_cols = list(value_cols) or [f.name for f in schema.fields if f.name not in keys]
         self.partition_cols = list(partition_cols)
+        self.compact_every = max(1, int(compact_every))
+        self.retain = retain
 
     # ---- storage helpers (Hadoop FileSystem, so any shared file system works) ----
     def _fs(self):
@@ -68,6 +73,12 @@ class KeyedSink:
                     out.append(int(name[2:]))
         return sorted(out)
 
+    def _is_full(self, version: int) -> bool:
+        if not self.partition_cols:
+            return True
+        fs, Path = self._fs()
+        return fs.exists(Path(f"{self.path}/v={version}", "_FULL"))
+
     def _partition_dirs(self, version: int) -> list[str]:
         """Relative partition paths ('date=x' or 'a=x/b=y') stored in one version."""
         fs, Path = self._fs()
@@ -85,9 +96,9 @@ class KeyedSink:
     def _layout(self, upto: int | None) -> dict[str, int]:
         """Partition path -> newest committed version (<= upto) that holds it."""
         newest: dict[str, int] = {}
-        for v in self.versions():
-            if upto is not None and v > upto:
-                break
+        vs = [v for v in self.versions() if upto is None or v <= upto]
+        full = [v for v in vs if self._is_full(v)]
+        for v in vs[vs.index(full[-1]):] if full else vs:
             for rel in self._partition_dirs(v):
                 newest[rel] = v
         return newest
@@ -156,9 +167,30 @@ class KeyedSink:
         if not self.partition_cols:
             merged = self.merge(self.read_version(base_version), batch)
             merged.write.mode("overwrite").parquet(out)
+            self._expire(base_version)
             return
-        touched = self._touched(batch)
-        current = self._empty() if base_version is None else \
-            self._read_partitions(self._layout(base_version), touched)
+        full = base_version is None or batch_id % self.compact_every == 0
+        if base_version is None:
+            current = self._empty()
+        else:
+            layout = self._layout(base_version)
+            current = self._read_partitions(layout, None if full else self._touched(batch))
         merged = self.merge(current, batch)
         merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(out)
+        if full:
+            fs, Path = self._fs()
+            fs.create(Path(out, "_FULL"), True).close()
+        self._expire(base_version)
+
+    def _expire(self, base_version: int | None) -> None:
+        """Delete versions older than the newest full version <= ``base_version``."""
+        if not self.retain or base_version is None:
+            return
+        vs = [v for v in self.versions() if v <= base_version]
+        full = [v for v in vs if self._is_full(v)]
+        if not full:
+            return
+        fs, Path = self._fs()
+        for v in vs:
+            if v < full[-1]:
+                fs.delete(Path(f"{self.path}/v={v}"), True)

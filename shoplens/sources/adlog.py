@@ -21,33 +21,27 @@ def millis_to_ntz(ms: Column) -> Column:
     return F.timestamp_add("MILLISECOND", ms, epoch)
 
 
-def _parts(value: Column) -> Column:
-    return F.split(value, " ")
-
-
-def parse_columns(value: Column) -> list[Column]:
-    p = _parts(value)
-    ts = millis_to_ntz(p[0].try_cast("bigint"))
-    return [ts.alias("ts"), format_date_key(ts).alias("date"), p[1].alias("province"),
-            p[2].alias("city"), p[3].try_cast("bigint").alias("userid"),
-            p[4].try_cast("bigint").alias("adid")]
-
-
-def valid_line(value: Column) -> Column:
-    p = _parts(value)
-    ok = (F.size(p) == 5) & p[0].try_cast("bigint").isNotNull() & (p[1] != "") & (p[2] != "") \
-        & p[3].try_cast("bigint").isNotNull() & p[4].try_cast("bigint").isNotNull()
-    return F.coalesce(ok, F.lit(False))
+def _fields(lines: DataFrame) -> DataFrame:
+    """Split each line once: (value, ms, province, city, userid, adid, ok)."""
+    p = F.split(F.col("value"), " ")
+    f = lines.select("value", F.size(p).alias("_n"), p[0].try_cast("bigint").alias("ms"),
+                     p[1].alias("province"), p[2].alias("city"),
+                     p[3].try_cast("bigint").alias("userid"), p[4].try_cast("bigint").alias("adid"))
+    ok = (F.col("_n") == 5) & F.col("ms").isNotNull() & (F.col("province") != "") \
+        & (F.col("city") != "") & F.col("userid").isNotNull() & F.col("adid").isNotNull()
+    return f.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
 def parse_ad_log(lines: DataFrame) -> DataFrame:
     """Well-formed lines as (ts, date, province, city, userid, adid)."""
-    return lines.where(valid_line(F.col("value"))).select(*parse_columns(F.col("value")))
+    ts = millis_to_ntz(F.col("ms"))
+    return _fields(lines).where("ok").select(ts.alias("ts"), format_date_key(ts).alias("date"),
+                                            "province", "city", "userid", "adid")
 
 
 def quarantine(lines: DataFrame) -> DataFrame:
     """The malformed lines, unchanged."""
-    return lines.where(~valid_line(F.col("value")))
+    return _fields(lines).where(~F.col("ok")).select("value")
 
 
 def read_ad_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,

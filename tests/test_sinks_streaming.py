@@ -149,3 +149,21 @@ def test_partitioned_sink_rewrites_only_touched_days(spark, root):
                                         AD_USER_CLICK_COUNT), b)
     assert rows(add.snapshot()) == [("20240101", 1, 1, 6), ("20240102", 1, 1, 1), ("20240103", 1, 1, 1),
                                     ("20240104", 1, 1, 1)]
+
+
+def test_compaction_and_retention_keep_results(spark, root):
+    path = os.path.join(root, "c")
+    sink = KeyedSink(spark, path, AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
+                     partition_cols=["date"], compact_every=3)
+    want = {}
+    for b in range(8):
+        day = f"2024010{b % 3 + 1}"
+        batch = [(day, 1, 1, b + 1), ("20240109", 2, 2, 1)]
+        for d, u, a, n in batch:
+            want[(d, u, a)] = want.get((d, u, a), 0) + n
+        sink.apply(spark.createDataFrame(batch, AD_USER_CLICK_COUNT), b)
+        if b == 5:
+            sink.apply(spark.createDataFrame(batch, AD_USER_CLICK_COUNT), b)  # replay
+    assert {(r[0], r[1], r[2]): r[3] for r in sink.snapshot().collect()} == want
+    kept = sorted(int(d[2:]) for d in os.listdir(path) if d.startswith("v="))
+    assert kept[0] >= 3 and kept[-1] == 7  # versions before the last usable full one are gone
