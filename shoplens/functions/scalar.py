@@ -31,6 +31,13 @@ def half_up_ratio(num, den, digits: int = 2) -> Column:
     return F.when(d != 0, int_div(n * (2 * scale) + d, d * 2) / F.lit(float(scale)))
 
 
+def half_up_ratio_sql(num: str, den: str, digits: int = 2) -> str:
+    """The same as ``half_up_ratio`` as a SQL expression over two long columns."""
+    scale = 10 ** digits
+    return (f"CASE WHEN {den} <> 0 THEN "
+            f"(({num} * {2 * scale} + {den}) div ({den} * 2)) / {float(scale)}D END")
+
+
 # ---- H15: comma-separated id list -> array<bigint>, empty items dropped ----
 def ids_array(text) -> Column:
     """'5,6,' -> [5, 6]. Regex split + ``array_remove`` + array cast: no lambda, so the

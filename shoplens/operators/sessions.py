@@ -17,7 +17,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions.scalar import half_up_ratio, join_list, seconds_between
+from shoplens.functions.scalar import half_up_ratio_sql
 from shoplens.params import TaskParams
 
 # Visit-length buckets in seconds, (name, lowest, highest), inclusive; None = open.
@@ -39,22 +39,20 @@ USER_COLUMNS = ["age", "professional", "sex", "city"]
 
 def session_summary(actions: DataFrame) -> DataFrame:
     """One row per session with arrays kept for filtering (``kw_list``, ``cat_list``)."""
-    kw = F.col("search_keyword")
-    cat = F.col("click_category_id")
     agg = actions.groupBy("session_id").agg(
-        F.min("user_id").alias("user_id"),
-        F.min("action_time").alias("start_time"),
-        F.max("action_time").alias("end_time"),
-        F.count(F.lit(1)).alias("step_length"),
-        F.array_sort(F.collect_set(F.when(kw != "", kw))).alias("kw_list"),
-        F.array_sort(F.collect_set(F.when(cat != -1, cat))).alias("cat_list"),
+        F.expr("min(user_id) AS user_id"),
+        F.expr("min(action_time) AS start_time"),
+        F.expr("max(action_time) AS end_time"),
+        F.expr("count(1) AS step_length"),
+        F.expr("array_sort(collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END)) AS kw_list"),
+        F.expr("array_sort(collect_set(CASE WHEN click_category_id <> -1 THEN click_category_id END)) AS cat_list"),
     )
-    return agg.select(
+    return agg.selectExpr(
         "session_id", "user_id", "start_time",
-        seconds_between("start_time", "end_time").alias("visit_length"),
+        "timestampdiff(SECOND, start_time, end_time) AS visit_length",
         "step_length",
-        join_list("kw_list").alias("search_keywords"),
-        join_list("cat_list").alias("click_category_ids"),
+        "nullif(array_join(kw_list, ','), '') AS search_keywords",
+        "nullif(array_join(cat_list, ','), '') AS click_category_ids",
         "kw_list", "cat_list")
 
 
@@ -114,20 +112,19 @@ def filter_sessions(enriched: DataFrame, p: TaskParams) -> DataFrame:
     return enriched if cond is None else enriched.where(cond)
 
 
-def _bucket(value: Column, buckets) -> Column:
-    expr = None
-    for name, lo, hi in buckets:
-        cond = value >= lo if hi is None else value.between(lo, hi)
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    return expr
+def bucket_sql(col: str, buckets) -> str:
+    """CASE expression naming the bucket of ``col`` (NULL when none applies)."""
+    arms = " ".join(f"WHEN {col} >= {lo} THEN '{name}'" if hi is None
+                    else f"WHEN {col} BETWEEN {lo} AND {hi} THEN '{name}'" for name, lo, hi in buckets)
+    return f"CASE {arms} END"
 
 
 def visit_bucket(col="visit_length") -> Column:
-    return _bucket(F.col(col), VISIT_BUCKETS)
+    return F.expr(bucket_sql(col, VISIT_BUCKETS))
 
 
 def step_bucket(col="step_length") -> Column:
-    return _bucket(F.col(col), STEP_BUCKETS)
+    return F.expr(bucket_sql(col, STEP_BUCKETS))
 
 
 def length_histogram(sessions: DataFrame) -> DataFrame:
@@ -150,13 +147,13 @@ def ratio_columns() -> list[str]:
 
 def stat_ratio(sessions: DataFrame) -> DataFrame:
     """Session count and the share of every bucket, half-up to 2 decimals (0 when empty)."""
-    b = sessions.select(visit_bucket().alias("vb"), step_bucket().alias("sb"))
-    counts = [F.count_if(F.col("vb") == n).alias(f"v_{n}") for n, _, _ in VISIT_BUCKETS]
-    counts += [F.count_if(F.col("sb") == n).alias(f"s_{n}") for n, _, _ in STEP_BUCKETS]
-    agg = b.agg(F.count(F.lit(1)).alias("session_count"), *counts)
-    total = F.col("session_count")
-    ratios = [F.coalesce(half_up_ratio(F.col(f"v_{n}"), total), F.lit(0.0)).alias(f"visit_length_{n}_ratio")
+    b = sessions.selectExpr(f"{bucket_sql('visit_length', VISIT_BUCKETS)} AS vb",
+                            f"{bucket_sql('step_length', STEP_BUCKETS)} AS sb")
+    counts = [f"count_if(vb = '{n}') AS v_{n}" for n, _, _ in VISIT_BUCKETS]
+    counts += [f"count_if(sb = '{n}') AS s_{n}" for n, _, _ in STEP_BUCKETS]
+    agg = b.selectExpr("count(1) AS session_count", *counts)
+    ratios = [f"coalesce({half_up_ratio_sql(f'v_{n}', 'session_count')}, 0.0D) AS visit_length_{n}_ratio"
               for n, _, _ in VISIT_BUCKETS]
-    ratios += [F.coalesce(half_up_ratio(F.col(f"s_{n}"), total), F.lit(0.0)).alias(f"step_length_{n}_ratio")
+    ratios += [f"coalesce({half_up_ratio_sql(f's_{n}', 'session_count')}, 0.0D) AS step_length_{n}_ratio"
                for n, _, _ in STEP_BUCKETS]
-    return agg.select("session_count", *ratios)
+    return agg.selectExpr("session_count", *ratios)

@@ -22,10 +22,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def _str(c: Column) -> Column:
-    return c.cast("string")
-
-
 def epoch_millis(ts: Column) -> Column:
     """Milliseconds since the epoch of a TIMESTAMP_NTZ, floored, independent of the session zone."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -36,78 +32,83 @@ def action_base(events: DataFrame) -> DataFrame:
     """Session start day ``d0`` and second offset ``sec`` per event.
 
     user_id % 3 = 0 gives one session per day, 1 per week, 2 per month, so every visit-length
-    bucket is populated.
+    bucket is populated. (Adapters are written as SQL expression strings: one call to the JVM per
+    projection instead of one per column expression.)
     """
-    kind = F.col("user_id") % 3
-    day = F.dayofmonth("ts")
-    d0 = (F.when(kind == 0, day)
-          .when(kind == 1, F.floor((day - 1) / 7).cast("int") * 7 + 1)
-          .otherwise(F.lit(1)))
-    spread = F.when(kind == 0, 1).when(kind == 1, 3).otherwise(10)
-    sec = (F.col("user_id") % 22) * 3600 + F.floor(F.col("value") * spread).cast("bigint")
-    return events.select(
+    return events.selectExpr(
         "event_id", "user_id", "event_type",
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"),
-        d0.alias("d0"), sec.alias("sec"))
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
+        """CASE user_id % 3 WHEN 0 THEN day(ts)
+                WHEN 1 THEN CAST(floor((day(ts) - 1) / 7) AS INT) * 7 + 1 ELSE 1 END AS d0""",
+        """(user_id % 22) * 3600
+             + CAST(floor(value * CASE user_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 3 ELSE 10 END) AS BIGINT)
+             AS sec""")
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = action_base(read_table(spark, sf_dir, "events"))
-    k, eid, et = F.col("k"), F.col("event_id"), F.col("event_type")
-    day = F.make_date(F.lit(2024), F.lit(1), F.col("d0"))
-    action_time = F.timestamp_add("SECOND", F.col("sec"), day.cast("timestamp_ntz"))
-    return b.select(
-        _str(day).alias("date"),
-        F.col("user_id"),
-        F.concat(F.lit("u"), _str(F.col("user_id")), F.lit("-d"), _str(F.col("d0"))).alias("session_id"),
-        (eid % 10).alias("page_id"),
-        action_time.alias("action_time"),
-        F.when(et == "view", F.concat(F.lit("kw"), _str(k % 12))).alias("search_keyword"),
-        F.when(et == "click", k).otherwise(F.lit(-1)).alias("click_category_id"),
-        F.when(et == "click", (eid * 13) % 120).otherwise(F.lit(-1)).alias("click_product_id"),
-        F.when(et == "signup", F.concat(_str(k), F.lit(","), _str((k * 7 + 1) % 100))).alias("order_category_ids"),
-        F.when(et == "signup", _str(eid % 120)).alias("order_product_ids"),
-        F.when(et == "purchase", _str(k)).alias("pay_category_ids"),
-        F.when(et == "purchase", _str(eid % 120)).alias("pay_product_ids"),
-        (eid % 10).alias("city_id"),
+    return b.selectExpr(
+        "CAST(make_date(2024, 1, d0) AS STRING) AS date",
+        "user_id",
+        "concat('u', CAST(user_id AS STRING), '-d', CAST(d0 AS STRING)) AS session_id",
+        "event_id % 10 AS page_id",
+        "timestampadd(SECOND, sec, CAST(make_date(2024, 1, d0) AS TIMESTAMP_NTZ)) AS action_time",
+        "CASE WHEN event_type = 'view' THEN concat('kw', CAST(k % 12 AS STRING)) END AS search_keyword",
+        "CASE WHEN event_type = 'click' THEN k ELSE -1 END AS click_category_id",
+        "CASE WHEN event_type = 'click' THEN (event_id * 13) % 120 ELSE -1 END AS click_product_id",
+        """CASE WHEN event_type = 'signup'
+                THEN concat(CAST(k AS STRING), ',', CAST((k * 7 + 1) % 100 AS STRING)) END
+             AS order_category_ids""",
+        "CASE WHEN event_type = 'signup' THEN CAST(event_id % 120 AS STRING) END AS order_product_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(k AS STRING) END AS pay_category_ids",
+        "CASE WHEN event_type = 'purchase' THEN CAST(event_id % 120 AS STRING) END AS pay_product_ids",
+        "event_id % 10 AS city_id",
     )
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer")
-    key = F.col("c_custkey")
-    return c.where(key % 50 != 49).select(
-        key.alias("user_id"),
-        F.concat(F.lit("user"), _str(key)).alias("username"),
-        F.col("c_name").alias("name"),
-        ((key * 7) % 60).cast("int").alias("age"),
-        F.concat(F.lit("professional"), _str(key % 100)).alias("professional"),
-        F.concat(F.lit("city"), _str(F.col("c_nationkey"))).alias("city"),
-        F.when(key % 2 == 0, "male").otherwise("female").alias("sex"),
+    return c.where("c_custkey % 50 <> 49").selectExpr(
+        "c_custkey AS user_id",
+        "concat('user', CAST(c_custkey AS STRING)) AS username",
+        "c_name AS name",
+        "CAST((c_custkey * 7) % 60 AS INT) AS age",
+        "concat('professional', CAST(c_custkey % 100 AS STRING)) AS professional",
+        "concat('city', CAST(c_nationkey AS STRING)) AS city",
+        "CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex",
     )
 
 
 def product_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part")
-    return p.where(F.col("p_partkey") % 17 != 0).select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.concat(F.lit('{"product_status": '), _str(F.col("p_size") % 2), F.lit("}")).alias("extend_info"),
+    return p.where("p_partkey % 17 <> 0").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS product_name",
+        """concat('{"product_status": ', CAST(p_size % 2 AS STRING), '}') AS extend_info""",
     )
 
 
+# epoch milliseconds of a TIMESTAMP_NTZ, floored
+EPOCH_MILLIS_SQL = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})"
+
+
+def epoch_millis(ts: Column) -> Column:
+    """Milliseconds since the epoch of a TIMESTAMP_NTZ, floored."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_diff("MILLISECOND", epoch, ts)
+
+
 def ad_log(spark: SparkSession, sf_dir: str, keep_event_id: bool = False) -> DataFrame:
     """One text column ``value``: ``<epoch ms> <province> <city> <userid> <adid>``.
 
     A quarter of the lines is concentrated on users 0-2 and ad 0 (a hot key by design).
     ``keep_event_id`` also returns the source ``event_id`` (to split the log into batches).
     """
-    e = read_table(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view"))
-    hot = F.col("event_id") % 4 == 0
-    uid = F.col("user_id")
-    user = F.when(hot, uid % 3).otherwise(uid)
-    ad = F.when(hot, F.lit(0).cast("bigint")).otherwise(
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint") % 20)
-    line = F.concat_ws(" ", _str(epoch_millis(F.col("ts"))), _str(uid % 5), _str(uid % 10),
-                       _str(user), _str(ad)).alias("value")
-    return e.select("event_id", line) if keep_event_id else e.select(line)
+    e = read_table(spark, sf_dir, "events").where("event_type IN ('click', 'view')")
+    line = f"""concat_ws(' ', CAST({EPOCH_MILLIS_SQL.format(ts="ts")} AS STRING),
+                  CAST(user_id % 5 AS STRING), CAST(user_id % 10 AS STRING),
+                  CAST(CASE WHEN event_id % 4 = 0 THEN user_id % 3 ELSE user_id END AS STRING),
+                  CAST(CASE WHEN event_id % 4 = 0 THEN 0
+                            ELSE CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) % 20 END AS STRING))
+               AS value"""
+    return e.selectExpr("event_id", line) if keep_event_id else e.selectExpr(line)
