@@ -408,3 +408,8 @@ def q_ad_blacklist_stream(spark, sf_dir):
 @query("scalar_functions")
 def q_scalar_functions(spark, sf_dir):
     return scalar.scalar_showcase(Tables(spark, sf_dir).raw("events"))
+
+
+@query("page_convert_rate_text")
+def q_page_convert_rate_text(spark, sf_dir):
+    return pageflow.render_rates(q_page_convert_rate(spark, sf_dir))

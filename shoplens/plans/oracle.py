@@ -405,3 +405,9 @@ SELECT event_id,
        concat(CAST(event_id % 10 AS VARCHAR), '_', CAST((event_id + 1) % 10 AS VARCHAR), '=',
               CAST(ratio AS VARCHAR)) AS rate_text
 FROM ev""")
+oracle("page_convert_rate_text", _PAGE_CTES, """
+SELECT string_agg(concat_ws('=', page_pair, CAST(rate AS VARCHAR)), '|' ORDER BY step) AS convert_rate
+FROM (SELECT step, page_pair,
+             CASE WHEN prev_cnt = 0 THEN NULL
+                  ELSE ((200 * cnt + prev_cnt) // (2 * prev_cnt)) / 100.0::DOUBLE END AS rate
+      FROM rates)""")

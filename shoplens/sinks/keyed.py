@@ -175,7 +175,9 @@ class KeyedSink:
         else:
             layout = self._layout(base_version)
             current = self._read_partitions(layout, None if full else self._touched(batch))
-        merged = self.merge(current, batch)
+        # Cluster by the partition columns first: one file per touched day instead of one per
+        # (task, day) pair; the rows are aggregated results, so a day stays a modest task.
+        merged = self.merge(current, batch).repartition(*self.partition_cols)
         merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(out)
         if full:
             fs, Path = self._fs()
