@@ -66,7 +66,7 @@ DETAIL_COLUMNS = ["session_id", "user_id", "page_id", "action_time", "search_key
 
 
 def extract_detail(actions: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Q26: every action of the sampled sessions (semi join; the sample is at most ``total``
-    rows, so Spark broadcasts it)."""
-    return actions.join(extracted.select("session_id"), "session_id", "left_semi") \
+    """Q26: every action of the sampled sessions. The sample holds at most ``total`` sessions
+    (a parameter), so its ids are broadcast and the actions are not shuffled."""
+    return actions.join(F.broadcast(extracted.select("session_id")), "session_id", "left_semi") \
         .select(*DETAIL_COLUMNS)

@@ -364,6 +364,7 @@ def q_upsert_replace_group(spark, sf_dir):
 # ---------------------------------------------------------------- streaming forms
 STREAM_FEED_FILES = 8
 STREAM_WATERMARK = "7 days"
+STREAM_STATE_PARTITIONS = 8  # state-store partitions for the replayed test log (tens of thousands of rows)
 AVAILABLE_NOW = {"availableNow": True}
 
 
@@ -375,9 +376,11 @@ def _run_stream(spark, sf_dir, job: str) -> AdStreamStore:
     stream_ads.start_clean_clicks(lines, store, AVAILABLE_NOW).awaitTermination()
     clicks = stream_ads.clean_clicks(store, max_files_per_trigger=2)
     if job == "stat":
-        q = stream_ads.start_ad_stat(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW)
+        q = stream_ads.start_ad_stat(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW,
+                                     state_partitions=STREAM_STATE_PARTITIONS)
     elif job == "trend":
-        q = stream_ads.start_click_trend(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW)
+        q = stream_ads.start_click_trend(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW,
+                                         state_partitions=STREAM_STATE_PARTITIONS)
     else:
         q = stream_ads.start_blacklist(clicks, store, trigger=AVAILABLE_NOW)
     q.awaitTermination()

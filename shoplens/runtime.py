@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +95,20 @@ def shared_dir(spark: SparkSession, *parts: str, unique: bool = True) -> str:
         return "/".join([root.rstrip("/")] + leaf)
     base = root[len("file:"):] if root.startswith("file:") else root
     return os.path.join(base, *leaf)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, settings: dict):
+    """Apply SQL settings for the duration of a block (e.g. while a streaming query starts and
+    fixes its state partitioning), then restore the previous values."""
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import ads
+from shoplens.runtime import session_conf
 from shoplens.schema import (AD_BLACKLIST, AD_CLICK, AD_CLICK_TREND, AD_PROVINCE_TOP3, AD_STAT,
                              AD_USER_CLICK_COUNT)
 from shoplens.sinks.keyed import KeyedSink
@@ -78,11 +79,18 @@ class AdStreamStore:
         raise KeyError(name)
 
 
-def _start(df_writer, name: str, store: AdStreamStore, trigger: dict | None) -> StreamingQuery:
-    return (df_writer.option("checkpointLocation", store.checkpoint(name))
-            .trigger(**(trigger or DEFAULT_TRIGGER))
-            .queryName(f"ads_{name}_{os.path.basename(store.root.rstrip('/'))}")
-            .start())
+def _start(df_writer, name: str, store: AdStreamStore, trigger: dict | None,
+           state_partitions: int | None = None) -> StreamingQuery:
+    """Start with a checkpoint under the store. ``state_partitions`` fixes the number of shuffle /
+    state-store partitions of a stateful query on its first start (later restarts keep the
+    number recorded in the checkpoint)."""
+    writer = (df_writer.option("checkpointLocation", store.checkpoint(name))
+              .trigger(**(trigger or DEFAULT_TRIGGER))
+              .queryName(f"ads_{name}_{os.path.basename(store.root.rstrip('/'))}"))
+    if not state_partitions:
+        return writer.start()
+    with session_conf(store.spark, {"spark.sql.shuffle.partitions": state_partitions}):
+        return writer.start()
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
@@ -140,7 +148,8 @@ def running_ad_stat(clicks: DataFrame, watermark: str | None = DEFAULT_WATERMARK
 
 
 def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None = DEFAULT_WATERMARK,
-                  trigger: dict | None = None, top_k: int = 3) -> StreamingQuery:
+                  trigger: dict | None = None, top_k: int = 3,
+                  state_partitions: int | None = None) -> StreamingQuery:
     stat_sink, top_sink = store.sink("ad_stat"), store.sink("ad_province_top3")
 
     def per_batch(updated: DataFrame, batch_id: int) -> None:
@@ -155,7 +164,7 @@ def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None
             rows.unpersist()
 
     query = running_ad_stat(clicks, watermark).writeStream.outputMode("update").foreachBatch(per_batch)
-    return _start(query, "stat", store, trigger)
+    return _start(query, "stat", store, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- per-minute trend
@@ -167,14 +176,14 @@ def running_click_trend(clicks: DataFrame, watermark: str | None = DEFAULT_WATER
 
 
 def start_click_trend(clicks: DataFrame, store: AdStreamStore, watermark: str | None = DEFAULT_WATERMARK,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
     sink = store.sink("ad_click_trend")
 
     def per_batch(updated: DataFrame, batch_id: int) -> None:
         sink.apply(updated.select(*AD_CLICK_TREND.fieldNames()), batch_id)
 
     query = running_click_trend(clicks, watermark).writeStream.outputMode("update").foreachBatch(per_batch)
-    return _start(query, "trend", store, trigger)
+    return _start(query, "trend", store, trigger, state_partitions)
 
 
 # ---------------------------------------------------------------- blacklist maintenance
