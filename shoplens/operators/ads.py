@@ -77,12 +77,16 @@ def click_trend(clicks: DataFrame) -> DataFrame:
 def recent_hour(clicks: DataFrame, minutes: int = 60) -> DataFrame:
     """The per-minute trend for the ``minutes`` minutes ending at the newest event minute.
 
-    The newest minute is a scalar subquery (one value); the time filter runs before the
-    aggregation, so only the last hour's clicks are counted.
+    The newest minute is a scalar subquery (one value, computed by its own pass over the event
+    times); Catalyst pushes the ``minute >= newest - 59`` filter below the per-minute
+    aggregation, so only the last hour's clicks are aggregated and shuffled.
     """
-    newest = clicks.select(F.max(minute_of("ts"))).scalar()
+    per_minute = clicks.groupBy(minute_of("ts").alias("minute_ts"), "adid") \
+        .agg(F.count(F.lit(1)).alias("click_count"))
+    newest = per_minute.select(F.max("minute_ts")).scalar()
     since = F.timestamp_add("MINUTE", F.lit(-(minutes - 1)), newest)
-    return click_trend(clicks.where(minute_of("ts") >= since))
+    return per_minute.where(F.col("minute_ts") >= since) \
+        .select(*trend_columns(), "adid", "click_count")
 
 
 def sliding_hour(clicks: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:

@@ -13,7 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import ids_array
+from shoplens.operators.sessions import (enrich, filter_sessions, has_session_constraints,
+                                         session_summary, user_predicate)
 from shoplens.operators.topk import top_k, top_k_per_group
+from shoplens.params import TaskParams
 
 FILTERED_ACTION_COLUMNS = ["session_id", "action_time", "page_id", "click_category_id",
                            "order_category_ids", "pay_category_ids"]
@@ -24,6 +27,25 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")
 
 
+def actions_of_qualifying_sessions(actions: DataFrame, users: DataFrame, p: TaskParams,
+                                   filtered_sessions=None) -> DataFrame:
+    """C2 with the cheapest plan the constraints allow.
+
+    A session belongs to one user, so when every constraint is a user attribute (age,
+    profession, city, sex -- the usual case) a session qualifies exactly when its user does:
+    the actions are semi-joined to the qualifying users and neither a session aggregation nor a
+    second scan of the actions is needed. Keyword / category constraints depend on the whole
+    session and take the session path (``filtered_sessions``, built on demand).
+    """
+    if not has_session_constraints(p):
+        cond = user_predicate(p)
+        u = users if cond is None else users.where(cond)
+        return actions.join(u.select("user_id"), "user_id", "left_semi")
+    if filtered_sessions is None:
+        filtered_sessions = filter_sessions(enrich(session_summary(actions), users), p)
+    return filtered_actions(actions, filtered_sessions)
+
+
 def click_counts(fa: DataFrame) -> DataFrame:
     """D5."""
     return (fa.where(F.col("click_category_id") != -1)

@@ -25,20 +25,25 @@ from shoplens.functions.scalar import half_up_ratio
 DEFAULT_BUCKET_SECONDS = 3600
 
 
-def consecutive_pairs(df: DataFrame, key: str, time_col: str, value: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """(key, value, next_value) for every pair of consecutive rows of a key ordered by
-    (time_col, value)."""
+def _ranked(df: DataFrame, key: str, time_col: str, value: str, bucket_seconds: int) -> DataFrame:
+    """Level 1: ``lead`` and row number inside each (key, time bucket)."""
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     bucket = F.floor(F.timestamp_diff("SECOND", epoch, F.col(time_col)) / bucket_seconds)
     rows = df.select(key, time_col, value, bucket.alias("_b"))
     w = Window.partitionBy(key, "_b").orderBy(time_col, value)
-    ranked = rows.select(key, "_b", time_col, value,
-                         F.lead(value).over(w).alias("_next"),
-                         F.row_number().over(w).alias("_rn"))
+    return rows.select(key, "_b", time_col, value, F.lead(value).over(w).alias("_next"),
+                       F.row_number().over(w).alias("_rn"))
+
+
+def _pairs(ranked: DataFrame, key: str, value: str) -> DataFrame:
     inner = ranked.where(F.col("_next").isNotNull()) \
         .select(key, value, F.col("_next").alias(f"next_{value}"))
-    # Bucket edges: kind 0 = first row of a bucket, kind 1 = last row (a one-row bucket is both).
+    return inner.unionByName(_cross_pairs(ranked, key, value))
+
+
+def _cross_pairs(ranked: DataFrame, key: str, value: str) -> DataFrame:
+    # Level 2 -- bucket edges: kind 0 = first row of a bucket, kind 1 = last row (a one-row
+    # bucket is both); the last row of a bucket pairs with the first row of the next one.
     edges = ranked.where((F.col("_rn") == 1) | F.col("_next").isNull()).select(
         key, "_b", value,
         F.explode(F.array_distinct(F.array(
@@ -49,7 +54,34 @@ def consecutive_pairs(df: DataFrame, key: str, time_col: str, value: str,
     cross = (edges.select(key, value, "_kind", F.lead(value).over(we).alias("_next"))
              .where((F.col("_kind") == 1) & F.col("_next").isNotNull())
              .select(key, value, F.col("_next").alias(f"next_{value}")))
-    return inner.unionByName(cross)
+    return cross
+
+
+def consecutive_pairs(df: DataFrame, key: str, time_col: str, value: str,
+                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+    """(key, value, next_value) for every pair of consecutive rows of a key ordered by
+    (time_col, value)."""
+    return _pairs(_ranked(df, key, time_col, value, bucket_seconds), key, value)
+
+
+def flow_counts(actions: DataFrame, flow: Sequence[int],
+                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> tuple[DataFrame, DataFrame]:
+    """(pair counts, start-page count) from one scan: the start-page rows are counted from the
+    same level-1 rows the pairs come from, so both share one shuffle of the actions."""
+    ranked = _ranked(actions, "session_id", "action_time", "page_id", bucket_seconds)
+    start = int(flow[0])
+    wanted = [p for _, p in target_pairs(flow)] + ["start"]
+    # every level-1 row yields its in-bucket pair and, on the start page, a 'start' label
+    row_labels = ranked.select(F.explode(F.array(
+        F.when(F.col("_next").isNotNull(), page_pair_key("page_id", "_next")),
+        F.when(F.col("page_id") == start, F.lit("start")))).alias("label"))
+    cross_labels = _cross_pairs(ranked, "session_id", "page_id").select(page_pair_key().alias("label"))
+    labels = row_labels.unionByName(cross_labels).where(F.col("label").isin(wanted))
+    counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = counts.where(F.col("label") != "start").select(F.col("label").alias("page_pair"), "cnt")
+    start_count = (counts.where(F.col("label") == "start")
+                   .select(F.lit(start).cast("bigint").alias("start_page"), "cnt"))
+    return pairs, start_count
 
 
 def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
@@ -90,8 +122,11 @@ def convert_rate(spark: SparkSession, pair_counts: DataFrame, start_count: DataF
     steps = spark.createDataFrame(target_pairs(flow), "step int, page_pair string")
     counted = (steps.join(F.broadcast(pair_counts), "page_pair", "left")
                .select("step", "page_pair", F.coalesce("cnt", F.lit(0)).cast("bigint").alias("cnt")))
-    step0 = start_count.select(F.lit(0).alias("step"), F.lit(None).cast("string").alias("page_pair"),
-                               F.col("cnt").cast("bigint").alias("cnt"))
+    # the start count is one row; with no start-page rows at all it counts 0
+    step0 = (spark.createDataFrame([(0,)], "step int")
+             .join(F.broadcast(start_count.select(F.lit(0).alias("step"), "cnt")), "step", "left")
+             .select("step", F.lit(None).cast("string").alias("page_pair"),
+                     F.coalesce("cnt", F.lit(0)).cast("bigint").alias("cnt")))
     # One row per step of the flow: a bounded, single-partition window.
     w = Window.orderBy("step")
     chained = counted.unionByName(step0).withColumn("prev_cnt", F.lag("cnt").over(w))

@@ -107,6 +107,17 @@ def session_predicate(p: TaskParams) -> Column | None:
     return reduce(and_, parts) if parts else None
 
 
+def user_predicate(p: TaskParams) -> Column | None:
+    """The constraints that are attributes of the user (age, profession, city, sex)."""
+    parts = [c for c in [age_predicate(p), *in_predicates(p), sex_predicate(p)] if c is not None]
+    return reduce(and_, parts) if parts else None
+
+
+def has_session_constraints(p: TaskParams) -> bool:
+    """True when a constraint needs the session's own actions (keywords, clicked categories)."""
+    return bool(p.keywords or p.category_ids)
+
+
 def filter_sessions(enriched: DataFrame, p: TaskParams) -> DataFrame:
     cond = session_predicate(p)
     return enriched if cond is None else enriched.where(cond)

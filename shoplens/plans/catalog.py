@@ -15,7 +15,7 @@ from shoplens.functions import scalar
 from shoplens.operators import ads, area, category, pageflow, sampling, sessions
 from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
-from shoplens.runtime import shared_dir
+from shoplens.runtime import materialize, shared_dir
 from shoplens.schema import AD_BLACKLIST
 from shoplens.sources.actions import scan_actions, scan_clicks
 from shoplens.sources import testdata
@@ -156,7 +156,10 @@ def _quota(t: Tables) -> DataFrame:
 
 
 def _extracted(t: Tables) -> DataFrame:
-    return sampling.extract_sessions(_filtered(t), _quota(t), SAMPLE_TOTAL)
+    # the filtered sessions feed both the quota and the ranking: materialise them once
+    s = materialize(_filtered(t))
+    quota = sampling.extract_quota(sampling.hour_counts(s), SAMPLE_TOTAL)
+    return sampling.extract_sessions(s, quota, SAMPLE_TOTAL)
 
 
 @query("session_hour_count")
@@ -182,7 +185,8 @@ def q_session_extract_detail(spark, sf_dir):
 
 # ---------------------------------------------------------------- categories
 def _fa(t: Tables) -> DataFrame:
-    return category.filtered_actions(scan_actions(t.actions, SESSION_PARAMS), _filtered(t))
+    return category.actions_of_qualifying_sessions(scan_actions(t.actions, SESSION_PARAMS), t.users,
+                                                   SESSION_PARAMS)
 
 
 @query("filtered_actions")
@@ -262,11 +266,9 @@ def q_page_start_count(spark, sf_dir):
 
 @query("page_convert_rate")
 def q_page_convert_rate(spark, sf_dir):
-    t = Tables(spark, sf_dir)
     flow = PAGE_PARAMS.target_page_flow
-    acts = _page_actions(t)
-    return pageflow.convert_rate(spark, pageflow.page_pair_counts(pageflow.page_pairs(acts), flow),
-                                 pageflow.start_page_count(acts, flow), flow)
+    pairs, start = pageflow.flow_counts(_page_actions(Tables(spark, sf_dir)), flow)
+    return pageflow.convert_rate(spark, pairs, start, flow)
 
 
 # ---------------------------------------------------------------- advertisement clicks (batch)

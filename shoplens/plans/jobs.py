@@ -38,7 +38,7 @@ def session_results(t: ShopTables, p: TaskParams, sample_total: int = sampling.D
     (the caller persists it while the results are written)."""
     acts = scan_actions(t.actions, p)
     filtered = sessions.filter_sessions(sessions.enrich(sessions.session_summary(acts), t.users), p)
-    fa = category.filtered_actions(acts, filtered)
+    fa = category.actions_of_qualifying_sessions(acts, t.users, p, filtered)
     funnel = category.category_funnel(fa)
     top10 = category.top_categories(funnel, 10)
     quota = sampling.extract_quota(sampling.hour_counts(filtered), sample_total)
@@ -56,9 +56,8 @@ def session_results(t: ShopTables, p: TaskParams, sample_total: int = sampling.D
 def page_results(t: ShopTables, p: TaskParams) -> dict[str, DataFrame]:
     acts = scan_actions(t.actions, p)
     flow = p.target_page_flow
-    rates = pageflow.convert_rate(acts.sparkSession,
-                                  pageflow.page_pair_counts(pageflow.page_pairs(acts), flow),
-                                  pageflow.start_page_count(acts, flow), flow)
+    pairs, start = pageflow.flow_counts(acts, flow)
+    rates = pageflow.convert_rate(acts.sparkSession, pairs, start, flow)
     return {"page_split_convert_rate": rates, "page_split_convert_rate_text": pageflow.render_rates(rates)}
 
 

@@ -112,3 +112,11 @@ def session_conf(spark: SparkSession, settings: dict):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and return a DataFrame reading it back:
+    for a small intermediate (e.g. one row per session) that feeds several branches, so the
+    large input behind it is scanned once, and the lineage is cut (survives executor loss)."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
