@@ -72,8 +72,8 @@ def pay_counts(fa: DataFrame) -> DataFrame:
 CLICK, ORDER, PAY = 1, 2, 3
 
 
-def _kind_rows(fa: DataFrame) -> DataFrame:
-    """(category_id, kind) with one row per click, ordered id and paid id.
+def _kind_rows(fa: DataFrame, *extra: str) -> DataFrame:
+    """(category_id, kind, *extra) with one row per click, ordered id and paid id.
 
     Built from array concatenation, ``array_repeat`` and ``arrays_zip`` (no lambdas), then one
     ``inline`` generator.
@@ -86,7 +86,7 @@ def _kind_rows(fa: DataFrame) -> DataFrame:
     kinds = F.concat(F.array_repeat(F.lit(CLICK), F.size(click)), F.array_repeat(F.lit(ORDER), F.size(order)),
                      F.array_repeat(F.lit(PAY), F.size(pay)))
     zipped = F.arrays_zip(cats.alias("category_id"), kinds.alias("kind"))
-    return fa.select(F.inline(zipped)).toDF("category_id", "kind")
+    return fa.select(*extra, F.inline(zipped)).toDF(*extra, "category_id", "kind")
 
 
 def active_categories(fa: DataFrame) -> DataFrame:
@@ -103,6 +103,28 @@ def category_funnel(fa: DataFrame) -> DataFrame:
         F.count_if(kind == PAY).alias("pay_count"))
 
 
+def session_kind_counts(fa: DataFrame) -> DataFrame:
+    """(category_id, session_id, click_count, order_count, pay_count): one aggregation of the
+    filtered actions that both the funnel and the per-session clicks can be derived from."""
+    kind = F.col("kind")
+    return _kind_rows(fa, "session_id").groupBy("category_id", "session_id").agg(
+        F.count_if(kind == CLICK).alias("click_count"),
+        F.count_if(kind == ORDER).alias("order_count"),
+        F.count_if(kind == PAY).alias("pay_count"))
+
+
+def funnel_from_session_counts(skc: DataFrame) -> DataFrame:
+    """C3/D9 from ``session_kind_counts``."""
+    return skc.groupBy("category_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("click_count", "order_count", "pay_count")])
+
+
+def clicks_of_top(skc: DataFrame, top: DataFrame) -> DataFrame:
+    """D10 from ``session_kind_counts``: sessions that clicked a top category (ten-row broadcast)."""
+    return (skc.join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+            .where(F.col("click_count") > 0).select("category_id", "session_id", "click_count"))
+
+
 def funnel_order():
     return [F.col("click_count").desc(), F.col("order_count").desc(),
             F.col("pay_count").desc(), F.col("category_id").asc()]

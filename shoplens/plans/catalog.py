@@ -228,16 +228,22 @@ def q_top10_category(spark, sf_dir):
     return _top10(_fa(Tables(spark, sf_dir)))
 
 
+def _top_category_clicks(t: Tables) -> DataFrame:
+    # one aggregation of the filtered actions per (category, session), materialised once, feeds
+    # both the funnel (for the top 10) and the per-session clicks: the actions are scanned once
+    skc = materialize(category.session_kind_counts(_fa(t)))
+    top = category.top_categories(category.funnel_from_session_counts(skc), 10)
+    return category.clicks_of_top(skc, top)
+
+
 @query("session_category_count")
 def q_session_category_count(spark, sf_dir):
-    fa = _fa(Tables(spark, sf_dir))
-    return category.session_category_clicks(fa, _top10(fa))
+    return _top_category_clicks(Tables(spark, sf_dir))
 
 
 @query("top_sessions_per_category")
 def q_top_sessions_per_category(spark, sf_dir):
-    fa = _fa(Tables(spark, sf_dir))
-    return category.top_sessions(category.session_category_clicks(fa, _top10(fa)), 10)
+    return category.top_sessions(_top_category_clicks(Tables(spark, sf_dir)), 10)
 
 
 # ---------------------------------------------------------------- page flow

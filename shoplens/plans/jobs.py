@@ -6,8 +6,9 @@
 ``ad_stream_job``  starts the four streaming queries of ``shoplens.streaming.ads``
 
 Inputs are DataFrames (tables in production, the adapters in tests) and a ``TaskParams``. The
-filtered session table feeds five results, so it is persisted once for the run and released in
-``finally``; results are written with a ``task_id`` column through ``write_results``.
+filtered session table and the per-(category, session) counts feed several results each, so they
+are persisted for the run and released in ``finally``; results are written with a ``task_id``
+column through ``write_results``.
 """
 
 from __future__ import annotations
@@ -33,14 +34,14 @@ class ShopTables:
 
 
 def session_results(t: ShopTables, p: TaskParams, sample_total: int = sampling.DEFAULT_TOTAL,
-                    seed: int = sampling.DEFAULT_SEED) -> tuple[dict[str, DataFrame], DataFrame]:
-    """Lazy result DataFrames of the session job and the shared filtered-session table
-    (the caller persists it while the results are written)."""
+                    seed: int = sampling.DEFAULT_SEED) -> tuple[dict[str, DataFrame], list[DataFrame]]:
+    """Lazy result DataFrames of the session job and the shared intermediates (filtered
+    sessions, per-(category, session) counts) that the caller persists while writing."""
     acts = scan_actions(t.actions, p)
     filtered = sessions.filter_sessions(sessions.enrich(sessions.session_summary(acts), t.users), p)
     fa = category.actions_of_qualifying_sessions(acts, t.users, p, filtered)
-    funnel = category.category_funnel(fa)
-    top10 = category.top_categories(funnel, 10)
+    skc = category.session_kind_counts(fa)  # persisted by the runner: feeds funnel and clicks
+    top10 = category.top_categories(category.funnel_from_session_counts(skc), 10)
     quota = sampling.extract_quota(sampling.hour_counts(filtered), sample_total)
     extracted = sampling.extract_sessions(filtered, quota, sample_total, seed)
     results = {
@@ -48,9 +49,9 @@ def session_results(t: ShopTables, p: TaskParams, sample_total: int = sampling.D
         "session_extract": extracted,
         "session_detail": sampling.extract_detail(acts, extracted),
         "top10_category": top10,
-        "top10_session": category.top_sessions(category.session_category_clicks(fa, top10), 10),
+        "top10_session": category.top_sessions(category.clicks_of_top(skc, top10), 10),
     }
-    return results, filtered
+    return results, [filtered, skc]
 
 
 def page_results(t: ShopTables, p: TaskParams) -> dict[str, DataFrame]:
@@ -76,12 +77,14 @@ def write_results(results: dict[str, DataFrame], out_dir: str, task_id: str) ->
 
 
 def run_session_job(t: ShopTables, p: TaskParams, out_dir: str, task_id: str) -> None:
-    results, filtered = session_results(t, p)
-    filtered.persist(StorageLevel.MEMORY_AND_DISK)
+    results, shared = session_results(t, p)
+    for df in shared:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_results(results, out_dir, task_id)
     finally:
-        filtered.unpersist()
+        for df in shared:
+            df.unpersist()
 
 
 def run_page_job(t: ShopTables, p: TaskParams, out_dir: str, task_id: str) -> None:
