@@ -370,8 +370,8 @@ def q_upsert_replace_group(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- streaming forms
-STREAM_FEED_FILES = 8
-STREAM_WATERMARK = "7 days"
+STREAM_FEED_FILES = 4
+STREAM_WATERMARK = "31 days"  # the replayed log spans one month: nothing is late, whatever the batching
 STREAM_STATE_PARTITIONS = 8  # state-store partitions for the replayed test log (tens of thousands of rows)
 AVAILABLE_NOW = {"availableNow": True}
 
@@ -382,7 +382,7 @@ def _run_stream(spark, sf_dir, job: str) -> AdStreamStore:
     write_feed(Tables(spark, sf_dir).ad_log, store.path("feed"), STREAM_FEED_FILES)
     lines = read_ad_log_stream(spark, store.path("feed"), max_files_per_trigger=2)
     stream_ads.start_clean_clicks(lines, store, AVAILABLE_NOW).awaitTermination()
-    clicks = stream_ads.clean_clicks(store, max_files_per_trigger=2)
+    clicks = stream_ads.clean_clicks(store, max_files_per_trigger=1)
     if job == "stat":
         q = stream_ads.start_ad_stat(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW,
                                      state_partitions=STREAM_STATE_PARTITIONS)
