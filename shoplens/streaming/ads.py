@@ -29,6 +29,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shoplens.operators import ads
@@ -121,12 +122,20 @@ def start_clean_clicks(lines: DataFrame, store: AdStreamStore,
 
 
 def clean_clicks(store: AdStreamStore, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of the clean clicks written by ``start_clean_clicks``."""
-    reader = store.spark.readStream.schema(AD_CLICK)
+    """Streaming DataFrame of the clean clicks written by ``start_clean_clicks``.
+
+    The folder is created up front so readers can start before the first clean batch lands;
+    ``batch_id=<id>`` sub-folders are discovered as a partition column.
+    """
+    spark = store.spark
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(store.clean_path)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    schema = T.StructType(list(AD_CLICK.fields) + [T.StructField("batch_id", T.LongType())])
+    reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.option("basePath", store.clean_path).parquet(store.clean_path + "/batch_id=*") \
-        .select(*AD_CLICK.fieldNames())
+    return reader.parquet(store.clean_path).select(*AD_CLICK.fieldNames())
 
 
 def event_time(ts_ntz: str = "ts"):

@@ -167,3 +167,26 @@ def test_compaction_and_retention_keep_results(spark, root):
     assert {(r[0], r[1], r[2]): r[3] for r in sink.snapshot().collect()} == want
     kept = sorted(int(d[2:]) for d in os.listdir(path) if d.startswith("v="))
     assert kept[0] >= 3 and kept[-1] == 7  # versions before the last usable full one are gone
+
+
+def test_continuous_job_all_queries(spark, root):
+    """The production entry point: four queries running at once on a processing-time trigger."""
+    from shoplens.plans.jobs import start_ad_stream_job
+    from shoplens.sources.adlog import parse_ad_log
+    feed = os.path.join(root, "feed")
+    lines = [_line(DAY0 + i * 60_000, u, u % 3, prov=str(u % 2)) for i, u in enumerate([1, 2, 3, 1, 2, 1] * 4)]
+    _write_lines(feed, "a.txt", lines)
+    store, queries = start_ad_stream_job(spark, read_ad_log_stream(spark, feed), root,
+                                         trigger={"processingTime": "1 second"})
+    try:
+        for q in queries:  # the clean query first, then the readers of its output
+            q.processAllAvailable()
+        for q in queries[1:]:
+            q.processAllAvailable()
+    finally:
+        for q in queries:
+            q.stop()
+    batch = parse_ad_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    assert rows(store.sink("ad_stat").snapshot()) == rows(ads.ad_stat(batch))
+    assert rows(store.sink("ad_click_trend").snapshot()) == rows(ads.click_trend(batch))
+    assert rows(store.sink("ad_user_click_count").snapshot()) == rows(ads.user_click_count(batch))
