@@ -128,12 +128,18 @@ class KeyedSink:
         vs = self.versions()
         return self.read_version(vs[-1] if vs else None)
 
-    def read_partitions_of(self, batch: DataFrame, version: int) -> DataFrame:
+    def read_partitions_of(self, batch: DataFrame, version: int,
+                           touched: set[str] | None = None) -> DataFrame:
         """Rows of ``version`` in the partitions that ``batch`` touches (the whole table when
-        unpartitioned)."""
+        unpartitioned); ``touched`` may be passed when already known."""
         if not self.partition_cols:
             return self.read_version(version)
-        return self._read_partitions(self._layout(version), self._touched(batch))
+        return self._read_partitions(self._layout(version),
+                                     self.touched_partitions(batch) if touched is None else touched)
+
+    def touched_partitions(self, batch: DataFrame) -> set[str]:
+        """Partition paths ('date=...') that ``batch`` writes to."""
+        return self._touched(batch) if self.partition_cols else set()
 
     def _touched(self, batch: DataFrame) -> set[str]:
         # One row per touched partition (a handful of days per micro-batch), not per record.
@@ -159,8 +165,9 @@ class KeyedSink:
         fresh = batch.dropDuplicates(self.keys).join(current.select(*self.keys), self.keys, "left_anti")
         return current.select(*cols).unionByName(fresh.select(*cols))
 
-    def apply(self, batch: DataFrame, batch_id: int) -> None:
-        """Merge ``batch`` as version ``batch_id``; idempotent for a repeated ``batch_id``."""
+    def apply(self, batch: DataFrame, batch_id: int, touched: set[str] | None = None) -> None:
+        """Merge ``batch`` as version ``batch_id``; idempotent for a repeated ``batch_id``.
+        ``touched`` (a superset of the batch's partitions) saves a pass over the batch."""
         base = [v for v in self.versions() if v < batch_id]
         base_version = base[-1] if base else None
         out = f"{self.path}/v={batch_id}"
@@ -174,7 +181,10 @@ class KeyedSink:
             current = self._empty()
         else:
             layout = self._layout(base_version)
-            current = self._read_partitions(layout, None if full else self._touched(batch))
+            if full:
+                current = self._read_partitions(layout, None)
+            else:
+                current = self._read_partitions(layout, self._touched(batch) if touched is None else touched)
         # Cluster by the partition columns first: one file per touched day instead of one per
         # (task, day) pair; the rows are aggregated results, so a day stays a modest task.
         merged = self.merge(current, batch).repartition(*self.partition_cols)

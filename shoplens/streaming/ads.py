@@ -164,11 +164,12 @@ def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None
     def per_batch(updated: DataFrame, batch_id: int) -> None:
         rows = updated.select(*AD_STAT.fieldNames()).persist()
         try:
-            stat_sink.apply(rows, batch_id)
-            touched = rows.select("date", "province").distinct()
-            current = stat_sink.read_partitions_of(rows, batch_id) \
-                .join(touched, ["date", "province"], "left_semi")
-            top_sink.apply(ads.province_top3(ads.province_count(current), top_k), batch_id)
+            days = stat_sink.touched_partitions(rows)  # one small job: the days of this batch
+            stat_sink.apply(rows, batch_id, days)
+            groups = rows.select("date", "province").distinct()
+            current = stat_sink.read_partitions_of(rows, batch_id, days) \
+                .join(groups, ["date", "province"], "left_semi")
+            top_sink.apply(ads.province_top3(ads.province_count(current), top_k), batch_id, days)
         finally:
             rows.unpersist()
 
@@ -203,9 +204,10 @@ def start_blacklist(clicks: DataFrame, store: AdStreamStore, threshold: int = ad
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         counts = ads.user_click_count(batch).persist()
         try:
-            counts_sink.apply(counts, batch_id)
+            days = counts_sink.touched_partitions(counts)
+            counts_sink.apply(counts, batch_id, days)
             keys = counts.select("date", "userid", "adid")
-            touched = counts_sink.read_partitions_of(counts, batch_id) \
+            touched = counts_sink.read_partitions_of(counts, batch_id, days) \
                 .join(keys, ["date", "userid", "adid"], "left_semi")
             blacklist_sink.apply(ads.blacklist_candidates(touched, threshold), batch_id)
         finally:
