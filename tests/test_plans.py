@@ -52,3 +52,28 @@ def test_sampling_limit_is_pushed_below_shuffle(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert "WindowGroupLimit" in text
+
+
+def _event_scans(df) -> int:
+    import re
+    text = plan(df)
+    return len(re.findall(r"FileScan parquet \[[^\]]*\bts#", text))
+
+
+@pytest.mark.parametrize("key", ["filtered_actions", "category_funnel", "top10_category",
+                                 "page_convert_rate", "page_pair_count", "session_stat_ratio"])
+def test_actions_scanned_once(spark, key):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert _event_scans(entry.queries()[key](spark, SF_SMALL)) == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_category_path_needs_no_session_shuffle(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        text = plan(entry.queries()["filtered_actions"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert "hashpartitioning(session_id" not in text
