@@ -164,6 +164,8 @@ def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None
     def per_batch(updated: DataFrame, batch_id: int) -> None:
         rows = updated.select(*AD_STAT.fieldNames()).persist()
         try:
+            if rows.isEmpty():  # no-data batch (watermark advance only): nothing to merge
+                return
             days = stat_sink.touched_partitions(rows)  # one small job: the days of this batch
             stat_sink.apply(rows, batch_id, days)
             groups = rows.select("date", "province").distinct()
@@ -190,7 +192,12 @@ def start_click_trend(clicks: DataFrame, store: AdStreamStore, watermark: str |
     sink = store.sink("ad_click_trend")
 
     def per_batch(updated: DataFrame, batch_id: int) -> None:
-        sink.apply(updated.select(*AD_CLICK_TREND.fieldNames()), batch_id)
+        rows = updated.select(*AD_CLICK_TREND.fieldNames()).persist()
+        try:
+            if not rows.isEmpty():  # skip no-data batches (watermark advance only)
+                sink.apply(rows, batch_id)
+        finally:
+            rows.unpersist()
 
     query = running_click_trend(clicks, watermark).writeStream.outputMode("update").foreachBatch(per_batch)
     return _start(query, "trend", store, trigger, state_partitions)
@@ -204,6 +211,8 @@ def start_blacklist(clicks: DataFrame, store: AdStreamStore, threshold: int = ad
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         counts = ads.user_click_count(batch).persist()
         try:
+            if counts.isEmpty():
+                return
             days = counts_sink.touched_partitions(counts)
             counts_sink.apply(counts, batch_id, days)
             keys = counts.select("date", "userid", "adid")
