@@ -31,15 +31,10 @@ def hour_counts(sessions: DataFrame) -> DataFrame:
 
 
 def extract_quota(hours: DataFrame, total: int = DEFAULT_TOTAL) -> DataFrame:
-    """Per-hour quota.
-
-    The windows below run over the (date, hour) count table, which holds at most 24 rows per
-    day of the task's range; the global one is therefore a bounded single-partition step.
-    """
-    day_cnt = F.sum("cnt").over(Window.partitionBy("date"))
-    days = F.max("day_rank").over(Window.partitionBy())
-    out = (hours.withColumn("day_cnt", day_cnt)
-           .withColumn("day_rank", F.dense_rank().over(Window.orderBy("date")))
+    """Per-hour quota over the (date, hour) count table (at most 24 rows per day of the
+    task's range). The number of days is a scalar subquery; the day total a window per date."""
+    days = hours.select(F.count_distinct("date")).scalar()
+    out = (hours.withColumn("day_cnt", F.sum("cnt").over(Window.partitionBy("date")))
            .withColumn("day_quota", int_div(F.lit(int(total)), days)))
     quota = F.least(F.col("cnt"), int_div(F.col("cnt") * F.col("day_quota"), F.col("day_cnt")))
     return out.select("date", "hour", "cnt", "day_cnt", quota.alias("quota"))
