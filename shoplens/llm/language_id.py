@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 SAMPLE_DOCS, EXCERPT = 64, 2_000
 DICT_BYTES, ALL_BYTES = 64_000, 16_000_000
-PIECE, LEVEL = 16_000, 5
+PIECE, LEVEL = 16_000, 3
 #: Relative margin below which a prediction is rejected.
 MARGIN = 0.02
 MADE = ["lang_pred", "score", "rejected"]
@@ -55,7 +55,8 @@ class Encoders:
     def __init__(self, dictionaries: dict[str, bytes], level: int = LEVEL):
         self.langs = list(dictionaries)
         params = zstd.ZstdCompressionParameters.from_level(
-            level, write_checksum=False, write_content_size=False, write_dict_id=False, format=zstd.FORMAT_ZSTD1_MAGICLESS)
+            level, strategy=zstd.STRATEGY_BTOPT, min_match=3, search_log=4,  # finds the short matches of short texts
+            write_checksum=False, write_content_size=False, write_dict_id=False, format=zstd.FORMAT_ZSTD1_MAGICLESS)
         self.made = [zstd.ZstdCompressor(compression_params=params, dict_data=zstd.ZstdCompressionDict(
             content, dict_type=zstd.DICT_TYPE_RAWCONTENT)) for content in dictionaries.values()]
 

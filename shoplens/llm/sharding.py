@@ -114,12 +114,12 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, k
 #: The law in closed form; crc32 byte by byte over a table of remainders, as DuckDB has no such function.
 ORACLE = r"""
 WITH x AS (
-  SELECT list_transform(range(256), i -> list_reduce(list_prepend(i, range(8)),
-           (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders),
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders),
 d AS (
   SELECT doc_id, strlen(coalesce(text, '')) + 1 AS size, md5(coalesce(text, '')) AS h,
          xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
-           b -> ('0x' || b)::BIGINT)), (c, b) -> xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
+           lambda b: ('0x' || b)::BIGINT)), lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])), 4294967295) AS text_crc32
   FROM documents, x),
 g AS (SELECT *, sum(size) OVER (ORDER BY h, doc_id NULLS FIRST) - sum(size) OVER (PARTITION BY h, doc_id) AS row_at,
          sum(size) OVER (ORDER BY h) - sum(size) OVER (PARTITION BY h) AS text_at,
