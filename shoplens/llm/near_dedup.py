@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoplens.llm.common import Tokens, chunks, mix64, stored, words
+from shoplens.llm.common import Tokens, chunks, mix64, small, stored, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICK, SHARED = 16, 2, 3
@@ -118,7 +118,7 @@ def with_digest(docs: DataFrame) -> DataFrame:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, n (shingles), sketch (array) of the rows with words."""
+    """doc_id, digest, thash (of the text as it is), n (shingles), sketch (array) of the rows with words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, t in chunks(batch, "_norm"):
@@ -131,15 +131,17 @@ def sketches(docs: DataFrame) -> DataFrame:
                 flat = pa.array(np.ascontiguousarray(sketch(np.stack(values))).reshape(-1).view(np.int64))
                 offsets = pa.array(np.arange(b - a + 1, dtype=np.int32) * SKETCHES)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("_digest").slice(a, b - a), pa.array(sizes, pa.int64()),
-                     pa.ListArray.from_arrays(offsets, flat)], ["doc_id", "digest", "n", "sketch"])
+                    [batch.column(c).slice(a, b - a) for c in ("doc_id", "_digest", "_thash")]
+                    + [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
+                    ["doc_id", "digest", "thash", "n", "sketch"])
 
     rows = with_digest(docs.select(F.col("doc_id").cast("long"), "text")).where(F.col("_digest").isNotNull())
-    return rows.select("doc_id", "_digest", "_norm").mapInArrow(run, "doc_id long, digest string, n long, sketch array<long>")
+    return rows.select("doc_id", "_digest", F.xxhash64("text").alias("_thash"), "_norm").mapInArrow(
+        run, "doc_id long, digest string, thash long, n long, sketch array<long>")
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b of digests) whose texts align well enough."""
+    """The pairs (a, b: numbers of texts) whose texts (id, _norm) align well enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last, left = [], None, None
@@ -149,69 +151,73 @@ def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
                 keep.append(alignment_similarity(left, labelled(_word_hashes(y.as_py())), least) >= least)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    left = texts.select(F.col("_digest").alias("a"), F.col("_norm").alias("_x"))
-    right = texts.select(F.col("_digest").alias("b"), F.col("_norm").alias("_y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "_x", "_y").mapInArrow(run, "a string, b string")
+    left = texts.select(F.col("id").alias("a"), F.col("_norm").alias("_x"))
+    right = texts.select(F.col("id").alias("b"), F.col("_norm").alias("_y"))
+    return pairs.join(right, "b").join(left, "a").select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long")
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """digest, label (smallest digest of its component): labels spread along links and jump ahead until none changes."""
+def components(links: DataFrame) -> DataFrame:
+    """id, label (smallest id of its component) of all ids in ``links`` (a, b): labels spread along links and jump
+    ahead until none changes."""
     both = stored(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = stored(both.groupBy(F.col("a").alias("digest")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    labels = stored(both.groupBy(F.col("a").alias("id")).agg(F.min(F.least("a", "b")).alias("label")))
     while True:
-        near = both.join(labels, both["b"] == labels["digest"]).groupBy("a").agg(F.min("label").alias("_m"))
-        step = labels.join(near, labels["digest"] == near["a"]).select("digest", "label", F.least("label", "_m").alias("_l"))
-        jump = labels.select(F.col("digest").alias("_l"), F.col("label").alias("_j"))
+        near = both.join(labels, both["b"] == labels["id"]).groupBy("a").agg(F.min("label").alias("_m"))
+        step = labels.join(near, labels["id"] == near["a"]).select("id", "label", F.least("label", "_m").alias("_l"))
+        jump = labels.select(F.col("id").alias("_l"), F.col("label").alias("_j"))
+        target = F.least("_l", F.coalesce("_j", "_l"))
         following = stored(step.join(jump, "_l", "left").select(
-            "digest", F.least("_l", F.coalesce("_j", "_l")).alias("label"), (F.col("label") != F.least("_l", F.coalesce("_j", "_l"))).alias("_c")))
+            "id", target.alias("label"), (F.col("label") != target).alias("_c")))
         labels = following.drop("_c")
         if following.where("_c").isEmpty():
-            break
-    return nodes.join(labels, "digest", "left").select("digest", F.coalesce("label", "digest").alias("label"))
+            return labels
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes): doc_id and digest of each row with words; digest and label of each text."""
+    """(rows, labels): doc_id and digest of each row with words; digest and label of each text. Texts go by a
+    number once they are stored, so that buckets, pairs and links are pairs of longs."""
     rows = stored(sketches(docs))
-    reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")))
+    reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("thash").alias(
+        "thash")).withColumn("id", F.monotonically_increasing_id()))
     band = F.floor(F.log("n") / float(-np.log(least)) + 1e-9)
-    buckets = reps.select("digest", "sketch", F.explode(F.array(band, band + 1)).alias("_band")).select(
-        "digest", "_band", F.posexplode("sketch").alias("_s", "_v"))
-    key = ["_s", "_v", "_band"]
-    crowded = buckets.groupBy(*key).agg(F.min("digest").alias("_first"), F.count("*").alias("_c")).where("_c > 1")
-    buckets = stored(buckets.join(crowded, key).select(*key, "digest", "_first"))
-    ratio = lambda x, y: F.least(x, y) >= F.lit(least) * F.greatest(x, y)
+    buckets = reps.select("id", "sketch", F.explode(F.array(band, band + 1)).alias("_band")).select(
+        "id", "_band", F.posexplode("sketch").alias("_s", "_v")).select("id", F.xxhash64("_s", "_v", "_band").alias("key"))
+    crowded = buckets.groupBy("key").agg(F.min("id").alias("_first"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
+    buckets = stored(buckets.join(crowded, "key"))
     tried, links, labels = None, None, None
     while True:
         if labels is None:
-            pairs = buckets.where("digest != _first").select(F.col("_first").alias("a"), F.col("digest").alias("b"))
+            pairs = buckets.where("id != _first").select(F.col("_first").alias("a"), F.col("id").alias("b"))
         else:
-            # one member per component in each bucket, the second component's paired with the others'
-            member = buckets.join(labels, "digest").groupBy(*key, "label").agg(F.min("digest").alias("digest"))
-            lead = member.groupBy(*key).agg(F.max("label").alias("_top"), F.max_by("digest", "label").alias("_lead"), F.count("*").alias("_c"))
-            pairs = member.join(lead.where("_c > 1"), key).where("label != _top").select(
-                F.least("_lead", "digest").alias("a"), F.greatest("_lead", "digest").alias("b"))
+            # one member per component in each bucket, the last component's paired with the others'
+            member = buckets.join(labels, "id", "left").groupBy("key", F.coalesce("label", "id").alias("label")).agg(
+                F.min("id").alias("id"))
+            lead = member.groupBy("key").agg(F.max("label").alias("_top"), F.max_by("id", "label").alias("_lead"),
+                                             F.count("*").alias("_c")).where("_c > 1")
+            pairs = member.join(lead, "key").where("label != _top").select(
+                F.least("_lead", "id").alias("a"), F.greatest("_lead", "id").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        sizes = reps.select(F.col("digest").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_sa"))
-        others = reps.select(F.col("digest").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_sb"))
+        one, other = (reps.select(F.col("id").alias(x), F.col("n").alias(f"_n{x}"), F.col("sketch").alias(f"_s{x}")) for x in "ab")
         alike = F.size(F.filter(F.zip_with("_sa", "_sb", lambda x, y: x == y), lambda e: e))
-        pairs = stored(pairs.join(sizes, "a").join(others, "b").where(ratio(F.col("_na"), F.col("_nb")) & (alike >= SHARED)).select("a", "b"))
+        near = F.least("_na", "_nb") >= F.lit(least) * F.greatest("_na", "_nb")
+        pairs = stored(pairs.join(one, "a").join(other, "b").where(near & (alike >= SHARED)).select("a", "b"))
         if pairs.isEmpty():
             break
-        needed = pairs.select(F.col("a").alias("_digest")).union(pairs.select("b")).distinct()
-        # one row's text stands for all of a digest
-        texts = with_digest(docs.select("text")).select("_digest", "_norm").join(needed, "_digest", "left_semi").dropDuplicates(["_digest"])
-        new = stored(_verify(pairs, texts, least))
-        tried = pairs if tried is None else stored(tried.union(pairs))
+        needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(reps, "id").select("id", "thash"))
+        # the texts are found again by the hash of one row each; only those are normalised and moved
+        texts = docs.select("text", F.xxhash64("text").alias("thash")).join(small(needed), "thash").dropDuplicates(["id"])
+        new = stored(_verify(pairs, texts.select("id", normal(F.col("text")).alias("_norm")), least))
+        tried = pairs if tried is None else tried.union(pairs)
         if new.isEmpty():
             break
-        links = new if links is None else stored(links.union(new))
-        labels = stored(components(reps.select("digest"), links))
+        links = new if links is None else links.union(new)
+        labels = components(links)
+    found = reps.select("digest", "id")
     if labels is None:
-        labels = reps.select("digest", F.col("digest").alias("label"))
-    return rows.select("doc_id", "digest"), labels
+        return rows.select("doc_id", "digest"), found.select("digest", F.col("id").alias("label"))
+    return rows.select("doc_id", "digest"), found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
