@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import json
 
-from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
+from shoplens.params import TaskParams
 from shoplens.plans import jobs
 from shoplens.plans.tables import Tables
 from shoplens.runtime import build_session
@@ -23,8 +23,7 @@ def main(argv=None) -> None:
     ap.add_argument("--task-id", default="task")
     ap.add_argument("--master")
     args = ap.parse_args(argv)
-    params = TaskParams.from_dict(json.loads(args.params)) if args.params else (
-        DEFAULT_SESSION_PARAMS if args.job == "session" else TaskParams())
+    params = TaskParams.from_dict(json.loads(args.params)) if args.params else TaskParams()
     spark = build_session(args.master)
     t = Tables(spark, args.sf_dir)
     tables = jobs.ShopTables(t.actions, t.users, t.products, t.cities)

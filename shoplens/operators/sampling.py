@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import format_date, int_div
 
-DEFAULT_TOTAL = 300
+DEFAULT_TOTAL = 100
 DEFAULT_SEED = 42
 
 

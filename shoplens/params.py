@@ -32,8 +32,8 @@ def _int_list(value) -> tuple[int, ...]:
 
 @dataclass(frozen=True)
 class TaskParams:
-    start_date: str = "2024-01-01"
-    end_date: str = "2024-01-20"
+    start_date: str | None = None  # unset: no bound
+    end_date: str | None = None
     start_age: int | None = None
     end_age: int | None = None
     professionals: tuple[str, ...] = ()
@@ -41,7 +41,7 @@ class TaskParams:
     sex: str | None = None
     keywords: tuple[str, ...] = ()
     category_ids: tuple[int, ...] = ()
-    target_page_flow: tuple[int, ...] = (1, 2, 3, 4, 5, 6, 7)
+    target_page_flow: tuple[int, ...] = ()
     extra: dict = field(default_factory=dict, compare=False)
 
     @classmethod
@@ -51,10 +51,10 @@ class TaskParams:
 
     @classmethod
     def from_dict(cls, raw: dict) -> "TaskParams":
-        base = cls()
+        text = lambda key: None if _blank(raw.get(key)) else str(raw[key]).strip()
         return cls(
-            start_date=raw.get("startDate") or base.start_date,
-            end_date=raw.get("endDate") or base.end_date,
+            start_date=text("startDate"),
+            end_date=text("endDate"),
             start_age=_int_or_none(raw.get("startAge")),
             end_age=_int_or_none(raw.get("endAge")),
             professionals=_str_list(raw.get("professionals")),
@@ -62,12 +62,14 @@ class TaskParams:
             sex=None if _blank(raw.get("sex")) else str(raw.get("sex")).strip(),
             keywords=_str_list(raw.get("keywords")),
             category_ids=_int_list(raw.get("categoryIds")),
-            target_page_flow=_int_list(raw.get("targetPageFlow")) or base.target_page_flow,
+            target_page_flow=_int_list(raw.get("targetPageFlow")),
         )
 
     def with_(self, **changes) -> "TaskParams":
         return replace(self, **changes)
 
 
-# The session constraints used by the session / category / sampling queries ("S").
-DEFAULT_SESSION_PARAMS = TaskParams(start_age=20, end_age=50, sex="male")
+# The window and page flow of the registered queries, and the session constraints of the session /
+# category / sampling ones ("S").
+QUERY_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-20", target_page_flow=(1, 2, 3, 4, 5, 6, 7))
+DEFAULT_SESSION_PARAMS = QUERY_PARAMS.with_(start_age=20, end_age=50, sex="male")

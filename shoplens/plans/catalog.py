@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import scalar
 from shoplens.operators import ads, area, category, pageflow, sampling, sessions
-from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
+from shoplens.params import DEFAULT_SESSION_PARAMS, QUERY_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
 from shoplens.runtime import materialize, shared_dir
 from shoplens.schema import AD_BLACKLIST
@@ -27,7 +27,7 @@ from shoplens.streaming.feed import write_feed
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 
-AREA_PARAMS = TaskParams()
+AREA_PARAMS = QUERY_PARAMS
 
 
 def query(name: str):
@@ -113,11 +113,11 @@ def q_session_enriched(spark, sf_dir):
     return sessions.public(_enriched(Tables(spark, sf_dir)))
 
 
-FILTER_AGE = TaskParams(start_age=20, end_age=50)
-FILTER_IN = TaskParams(professionals=tuple(f"professional{i}" for i in range(1, 41)),
+FILTER_AGE = QUERY_PARAMS.with_(start_age=20, end_age=50)
+FILTER_IN = QUERY_PARAMS.with_(professionals=tuple(f"professional{i}" for i in range(1, 41)),
                        cities=("city1", "city2", "city3"))
-FILTER_SEX = TaskParams(sex="male")
-FILTER_OVERLAP = TaskParams(keywords=("kw1", "kw2"), category_ids=tuple(range(1, 31)))
+FILTER_SEX = QUERY_PARAMS.with_(sex="male")
+FILTER_OVERLAP = QUERY_PARAMS.with_(keywords=("kw1", "kw2"), category_ids=tuple(range(1, 31)))
 
 
 def _filter_query(p: TaskParams):
@@ -247,7 +247,7 @@ def q_top_sessions_per_category(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- page flow
-PAGE_PARAMS = TaskParams()
+PAGE_PARAMS = QUERY_PARAMS
 
 
 def _page_actions(t: Tables) -> DataFrame:

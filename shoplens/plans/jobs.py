@@ -57,6 +57,8 @@ def session_results(t: ShopTables, p: TaskParams, sample_total: int = sampling.D
 def page_results(t: ShopTables, p: TaskParams) -> dict[str, DataFrame]:
     acts = scan_actions(t.actions, p)
     flow = p.target_page_flow
+    if not flow:
+        raise ValueError("the page job needs a targetPageFlow")
     pairs, start = pageflow.flow_counts(acts, flow)
     rates = pageflow.convert_rate(acts.sparkSession, pairs, start, flow)
     return {"page_split_convert_rate": rates, "page_split_convert_rate_text": pageflow.render_rates(rates)}

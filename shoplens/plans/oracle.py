@@ -44,11 +44,11 @@ user_info AS (
          concat('professional', CAST(c_custkey % 100 AS VARCHAR)) AS professional,
          concat('city', CAST(c_nationkey AS VARCHAR)) AS city,
          CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
-  FROM customer WHERE c_custkey % 50 <> 49),
+  FROM customer),
 product_info AS (
   SELECT p_partkey AS product_id, p_name AS product_name,
          concat('{{"product_status": ', CAST(p_size % 2 AS VARCHAR), '}}') AS extend_info
-  FROM part WHERE p_partkey % 17 <> 0),
+  FROM part),
 ad_log AS (
   SELECT concat(CAST(epoch_us(ts) // 1000 AS VARCHAR), ' ', CAST(user_id % 5 AS VARCHAR), ' ',
                 CAST(user_id % 10 AS VARCHAR), ' ',

@@ -78,6 +78,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The session's shared checkpoint folder; a private one is created only when none is set."""
     root = _configured_dir(spark)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="shoplens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():

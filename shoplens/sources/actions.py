@@ -15,7 +15,12 @@ from shoplens.params import TaskParams
 def in_date_range(date_col: str, params: TaskParams):
     # yyyy-MM-dd strings compare lexically in date order, so the predicate stays a plain
     # string range that Parquet statistics and partition pruning can use.
-    return F.col(date_col).between(F.lit(params.start_date), F.lit(params.end_date))
+    bounds = F.lit(True)
+    if params.start_date:
+        bounds = bounds & (F.col(date_col) >= F.lit(params.start_date))
+    if params.end_date:
+        bounds = bounds & (F.col(date_col) <= F.lit(params.end_date))
+    return bounds
 
 
 def scan_actions(actions: DataFrame, params: TaskParams) -> DataFrame:

@@ -1,7 +1,7 @@
 """The advertisement click log -- ``<epoch ms> <province> <city> <userid> <adid>`` lines.
 
-Parsing is ``split`` + ``try_cast``; a line with the wrong field count, a non-numeric number or an
-extra blank goes to the quarantine output instead of failing the task. The same function serves
+Parsing is ``split`` + ``try_cast``; a line with fewer than five fields, a non-numeric number, a time outside the years
+1 to 9999 or an inner extra blank goes (blanks at the end and further fields are ignored) to the quarantine output instead of failing the task. The same function serves
 batch DataFrames and streaming DataFrames (any source with a string ``value`` column -- Kafka in
 production, files in tests).
 """
@@ -23,11 +23,12 @@ def millis_to_ntz(ms: Column) -> Column:
 
 def _fields(lines: DataFrame) -> DataFrame:
     """Split each line once: (value, ms, province, city, userid, adid, ok)."""
-    p = F.split(F.col("value"), " ")
+    p = F.split(F.rtrim("value"), " ")
     f = lines.select("value", F.size(p).alias("_n"), p[0].try_cast("bigint").alias("ms"),
                      p[1].alias("province"), p[2].alias("city"),
                      p[3].try_cast("bigint").alias("userid"), p[4].try_cast("bigint").alias("adid"))
-    ok = (F.col("_n") == 5) & F.col("ms").isNotNull() & (F.col("province") != "") \
+    # years 1 to 9999; other times are no clicks, and some do not fit a timestamp
+    ok = (F.col("_n") >= 5) & F.col("ms").between(F.lit(-62135596800000), F.lit(253402300799999)) & (F.col("province") != "") \
         & (F.col("city") != "") & F.col("userid").isNotNull() & F.col("adid").isNotNull()
     return f.withColumn("ok", F.coalesce(ok, F.lit(False)))
 

@@ -39,7 +39,8 @@ from shoplens.schema import (AD_BLACKLIST, AD_CLICK, AD_CLICK_TREND, AD_PROVINCE
 from shoplens.sinks.keyed import KeyedSink
 from shoplens.sources.adlog import parse_ad_log, quarantine
 
-DEFAULT_WATERMARK = "1 day"
+# None: no click is ever late, and state is kept; a watermark bounds the state but drops late clicks.
+DEFAULT_WATERMARK = None
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
 

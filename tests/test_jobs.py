@@ -7,7 +7,7 @@ import tempfile
 
 from conftest import SF_SMALL, rows
 import __spark_entry__ as entry
-from shoplens.params import DEFAULT_SESSION_PARAMS, TaskParams
+from shoplens.params import DEFAULT_SESSION_PARAMS, QUERY_PARAMS
 from shoplens.plans import jobs
 from shoplens.plans.tables import Tables
 
@@ -34,8 +34,8 @@ def test_session_job_matches_keys(spark):
 
 def test_page_and_area_jobs(spark):
     out = tempfile.mkdtemp(prefix="shoplens-job-")
-    jobs.run_page_job(_tables(spark), TaskParams(), out, "p")
-    jobs.run_area_job(_tables(spark), TaskParams(), out, "a")
+    jobs.run_page_job(_tables(spark), QUERY_PARAMS, out, "p")
+    jobs.run_area_job(_tables(spark), QUERY_PARAMS, out, "a")
     q = entry.queries()
     want = q["page_convert_rate"](spark, SF_SMALL)
     assert rows(spark.read.parquet(f"{out}/page_split_convert_rate").select(*want.columns)) == rows(want)

@@ -127,6 +127,14 @@ def test_params_from_json():
     assert p.target_page_flow == (1, 2, 3)
 
 
+def test_missing_params_set_no_bound(spark):
+    from shoplens.sources.actions import scan_actions
+    actions = spark.createDataFrame([("1999-12-31",), ("2024-01-05",), ("2031-01-01",)], "date string")
+    for text, want in (("{}", 3), ('{"startDate": "2020-05-01", "endDate": ""}', 2), ('{"endDate": "2024-01-05"}', 2)):
+        p = TaskParams.from_json(text)
+        assert p.target_page_flow == () and scan_actions(actions, p).count() == want
+
+
 def _sessions_at(spark, starts):
     """One single-action session per start time."""
     data = [(d.strftime("%Y-%m-%d"), 1, f"s{i}", 1, d, None, -1, -1, None, None, None, None, 0)
