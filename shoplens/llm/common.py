@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from shoplens.runtime import materialize
+from shoplens.runtime import shared_dir
 
 #: ASCII white space (space, tab to carriage return) and the words between it.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -37,9 +37,11 @@ def n_words(text: Column) -> Column:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Narrow intermediate written to the shared checkpoint folder, so that later jobs neither
-    recompute it nor depend on the executors that made it."""
-    return materialize(df)
+    """Narrow intermediate written as Parquet to the shared checkpoint folder, so that later jobs neither
+    recompute it nor depend on the executors that made it; its size is known to the joins that follow."""
+    path = shared_dir(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -173,6 +173,19 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def merged(labels: DataFrame, new: DataFrame) -> DataFrame:
+    """id, label after the links ``new`` (a, b) joined components of ``labels``: only the links between
+    components are followed, with a component as one node."""
+    ends = new
+    for x in "ab":
+        of = labels.select(F.col("id").alias(x), F.col("label").alias(f"_l{x}"))
+        ends = ends.join(of, x, "left").withColumn(x, F.coalesce(f"_l{x}", x)).drop(f"_l{x}")
+    joined = components(ends.where("a != b")).select(F.col("id").alias("_id"), F.col("label").alias("_to"))
+    kept = labels.join(joined, F.col("label") == F.col("_id"), "left").select("id", F.coalesce("_to", "label").alias("label"))
+    fresh = joined.join(labels, F.col("_id") == F.col("id"), "left_anti").select(F.col("_id").alias("id"), F.col("_to").alias("label"))
+    return stored(kept.unionByName(fresh))
+
+
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): doc_id and digest of each row with words; digest and label of each text. Texts go by a
     number once they are stored, so that buckets, pairs and links are pairs of longs."""
@@ -184,7 +197,7 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         "id", "_band", F.posexplode("sketch").alias("_s", "_v")).select("id", F.xxhash64("_s", "_v", "_band").alias("key"))
     crowded = buckets.groupBy("key").agg(F.min("id").alias("_first"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     buckets = stored(buckets.join(crowded, "key"))
-    tried, links, labels = None, None, None
+    tried, labels = None, None
     while True:
         if labels is None:
             pairs = buckets.where("id != _first").select(F.col("_first").alias("a"), F.col("id").alias("b"))
@@ -212,8 +225,7 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         tried = pairs if tried is None else tried.union(pairs)
         if new.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        labels = components(links)
+        labels = components(new) if labels is None else merged(labels, new)
     found = reps.select("digest", "id")
     if labels is None:
         return rows.select("doc_id", "digest"), found.select("digest", F.col("id").alias("label"))
