@@ -83,12 +83,12 @@ def format_time(ts) -> Column:
 
 def format_date(ts) -> Column:
     """H3: 'yyyy-MM-dd'."""
-    return F.date_format(_c(ts), "yyyy-MM-dd")
+    return F.date_format(_c(ts).cast("date"), "yyyy-MM-dd")
 
 
 def format_date_key(ts) -> Column:
     """H3: 'yyyyMMdd'."""
-    return F.date_format(_c(ts), "yyyyMMdd")
+    return F.date_format(_c(ts).cast("date"), "yyyyMMdd")
 
 
 def parse_date_key(text) -> Column:
@@ -143,13 +143,16 @@ def pad2(value) -> Column:
 
 
 def field_of_packed(text, field: str) -> Column:
-    """Value of ``field`` in a 'k=v|k=v' string (null when absent)."""
-    return F.element_at(F.str_to_map(_c(text), F.lit("\\|"), F.lit("=")), F.lit(field))
+    """Value of ``field`` in a 'k=v|k=v' string (the first if repeated, null when absent)."""
+    hits = F.filter(F.split(_c(text), r"\|"), lambda part: part.startswith(f"{field}="))
+    return F.substr(F.get(hits, F.lit(0)), F.lit(len(field) + 2))
 
 
 def set_field_in_packed(text, field: str, value: str) -> Column:
     """Replace the value of ``field`` in a 'k=v|k=v' string."""
-    return F.regexp_replace(_c(text), rf"(^|\|){field}=[^|]*", f"$1{field}={value}")
+    parts = F.transform(F.split(_c(text), r"\|"), lambda part: F.when(
+        part.startswith(f"{field}="), F.lit(f"{field}={value}")).otherwise(part))
+    return F.array_join(parts, "|")
 
 
 def register_sql_functions(spark: SparkSession) -> None:

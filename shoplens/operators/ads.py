@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.functions.scalar import format_date_key, pad2
 from shoplens.operators.topk import top_k_per_group
 
 BLACKLIST_THRESHOLD = 10
@@ -56,15 +57,15 @@ def province_top3(pc: DataFrame, k: int = 3) -> DataFrame:
 
 
 def minute_of(ts="ts"):
-    """The event minute as TIMESTAMP_NTZ (``date_trunc`` yields a zoned TIMESTAMP; casting back
-    keeps the wall clock, so results do not depend on the session time zone)."""
-    return F.date_trunc("minute", F.col(ts) if isinstance(ts, str) else ts).cast("timestamp_ntz")
+    """The event minute as TIMESTAMP_NTZ: the seconds are taken off the wall clock, so the session time
+    zone and its clock changes have no part in it (``date_trunc`` goes through a zoned TIMESTAMP)."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    return F.timestamp_add("MICROSECOND", -(F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("bigint"), ts)
 
 
 def trend_columns(minute_col: str = "minute_ts") -> list:
     m = F.col(minute_col)
-    return [F.date_format(m, "yyyyMMdd").alias("date"), F.date_format(m, "HH").alias("hour"),
-            F.date_format(m, "mm").alias("minute")]
+    return [format_date_key(m).alias("date"), pad2(F.hour(m)).alias("hour"), pad2(F.minute(m)).alias("minute")]
 
 
 def click_trend(clicks: DataFrame) -> DataFrame:

@@ -6,12 +6,15 @@ the adapter tables as CTEs, then states the operator's result declaratively.
 
 from __future__ import annotations
 
-from shoplens.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
-from shoplens.sources.city_area import AREA_LEVELS, CITY_AREA_ROWS, DEFAULT_AREA_LEVEL
-
-_CITY_VALUES = ", ".join(f"({i}::BIGINT, '{n}', '{a}')" for i, n, a in CITY_AREA_ROWS)
-_LEVEL_CASE = "CASE area " + " ".join(f"WHEN '{a}' THEN '{lvl}'" for a, lvl in AREA_LEVELS) + \
-    f" ELSE '{DEFAULT_AREA_LEVEL}' END"
+# Fixed values, written out here so that a wrong value in the operators shows: cities, area levels, buckets.
+_CITY_VALUES = """(0::BIGINT, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'),
+  (4, '三亚', '华南'), (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'), (8, '成都', '西南'),
+  (9, '哈尔滨', '东北')"""
+_LEVEL_VALUES = """('华北', 'A_Level'), ('华东', 'A_Level'), ('华中', 'B_Level'), ('华南', 'B_Level'),
+  ('西南', 'C_Level'), ('西北', 'C_Level')"""
+VISIT_BUCKETS = [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+                 ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None)]
+STEP_BUCKETS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]
 
 ADAPTERS = f"""
 base AS (
@@ -78,37 +81,32 @@ def oracle(name: str, ctes: str, select: str) -> None:
 oracle("action_scan", "", "SELECT * FROM actions")
 oracle("click_scan", "", "SELECT city_id, click_product_id FROM actions WHERE click_product_id <> -1")
 
-_AREA_CTES = """
-basic AS (
-  SELECT a.city_id, c.city_name, c.area, a.click_product_id AS pid
-  FROM actions a JOIN city_area c ON a.city_id = c.city_id
-  WHERE a.click_product_id <> -1),
-counts AS (
-  SELECT area, pid, count(*) AS click_count,
-         string_agg(DISTINCT concat(CAST(city_id AS VARCHAR), ':', city_name), ','
-                    ORDER BY concat(CAST(city_id AS VARCHAR), ':', city_name)) AS city_infos
-  FROM basic GROUP BY area, pid),
-info AS (
-  SELECT tc.area, tc.city_infos, tc.pid, pi.product_name,
-         CASE WHEN json_extract_string(pi.extend_info, '$.product_status') = '0'
-              THEN 'Self' ELSE 'Third Party' END AS product_status,
-         tc.click_count
-  FROM counts tc JOIN product_info pi ON tc.pid = pi.product_id),
-top3 AS (
-  SELECT area, """ + _LEVEL_CASE + """ AS area_level, pid, city_infos, click_count, product_name,
-         product_status
-  FROM (SELECT *, row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) AS rn FROM info)
-  WHERE rn <= 3)"""
-
-oracle("area_click_basic", _AREA_CTES, "SELECT * FROM basic")
-oracle("area_click_count", _AREA_CTES, "SELECT * FROM counts")
+_AREA_CTES = f"""
+clicked AS (
+  SELECT city_id, city_name, area, click_product_id AS pid, city_id::VARCHAR || ':' || city_name AS city
+  FROM actions JOIN city_area USING (city_id) WHERE click_product_id <> -1),
+sold AS (
+  SELECT area, pid, count(*) AS click_count, array_to_string(list_sort(list_distinct(list(city))), ',') AS city_infos
+  FROM clicked GROUP BY ALL),
+goods AS (
+  SELECT product_id AS pid, product_name,
+         CASE json_extract_string(extend_info, '$.product_status') WHEN '0' THEN 'Self' ELSE 'Third Party' END
+           AS product_status
+  FROM product_info),
+known AS (SELECT * FROM sold JOIN goods USING (pid)),
+leaders AS (
+  SELECT area, coalesce(level, 'D_Level') AS area_level, pid, city_infos, click_count, product_name, product_status
+  FROM known LEFT JOIN (VALUES {_LEVEL_VALUES}) levels(area, level) USING (area)
+  QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) <= 3)"""
+
+oracle("area_click_basic", _AREA_CTES, "SELECT city_id, city_name, area, pid FROM clicked")
+oracle("area_click_count", _AREA_CTES, "SELECT area, pid, click_count, city_infos FROM sold")
 oracle("group_concat_distinct", _AREA_CTES, """
-SELECT area, string_agg(DISTINCT concat(CAST(city_id AS VARCHAR), ':', city_name), ','
-                        ORDER BY concat(CAST(city_id AS VARCHAR), ':', city_name)) AS city_infos
-FROM basic GROUP BY area""")
-oracle("area_product_info", _AREA_CTES, "SELECT * FROM info")
-oracle("area_top3", _AREA_CTES, "SELECT * FROM top3")
-oracle("area_top3_sql", _AREA_CTES, "SELECT * FROM top3")
+SELECT area, array_to_string(list_sort(list_distinct(list(city))), ',') AS city_infos FROM clicked GROUP BY area""")
+oracle("area_product_info", _AREA_CTES,
+       "SELECT area, city_infos, pid, product_name, product_status, click_count FROM known")
+oracle("area_top3", _AREA_CTES, "SELECT * FROM leaders")
+oracle("area_top3_sql", _AREA_CTES, "SELECT * FROM leaders")
 
 
 # ---------------------------------------------------------------- sessions

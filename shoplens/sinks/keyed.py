@@ -10,10 +10,10 @@ state is read back from files (no growing lineage).
 With ``partition_cols`` (a subset of the keys, e.g. the day), a version holds only the partitions
 its batch touched (``v=<b>/date=.../``) and the table is, per partition, the newest committed
 version holding it. A micro-batch then reads and rewrites only the partitions it touches, so its
-cost follows the batch, not the table. Every ``compact_every`` batches a full version (marked
-``_FULL``) is written instead; lookups start at the newest full version, and versions older than
-the newest full version at or below the current batch's base are deleted -- no replay of this or
-a later batch can read them -- so a long-running stream keeps a bounded number of directories.
+cost follows the batch, not the table. After ``compact_every`` versions a full one (marked
+``_FULL``) is written instead; lookups start at the newest full version. Versions older than the
+last full ones at or below the current batch's base are deleted: no replay reads them, and readers of
+recent snapshots keep their files. So a long-running stream keeps a bounded number of directories.
 
 Modes:
   replace        overwrite the rows whose key occurs in the batch
@@ -25,12 +25,16 @@ Modes:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MODES = ("replace", "add", "replace_group", "insert_absent")
+#: Full versions of an unpartitioned table (each batch writes one) that stay for its readers.
+READERS_KEEP = 10
 
 
 class KeyedSink:
@@ -144,25 +148,34 @@ class KeyedSink:
     def _touched(self, batch: DataFrame) -> set[str]:
         # One row per touched partition (a handful of days per micro-batch), not per record.
         vals = batch.select(*self.partition_cols).distinct().collect()
-        return {"/".join(f"{c}={r[c]}" for c in self.partition_cols) for r in vals}
+        # Spark's own naming: special characters escaped, null as the default partition
+        named = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return {"/".join(named.getPartitionPathString(c, None if r[c] is None else str(r[c]))
+                         for c in self.partition_cols) for r in vals}
 
     # ---- merge ----
+    @staticmethod
+    def _without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
+        """Rows whose keys do not occur in ``others`` (null equals null)."""
+        there = others.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
+        return rows.join(there, same, "left_anti")
+
     def merge(self, current: DataFrame, batch: DataFrame) -> DataFrame:
         cols = self.schema.fieldNames()
         batch = batch.select(*cols)
         if self.mode == "replace":
             batch = batch.dropDuplicates(self.keys)
-            kept = current.join(batch.select(*self.keys), self.keys, "left_anti")
+            kept = self._without(current, batch, self.keys)
             return kept.select(*cols).unionByName(batch)
         if self.mode == "add":
             both = current.select(*cols).unionByName(batch)
             sums = [F.sum(c).cast(self.schema[c].dataType).alias(c) for c in self.value_cols]
             return both.groupBy(*self.keys).agg(*sums).select(*cols)
         if self.mode == "replace_group":
-            groups = batch.select(*self.group_keys).distinct()
-            kept = current.join(groups, self.group_keys, "left_anti")
+            kept = self._without(current, batch.select(*self.group_keys).distinct(), self.group_keys)
             return kept.select(*cols).unionByName(batch)
-        fresh = batch.dropDuplicates(self.keys).join(current.select(*self.keys), self.keys, "left_anti")
+        fresh = self._without(batch.dropDuplicates(self.keys), current, self.keys)
         return current.select(*cols).unionByName(fresh.select(*cols))
 
     def apply(self, batch: DataFrame, batch_id: int, touched: set[str] | None = None) -> None:
@@ -176,7 +189,9 @@ class KeyedSink:
             merged.write.mode("overwrite").parquet(out)
             self._expire(base_version)
             return
-        full = base_version is None or batch_id % self.compact_every == 0
+        fulls = [v for v in base if self._is_full(v)]
+        since = len([v for v in base if not fulls or v > fulls[-1]])
+        full = base_version is None or since + 1 >= self.compact_every
         if base_version is None:
             current = self._empty()
         else:
@@ -185,9 +200,9 @@ class KeyedSink:
                 current = self._read_partitions(layout, None)
             else:
                 current = self._read_partitions(layout, self._touched(batch) if touched is None else touched)
-        # Cluster by the partition columns first: one file per touched day instead of one per
-        # (task, day) pair; the rows are aggregated results, so a day stays a modest task.
-        merged = self.merge(current, batch).repartition(*self.partition_cols)
+        # Spread by the whole key: adaptive execution joins small partitions (one file for a small
+        # batch), while a large day is written by many tasks.
+        merged = self.merge(current, batch).repartition(*self.keys)
         merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(out)
         if full:
             fs, Path = self._fs()
@@ -195,7 +210,8 @@ class KeyedSink:
         self._expire(base_version)
 
     def _expire(self, base_version: int | None) -> None:
-        """Delete versions older than the newest full version <= ``base_version``."""
+        """Delete versions that neither a replay nor a reader of a recent snapshot needs: those older than
+        the last ``READERS_KEEP`` full versions (of partitioned tables the last two) <= ``base_version``."""
         if not self.retain or base_version is None:
             return
         vs = [v for v in self.versions() if v <= base_version]
@@ -203,6 +219,7 @@ class KeyedSink:
         if not full:
             return
         fs, Path = self._fs()
+        oldest = full[-2 if self.partition_cols else -READERS_KEEP:][0]
         for v in vs:
-            if v < full[-1]:
+            if v < oldest:
                 fs.delete(Path(f"{self.path}/v={v}"), True)

@@ -94,3 +94,20 @@ def test_sliding_hour_windows(spark):
     assert got[dt.datetime(2024, 1, 1, 0, 31)] == 2
     assert got[dt.datetime(2024, 1, 1, 1, 0)] == 2
     assert got[dt.datetime(2024, 1, 1, 1, 30)] == 1
+
+
+def test_minutes_do_not_depend_on_the_session_zone(spark):
+    from shoplens.operators import ads
+    from shoplens.runtime import session_conf
+    with session_conf(spark, {"spark.sql.session.timeZone": "America/New_York"}):
+        clicks = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:30.5' AS ts, 1L AS adid")  # an hour that zone skips
+        assert [tuple(r) for r in ads.click_trend(clicks).collect()] == [("20240310", "02", "30", 1, 1)]
+
+
+def test_packed_fields_and_sql_functions(spark):
+    from shoplens.functions.scalar import field_of_packed, register_sql_functions, set_field_in_packed
+    df = spark.createDataFrame([("a=1|a=2|b.c=3",), ("x=1",), (None,)], "t string")
+    got = df.select(field_of_packed("t", "a"), set_field_in_packed("t", "b.c", "$9")).collect()
+    assert [tuple(r) for r in got] == [("1", "a=1|a=2|b.c=$9"), (None, "x=1"), (None, None)]
+    register_sql_functions(spark)
+    assert spark.sql("SELECT concat_long_string(7, 'x', ':')").first()[0] == "7:x"

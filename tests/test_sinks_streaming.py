@@ -190,3 +190,27 @@ def test_continuous_job_all_queries(spark, root):
     assert rows(store.sink("ad_stat").snapshot()) == rows(ads.ad_stat(batch))
     assert rows(store.sink("ad_click_trend").snapshot()) == rows(ads.click_trend(batch))
     assert rows(store.sink("ad_user_click_count").snapshot()) == rows(ads.user_click_count(batch))
+
+
+def test_partition_values_escaped_or_null(spark, root):
+    sink = KeyedSink(spark, os.path.join(root, "t"), AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
+                     partition_cols=["date"])
+    sink.apply(spark.createDataFrame([("2024:01", 1, 1, 5), ("2024:01", 2, 1, 7), (None, 1, 1, 1)],
+                                     AD_USER_CLICK_COUNT), 0)
+    sink.apply(spark.createDataFrame([("2024:01", 1, 1, 1), (None, 1, 1, 1)], AD_USER_CLICK_COUNT), 1)
+    assert {tuple(r) for r in sink.snapshot().collect()} == {("2024:01", 1, 1, 6), ("2024:01", 2, 1, 7), (None, 1, 1, 2)}
+
+
+def test_compaction_by_versions_and_readers_keep_files(spark, root):
+    path = os.path.join(root, "t")
+    sink = KeyedSink(spark, path, AD_STAT, ["date", "province", "city", "adid"], "replace",
+                     partition_cols=["date"], compact_every=4)
+    for b in range(1, 13, 2):  # odd ids only: the empty batches between were skipped
+        sink.apply(stat_rows(spark, [("d1", "p", "c", 1, b)]), b)
+    assert sum(sink._is_full(v) for v in sink.versions()) >= 2
+    plain = KeyedSink(spark, os.path.join(root, "p"), AD_STAT, ["date", "province", "city", "adid"], "replace")
+    plain.apply(stat_rows(spark, [("d", "p", "c", 1, 0)]), 0)
+    before = plain.snapshot()
+    for b in (1, 2, 3):
+        plain.apply(stat_rows(spark, [("d", "p", "c", 1, b)]), b)
+    assert rows(before) == [("d", "p", "c", 1, 0)]
