@@ -177,9 +177,10 @@ def mix_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, see
         F.lit(1).cast("long"), F.array_max(F.transform("_pieces", lambda p: p["times"])))))
     copies = copies.withColumn("_taken", F.filter("_pieces", lambda p: p["times"] >= F.col("_c")))
     whole = F.aggregate("_taken", F.lit(0).cast("long"), lambda s, p: s + p["n"]) == F.col("size")
-    copies = copies.withColumn("_whole", whole).withColumn("_w", F.when(~F.col("_whole"), words(F.col("_row.text"))))
-    cut = F.array_join(F.flatten(F.transform("_taken", lambda p: F.slice(
-        F.col("_w"), p["at"].cast("int") + 1, p["n"].cast("int")))), " ")
+    copies = copies.withColumn("_whole", whole)
+    # the words are bound to a variable: written in the inner function, they would be split again for each piece
+    cut = F.get(F.transform(F.array(words(F.col("_row.text"))), lambda w: F.array_join(F.flatten(F.transform(
+        "_taken", lambda p: F.slice(w, p["at"].cast("int") + 1, p["n"].cast("int")))), " ")), F.lit(0))
     copies = copies.withColumn("_text", F.when(F.col("_whole"), F.col("_row.text")).otherwise(cut))
     column = lambda c: F.col(f"_row.{c}") if c not in ("text", "n_chars") else F.col("_text") if c == "text" else F.when(
         F.col("_whole"), F.col("_row.n_chars")).otherwise(F.length("_text")).cast(docs.schema[c].dataType)
