@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoplens.llm.common import Tokens, chunks, mix64, small, stored, words
+from shoplens.llm.common import WORD, Tokens, chunks, mix64, small, stored, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICK, SHARED = 16, 2, 3
@@ -111,10 +111,8 @@ def normal(text: Column) -> Column:
     return F.array_join(words(F.lower(text)), " ")
 
 
-def with_digest(docs: DataFrame) -> DataFrame:
-    """``docs`` with _norm and _digest (null for texts without words)."""
-    return docs.withColumn("_norm", normal(F.col("text"))).withColumn(
-        "_digest", F.when(F.col("_norm") != "", F.md5(F.col("_norm").cast("binary"))))
+def has_words(text: Column) -> Column:
+    return F.coalesce(text.rlike(WORD), F.lit(False))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -135,8 +133,10 @@ def sketches(docs: DataFrame) -> DataFrame:
                     + [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
                     ["doc_id", "digest", "thash", "n", "sketch"])
 
-    rows = with_digest(docs.select(F.col("doc_id").cast("long"), "text")).where(F.col("_digest").isNotNull())
-    return rows.select("doc_id", "_digest", F.xxhash64("text").alias("_thash"), "_norm").mapInArrow(
+    # the test for words reads up to the first one; a test of _norm would make the words once more
+    rows = docs.where(has_words(F.col("text"))).select(
+        F.col("doc_id").cast("long"), F.xxhash64("text").alias("_thash"), normal(F.col("text")).alias("_norm"))
+    return rows.select("doc_id", F.md5(F.col("_norm").cast("binary")).alias("_digest"), "_thash", "_norm").mapInArrow(
         run, "doc_id long, digest string, thash long, n long, sketch array<long>")
 
 
@@ -187,7 +187,7 @@ def merged(labels: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(rows, labels): doc_id and digest of each row with words; digest and label of each text. Texts go by a
+    """(rows, labels): doc_id, digest and thash of each row with words; digest and label of each text. Texts go by a
     number once they are stored, so that buckets, pairs and links are pairs of longs."""
     rows = stored(sketches(docs))
     reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("thash").alias(
@@ -228,8 +228,8 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         labels = components(new) if labels is None else merged(labels, new)
     found = reps.select("digest", "id")
     if labels is None:
-        return rows.select("doc_id", "digest"), found.select("digest", F.col("id").alias("label"))
-    return rows.select("doc_id", "digest"), found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
+        return rows.select("doc_id", "digest", "thash"), found.select("digest", F.col("id").alias("label"))
+    return rows.select("doc_id", "digest", "thash"), found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -238,7 +238,7 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     sizes = rows.groupBy("digest").agg(F.min("doc_id").alias("_m"), F.count("*").alias("_c")).join(labels, "digest").groupBy("label").agg(
         F.min("_m").alias("class_id"), F.sum("_c").alias("class_size"))
     found = rows.join(labels.join(sizes, "label"), "digest").select("doc_id", "class_id", "class_size")
-    blank = with_digest(docs.select(F.col("doc_id").cast("long"), "text")).where(F.col("_digest").isNull()).select(
+    blank = docs.where(~has_words(F.col("text"))).select(F.col("doc_id").cast("long")).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return found.unionByName(blank).withColumn("is_kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
@@ -247,10 +247,10 @@ def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one of each class, and all without words."""
     rows, labels = text_classes(docs, least)
     first = rows.join(labels, "digest").groupBy("label").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"))).alias("k"))
-    first = stored(first.select(F.col("k.doc_id").alias("_d"), F.col("k.digest").alias("_g")))
-    own = docs.columns
-    every = docs.select(F.struct(*own).alias("_row"), F.col("doc_id").cast("long").alias("_id"), "text")
-    every = with_digest(every).drop("text", "_norm")
-    one = every.join(first, (F.col("_digest") == F.col("_g")) & F.col("_id").eqNullSafe(F.col("_d"))).dropDuplicates(["_digest", "_id"])
-    return one.select("_row.*").unionByName(every.where(F.col("_digest").isNull()).select("_row.*"))
+        F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"), F.col("thash"))).alias("k"))
+    first = stored(first.select(F.col("k.doc_id").alias("_d"), F.col("k.thash").alias("_g")))
+    # the row is found again by its id and the hash of its text, without making its words once more
+    every = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                        F.xxhash64("text").alias("_t"), has_words(F.col("text")).alias("_worded"))
+    one = every.where("_worded").join(first, (F.col("_t") == F.col("_g")) & F.col("_id").eqNullSafe(F.col("_d"))).dropDuplicates(["_t", "_id"])
+    return one.select("_row.*").unionByName(every.where("NOT _worded").select("_row.*"))
