@@ -80,8 +80,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        # a running session's spark.checkpoint.dir cannot be changed: the context keeps the folder
         root = tempfile.mkdtemp(prefix="shoplens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root
