@@ -8,11 +8,15 @@ sensitive to edit similarity, not only to shared content. (Texts of fewer than f
 shingle; of fewer picks than ``PICK``, all are taken.)
 
 Candidates share a bucket (sketch number, value, length band; each text is in its band and the next, so texts
-within the similarity's length ratio meet). In each bucket all are paired with its smallest member of
-each component found so far, never all with all; pairs that share fewer than ``SHARED`` sketches go. Verification
+within the similarity's length ratio meet); pairs that share fewer than ``SHARED`` sketches go. First, rounds of few
+pairs: in each bucket all are paired with its smallest member of each component found so far. Verification
 aligns the two sequences of labelled shingles: their longest common subsequence within the band of offsets that the
 threshold allows, c; similarity c / (n1 + n2 - c). Links of at least ``SIMILARITY`` are merged into
-components by label propagation; rounds of pairing between components follow until none is found.
+components by label propagation; the rounds end when they find none. What they left out follows in one pass: in
+the buckets that still hold more than one component, every pair of texts of different components is verified, so
+no candidate is left untried but those inside a component. Buckets are compared there in blocks of ``BLOCK`` texts,
+each pair of blocks on its own, so a crowded bucket is spread over many tasks and a text is moved once for
+all its pairs in two blocks.
 
 Defined results: texts without words are not compared, each is a class of its own; repeated rows fall in one class;
 a null doc_id counts above all ids when the class id, the smallest doc_id, is chosen (null if all are null); an empty table
@@ -32,6 +36,7 @@ from shoplens.llm.common import WORD, Tokens, chunks, mix64, small, stored, word
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICK, SHARED = 16, 2, 3
+BLOCK = 256
 MADE = ["class_id", "class_size", "is_kept"]
 
 
@@ -186,6 +191,125 @@ def merged(labels: DataFrame, new: DataFrame) -> DataFrame:
     return stored(kept.unionByName(fresh))
 
 
+def _open(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets`` (key, label, ...) whose bucket holds more than one component."""
+    mixed = buckets.groupBy("key").agg(F.min("label").alias("_l"), F.max("label").alias("_m"), F.count("*").alias("_c"))
+    return buckets.drop("_c").join(mixed.where("_l != _m").select("key", "_c"), "key")
+
+
+DEAL = ["key", "_i", "_j"]
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows, which lie group by group (``DEAL``), in tables of whole groups; few at a time, as they have many pairs."""
+    rest = None
+    for batch in (b.slice(k, 4 * BLOCK) for b in batches for k in range(0, b.num_rows, 4 * BLOCK)):
+        table = pa.Table.from_batches([batch])
+        rest = table if rest is None else pa.concat_tables([rest, table])
+        start = int(np.logical_and.reduce([(v := rest.column(c).to_numpy()) == v[-1] for c in DEAL]).argmax())
+        if start:
+            yield rest.slice(0, start)
+            rest = rest.slice(start)
+    if rest is not None:
+        yield rest
+
+
+def _pairs(table: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows a, b of the candidates of different components in the groups of ``table``, sorted by a; where groups start."""
+    key, i, j, block, number, band, label, ids, n = (
+        table.column(c).to_numpy() for c in ("key", "_i", "_j", "_b", "_s", "_band", "label", "id", "n"))
+    sketch_ = table.column("sketch").combine_chunks().flatten().to_numpy().reshape(-1, SKETCHES)
+    new = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+    starts = np.concatenate([[0], new])
+    end = np.repeat(np.append(new, len(key)), np.diff(np.append(starts, len(key))))
+    own = np.floor(np.log(n) / -np.log(least) + 1e-9)
+    left, right = [], []
+    x = np.arange(len(key))
+    for shift in range(1, len(key)):
+        x = x[x + shift < end[x]]
+        if not len(x):
+            break
+        y = x + shift
+        # a pair counts where its blocks are this group's, and in its lower common band only
+        fits = ((block[x] != block[y]) | (i[x] == j[x])) & (label[x] != label[y]) & (band[x] == np.maximum(own[x], own[y]))
+        fits &= np.minimum(n[x], n[y]) >= least * np.maximum(n[x], n[y])
+        a, b = x[fits], y[fits]
+        same = sketch_[a] == sketch_[b]
+        good = (same.sum(1) >= SHARED) & (same.argmax(1) == number[a])  # and at its first common sketch only
+        left.append(a[good])
+        right.append(b[good])
+    a, b = (np.concatenate([np.zeros(0, np.int64), *s]) for s in (left, right))
+    order = np.argsort(a, kind="stable")
+    return a[order], b[order], starts
+
+
+def _links(table: pa.Table, least: float) -> pa.RecordBatch:
+    """a, b: ids of the pairs of ``_pairs`` whose shingles (_h) align well enough; those with too few in common are not
+    aligned."""
+    a, b, starts = _pairs(table, least)
+    ids, h, keep = table.column("id").to_numpy(), table.column("_h").to_pylist(), np.zeros(len(a), bool)
+    group = np.searchsorted(starts, a, side="right") - 1
+    first = np.flatnonzero(np.diff(a, prepend=-1))
+    now = -1
+    for s, e in zip(first.tolist(), [*first[1:].tolist(), len(a)]):
+        if group[s] != now:
+            now = group[s]
+            start, end = starts[now], starts[now + 1] if now + 1 < len(starts) else len(ids)
+            held = [np.frombuffer(x, np.uint64) for x in h[start:end]]
+            sizes = np.array([len(x) for x in held])
+            begin = np.cumsum(sizes) - sizes
+            values, where = np.unique(np.concatenate(held), return_inverse=True)
+        x, y = a[s] - start, b[s:e] - start
+        mark = np.zeros(len(values), np.int64)
+        mark[where[begin[x]:begin[x] + sizes[x]]] = 1
+        common = np.add.reduceat(mark[where], begin)[y]
+        enough = common >= least * (sizes[x] + sizes[y] - common) - 1e-9
+        for k in np.flatnonzero(enough).tolist():
+            keep[s + k] = alignment_similarity(held[x], held[y[k]], least) >= least
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(ids[a], ids[b])[keep]), pa.array(np.maximum(ids[a], ids[b])[keep])], ["a", "b"])
+
+
+def untried(buckets: DataFrame, reps: DataFrame, labels: DataFrame | None, least: float, size: int = BLOCK) -> DataFrame:
+    """The texts of two blocks of a bucket (``DEAL``) that share ``SHARED`` sketches with one of a different component
+    there: all candidate pairs between components lie in one of these groups each."""
+    if labels is None:
+        member = buckets.withColumn("label", F.col("id"))
+    else:
+        member = buckets.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    member = _open(member.select("key", "_s", "_band", "id", "label"))
+    enough = member.groupBy("id", "_band").agg(F.count("*").alias("_n")).where(F.col("_n") >= SHARED).drop("_n")
+    member = stored(_open(member.join(enough, ["id", "_band"])))
+    blocks = F.ceil(F.col("_c") / size).cast("int")
+    dealt = member.withColumn("_b", F.pmod(F.xxhash64("id"), blocks).cast("int")).join(
+        reps.select("id", "n", "sketch"), "id").withColumn("_o", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.select("key", F.least("_b", "_o").alias("_i"), F.greatest("_b", "_o").alias("_j"), "_b", "_s", "_band",
+                         "label", "id", "n", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            a, b, _ = _pairs(table, least)
+            has = np.zeros(len(table), bool)
+            has[a] = has[b] = True
+            yield from table.filter(pa.array(has)).to_batches()
+
+    return dealt.repartition(*DEAL).sortWithinPartitions(*DEAL).mapInArrow(run, dealt.schema)
+
+
+def _verify_blocks(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
+    """a, b: the candidate pairs in the groups of ``untried`` whose texts (id, _norm) align well enough."""
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [labelled(_word_hashes(t.as_py())).tobytes() for t in batch.column("_norm")]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], ["id", "_h"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches):
+            yield _links(table, least)
+
+    rows = groups.join(texts.mapInArrow(shingles, "id long, _h binary"), "id")
+    return rows.repartition(*DEAL).sortWithinPartitions(*DEAL).mapInArrow(run, "a long, b long")
+
+
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): doc_id, digest and thash of each row with words; digest and label of each text. Texts go by a
     number once they are stored, so that buckets, pairs and links are pairs of longs."""
@@ -194,10 +318,17 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         "thash")).withColumn("id", F.monotonically_increasing_id()))
     band = F.floor(F.log("n") / float(-np.log(least)) + 1e-9)
     buckets = reps.select("id", "sketch", F.explode(F.array(band, band + 1)).alias("_band")).select(
-        "id", "_band", F.posexplode("sketch").alias("_s", "_v")).select("id", F.xxhash64("_s", "_v", "_band").alias("key"))
+        "id", "_band", F.posexplode("sketch").alias("_s", "_v")).select("id", "_s", "_band", F.xxhash64("_s", "_v", "_band").alias("key"))
     crowded = buckets.groupBy("key").agg(F.min("id").alias("_first"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     buckets = stored(buckets.join(crowded, "key"))
     tried, labels = None, None
+
+    def found_texts(ids: DataFrame) -> DataFrame:
+        needed = stored(ids.distinct().join(reps, "id").select("id", "thash"))
+        # the texts are found again by the hash of one row each; only those are normalised and moved
+        texts = docs.select("text", F.xxhash64("text").alias("thash")).join(small(needed), "thash").dropDuplicates(["id"])
+        return texts.select("id", normal(F.col("text")).alias("_norm"))
+
     while True:
         if labels is None:
             pairs = buckets.where("id != _first").select(F.col("_first").alias("a"), F.col("id").alias("b"))
@@ -218,14 +349,16 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         pairs = stored(pairs.join(one, "a").join(other, "b").where(near & (alike >= SHARED)).select("a", "b"))
         if pairs.isEmpty():
             break
-        needed = stored(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(reps, "id").select("id", "thash"))
-        # the texts are found again by the hash of one row each; only those are normalised and moved
-        texts = docs.select("text", F.xxhash64("text").alias("thash")).join(small(needed), "thash").dropDuplicates(["id"])
-        new = stored(_verify(pairs, texts.select("id", normal(F.col("text")).alias("_norm")), least))
+        new = stored(_verify(pairs, found_texts(pairs.select(F.explode(F.array("a", "b")).alias("id"))), least))
         tried = pairs if tried is None else tried.union(pairs)
         if new.isEmpty():
             break
         labels = components(new) if labels is None else merged(labels, new)
+    groups = stored(untried(buckets, reps, labels, least))
+    if not groups.isEmpty():
+        new = stored(_verify_blocks(groups, found_texts(groups.select("id")), least))
+        if not new.isEmpty():
+            labels = components(new) if labels is None else merged(labels, new)
     found = reps.select("digest", "id")
     if labels is None:
         return rows.select("doc_id", "digest", "thash"), found.select("digest", F.col("id").alias("label"))
