@@ -1,11 +1,12 @@
 """Operator 6: benchmark decontamination by spaced-seed hashing.
 
-Texts become lower-case words (letters, digits and underscores). Fixed masks select some of each window of
-``SPAN`` words and ignore the others, so a passage with substituted words still shares selected words at
-some offset. Hashes of the benchmark's windows are joined with those of each document; around each hit
+Texts become lower-case words (letters, digits and underscores). Fixed masks select four of each window of
+four or five words and ignore the other, so a passage with substituted words still shares selected words at
+some offset: every stretch of five words or more with a share of ``MIN_EQUAL`` equal is hit. (With k substituted words,
+k > 3, some run of equal words has four; the masks with a gap find the stretches with fewer.) Hashes of the benchmark's windows are joined with those of each document; around each hit
 the item is laid over the document at the hit's offset, and the stretch through the hit with the best sum (+1 an equal
 word, -``PENALTY`` a substituted one) is taken. It counts if it has ``MIN_WORDS`` words (or the whole item
-if that is shorter) with a share of ``MIN_EQUAL`` equal.
+if that is shorter) with a share of ``MIN_EQUAL`` equal; if not, the longest stretch at that offset which does is taken.
 
 The benchmark is a query set joined in blocks of at most ``BLOCK_WORDS`` words, each broadcast to a pass over
 all documents, so its size has no limit but time; documents are never shuffled. Items shorter than a window are
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from shoplens.llm.common import mix64
 
 #: Fixed masks: 1 selects a word of the window, 0 ignores it.
-MASKS = ("111010011011", "110110101101", "101101110011")
+MASKS = ("1111", "11011", "10111", "11101")
 MIN_WORDS, MIN_EQUAL, PENALTY, SHORTEST = 12, 0.8, 2, 5
 BLOCK_WORDS = 200_000
 _WORD = re.compile(r"\w+")
@@ -98,9 +99,9 @@ class Index:
                     d = int(where[x])
                     if (k, d - p) in done:
                         continue
+                    done.add((k, d - p))
                     if (m := self._stretch(words, k, d, p, at[-1] + 1)) is None:
                         continue
-                    done.add((k, d - p))
                     if k not in best or (m[1], m[0], -m[2]) > (best[k][1], best[k][0], -best[k][2]):
                         best[k] = m
         return [(self.ids[k], *m) for k, m in sorted(best.items())]
@@ -110,13 +111,23 @@ class Index:
         back = min(d, p)
         n = min(len(words) - (d - back), len(item) - (p - back))
         equal = words[d - back:d - back + n] == item[p - back:p - back + n]
+        least = min(MIN_WORDS, len(item))
+        if n < least or equal.sum() < MIN_EQUAL * least:
+            return None
         sums = np.concatenate([[0], np.cumsum(np.where(equal, 1, -PENALTY))])
         a = int(np.argmin(sums[:back + 1][::-1]))
         a = back - a
         b = back + width + int(np.argmax(sums[back + width:])) if back + width <= n else n
         same = int(equal[a:b].sum())
-        if b - a < min(MIN_WORDS, len(item)) or same < MIN_EQUAL * (b - a):
-            return None
+        if b - a < least or same < MIN_EQUAL * (b - a):
+            # the longest stretch with enough equal words: of each end, the first start with no larger surplus
+            surplus = np.concatenate([[0], np.cumsum(equal - MIN_EQUAL)])
+            start = np.searchsorted(-np.minimum.accumulate(surplus), -surplus - 1e-9)
+            b = int(np.argmax(np.arange(n + 1) - start))
+            a = int(start[b])
+            same = int(equal[a:b].sum())
+            if b - a < least:
+                return None
         return b - a, same, d - back + a, p - back + a
 
 
