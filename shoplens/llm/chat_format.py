@@ -92,9 +92,11 @@ def locate(template: Template, turns: Turns, window: int = WINDOW) -> list[tuple
             shift = out[a][0] - more[0][0] if more else 0
             if not more or tuple(x + shift for x in more[0]) != out[a]:
                 out = None
+            elif template(turns[a:a + window])[more[0][0]:more[-1][1]] != whole[out[a][0]:more[-1][1] + shift]:
+                out = None  # the whole conversation has this stretch otherwise
             else:
                 out += [tuple(x + shift for x in s) for s in more[1:]]
-        if out and out[-1][1] <= len(whole) and template(turns[:window]) == whole[:out[window - 1][1]]:
+        if out and out[-1][1] == len(whole) and template(turns[:window]) == whole[:out[window - 1][1]]:
             return out
     return _spans(template, turns)
 
