@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shoplens.llm import (chat_format, class_lm, decontaminate, language_id, line_dedup, mixing, near_dedup,
-                          quality_rules, sharding, token_counts)
+from shoplens.llm import (chat_format, class_lm, decontaminate, language_id, line_dedup, mixing, near_dedup, orchard,
+                          quality_rules, sharding, source_audit, token_counts, vector_topk)
 from shoplens.llm.common import remainder, table
 
 #: A conversation of control strings, formatted beside those of the table.
@@ -68,6 +68,18 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op11_vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op12_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline  # the repository's top module, which is part of this subpackage
 
@@ -76,5 +88,6 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_language_id, op2_class_lm, op3_token_counts, op4_sharding, op5_mixing, op6_decontaminate, op7_near_dedup,
-    op8_line_dedup, op9_chat_format, op10_quality_rules, pipeline)}
-ORACLE: dict[str, str] = {"op4_sharding": sharding.ORACLE, "op8_line_dedup": line_dedup.ORACLE, "op9_chat_format": chat_format.ORACLE}
+    op8_line_dedup, op9_chat_format, op10_quality_rules, op11_vector_topk, op12_orchard, op13_source_audit, pipeline)}
+ORACLE: dict[str, str] = {"op4_sharding": sharding.ORACLE, "op8_line_dedup": line_dedup.ORACLE, "op9_chat_format": chat_format.ORACLE,
+                          "op11_vector_topk": vector_topk.ORACLE, "op12_orchard": orchard.ORACLE, "op13_source_audit": source_audit.ORACLE}
