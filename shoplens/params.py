@@ -69,7 +69,8 @@ class TaskParams:
         return replace(self, **changes)
 
 
-# The window and page flow of the registered queries, and the session constraints of the session /
-# category / sampling ones ("S").
-QUERY_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-20", target_page_flow=(1, 2, 3, 4, 5, 6, 7))
+# The date window of the scan queries, where it is the feature, the page flow of the registered queries (all others
+# run over the whole tables), and the session constraints of the session / category / sampling ones ("S").
+SCAN_PARAMS = TaskParams(start_date="2024-01-01", end_date="2024-01-20")
+QUERY_PARAMS = TaskParams(target_page_flow=(1, 2, 3, 4, 5, 6, 7))
 DEFAULT_SESSION_PARAMS = QUERY_PARAMS.with_(start_age=20, end_age=50, sex="male")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from shoplens.functions import scalar
 from shoplens.operators import ads, area, category, pageflow, sampling, sessions
-from shoplens.params import DEFAULT_SESSION_PARAMS, QUERY_PARAMS, TaskParams
+from shoplens.params import DEFAULT_SESSION_PARAMS, QUERY_PARAMS, SCAN_PARAMS, TaskParams
 from shoplens.plans.tables import Tables
 from shoplens.runtime import materialize, shared_dir
 from shoplens.schema import AD_BLACKLIST
@@ -40,12 +40,12 @@ def query(name: str):
 # ---------------------------------------------------------------- scans / area top-3
 @query("action_scan")
 def q_action_scan(spark, sf_dir):
-    return scan_actions(Tables(spark, sf_dir).actions, AREA_PARAMS)
+    return scan_actions(Tables(spark, sf_dir).actions, SCAN_PARAMS)
 
 
 @query("click_scan")
 def q_click_scan(spark, sf_dir):
-    return scan_clicks(Tables(spark, sf_dir).actions, AREA_PARAMS)
+    return scan_clicks(Tables(spark, sf_dir).actions, SCAN_PARAMS)
 
 
 def _area_basic(t: Tables) -> DataFrame:
@@ -293,7 +293,8 @@ FIXED_BLACKLIST = (0,)
 @query("ad_blacklist_filter")
 def q_ad_blacklist_filter(spark, sf_dir):
     blacklist = spark.createDataFrame([(u,) for u in FIXED_BLACKLIST], AD_BLACKLIST)
-    return ads.clicks_per_user(ads.drop_blacklisted(_clicks(Tables(spark, sf_dir)), blacklist))
+    # counted first: what is joined is one row per user, not the log
+    return ads.drop_blacklisted(ads.clicks_per_user(_clicks(Tables(spark, sf_dir))), blacklist).select("userid", "cnt")
 
 
 @query("ad_user_click_count")
@@ -344,10 +345,10 @@ def _parity_clicks(t: Tables):
     return even, odd
 
 
-def _apply_two(spark, sf_dir, sink_name: str, make_rows) -> DataFrame:
+def _apply_two(spark, sf_dir, sink_name: str, make_rows, mode: str | None = None) -> DataFrame:
     t = Tables(spark, sf_dir)
     store = AdStreamStore(spark, shared_dir(spark, "upsert"))
-    sink = store.sink(sink_name)
+    sink = store.sink(sink_name, mode)
     for batch_id, clicks in enumerate(_parity_clicks(t)):
         sink.apply(make_rows(clicks), batch_id)
     return sink.snapshot()
@@ -355,7 +356,7 @@ def _apply_two(spark, sf_dir, sink_name: str, make_rows) -> DataFrame:
 
 @query("upsert_replace")
 def q_upsert_replace(spark, sf_dir):
-    return _apply_two(spark, sf_dir, "ad_stat", ads.ad_stat)
+    return _apply_two(spark, sf_dir, "ad_stat", ads.ad_stat, "replace")
 
 
 @query("upsert_add")
@@ -371,26 +372,22 @@ def q_upsert_replace_group(spark, sf_dir):
 
 # ---------------------------------------------------------------- streaming forms
 STREAM_FEED_FILES = 4
-STREAM_WATERMARK = "31 days"  # the replayed log spans one month: nothing is late, whatever the batching
-STREAM_STATE_PARTITIONS = 8  # state-store partitions for the replayed test log (tens of thousands of rows)
 AVAILABLE_NOW = {"availableNow": True}
 
 
-def _run_stream(spark, sf_dir, job: str) -> AdStreamStore:
-    """Feed the ad log through the clean-clicks query and then ``job``; return the store."""
+def _run_stream(spark, sf_dir, job: str, blacklist: tuple[int, ...] = ()) -> AdStreamStore:
+    """Feed the ad log through the clean-clicks query (from ``blacklist`` on) and then ``job``; return the store."""
     store = AdStreamStore(spark, shared_dir(spark, "ad-stream"))
+    if blacklist:
+        store.seed_blacklist(spark.createDataFrame([(u,) for u in blacklist], AD_BLACKLIST))
     write_feed(Tables(spark, sf_dir).ad_log, store.path("feed"), STREAM_FEED_FILES)
     lines = read_ad_log_stream(spark, store.path("feed"), max_files_per_trigger=2)
     stream_ads.start_clean_clicks(lines, store, AVAILABLE_NOW).awaitTermination()
     clicks = stream_ads.clean_clicks(store, max_files_per_trigger=1)
-    if job == "stat":
-        q = stream_ads.start_ad_stat(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW,
-                                     state_partitions=STREAM_STATE_PARTITIONS)
-    elif job == "trend":
-        q = stream_ads.start_click_trend(clicks, store, STREAM_WATERMARK, AVAILABLE_NOW,
-                                         state_partitions=STREAM_STATE_PARTITIONS)
-    else:
-        q = stream_ads.start_blacklist(clicks, store, trigger=AVAILABLE_NOW)
+    start = {"stat": stream_ads.start_ad_stat, "trend": stream_ads.start_click_trend, "blacklist": stream_ads.start_blacklist}
+    if job not in start:
+        return store
+    q = start[job](clicks, store, trigger=AVAILABLE_NOW)
     q.awaitTermination()
     return store
 
@@ -415,6 +412,12 @@ def q_ad_blacklist_stream(spark, sf_dir):
     return _run_stream(spark, sf_dir, "blacklist").sink("ad_blacklist").snapshot()
 
 
+@query("ad_blacklist_filter_stream")
+def q_ad_blacklist_filter_stream(spark, sf_dir):
+    store = _run_stream(spark, sf_dir, "clean", FIXED_BLACKLIST)
+    return ads.clicks_per_user(spark.read.parquet(store.clean_path))
+
+
 # ---------------------------------------------------------------- scalar functions
 @query("scalar_functions")
 def q_scalar_functions(spark, sf_dir):

@@ -1,30 +1,40 @@
-"""Keyed, replay-safe result tables for micro-batch output.
-
-A ``KeyedSink`` keeps one Parquet directory per applied batch: ``<path>/v=<batch_id>``. Applying
-batch ``b`` reads the newest committed state below ``b``, merges the batch into it set-wise (joins
-and aggregates, no row-by-row lookups) and writes ``v=<b>``. Replaying ``b`` after a failure reads
-the same base and rewrites the same directory, so every mode -- including the accumulating one --
-is idempotent per batch id. The directory being read is never the one being written, and every
-state is read back from files (no growing lineage).
-
-With ``partition_cols`` (a subset of the keys, e.g. the day), a version holds only the partitions
-its batch touched (``v=<b>/date=.../``) and the table is, per partition, the newest committed
-version holding it. A micro-batch then reads and rewrites only the partitions it touches, so its
-cost follows the batch, not the table. After ``compact_every`` versions a full one (marked
-``_FULL``) is written instead; lookups start at the newest full version. Versions older than the
-last full ones at or below the current batch's base are deleted: no replay reads them, and readers of
-recent snapshots keep their files. So a long-running stream keeps a bounded number of directories.
-
-Modes:
-  replace        overwrite the rows whose key occurs in the batch
-  add            add the batch's value columns to the stored ones (key-wise sum)
-  replace_group  delete every stored row of a group that occurs in the batch, then insert
-  insert_absent  insert only keys not stored yet
+"""Keyed, replay-safe result tables for micro-batch output (A11-A15), kept as a log of small segments.
+
+Applying a batch writes the batch, and nothing else: its rows, one per key and hashed by key, become one *segment*
+(``data/seq=<batch_id>/try=<random>/[date=.../]part-*``). A *manifest* (``_log/<number>.json``) lists the live
+segments; it appears at once by a rename that never replaces a file, and only then does the batch count. So
+
+* the cost of a batch follows the batch, not the table or its day: nothing stored is read or rewritten;
+* a crash before the manifest leaves files that no reader takes; the replay writes its own;
+* a replay after the manifest finds its batch id applied and does nothing, whatever the mode;
+* readers plan against one manifest and keep its files while newer ones are written.
+
+What a key's rows in several segments mean is settled when the table is read, by the mode:
+
+  replace        the newest segment's row of a key counts
+  add            the value columns of all segments are summed by key
+  replace_group  a group's rows in the newest segment that holds the group count, all older ones are gone
+  insert_absent  the oldest segment's row of a key counts
+
+A partition (``partition_cols``, e.g. the day) that is in one segment only is read as it is, without a shuffle.
+``lookup`` restricts the segments to the asked keys before it settles them, so a batch's point lookups (A15) are one
+semi join over the segments of its own days.
+
+Compaction keeps the number of segments small: ``compact_every`` neighbouring segments of a level are merged into one
+of the next level, so a row is rewritten once a level; partitions that the last ``compact_every`` batches did not touch
+(closed days) are merged into one segment. It runs after a commit, or with ``background=True`` in a thread of its own while
+batches go on: a merge reads segments that never change, and its manifest only swaps them. One process writes a table.
+Files that the last ``READERS_KEEP`` manifests do not name are deleted.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import threading
+import uuid
+from collections import Counter, defaultdict
+from collections.abc import Iterable, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from functools import reduce
 from operator import and_
 
@@ -32,15 +42,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoplens.sinks.files import Files
+
 MODES = ("replace", "add", "replace_group", "insert_absent")
-#: Full versions of an unpartitioned table (each batch writes one) that stay for its readers.
+#: Manifests whose files stay for readers that planned against them.
 READERS_KEEP = 10
 
+_LOCKS: dict[str, threading.RLock] = defaultdict(threading.RLock)
+_WRITING: set[str] = set()  # folders of segments that no manifest names yet
+
 
 class KeyedSink:
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str],
                  mode: str, group_keys: Sequence[str] = (), value_cols: Sequence[str] = (),
-                 partition_cols: Sequence[str] = (), compact_every: int = 50, retain: bool = True):
+                 partition_cols: Sequence[str] = (), compact_every: int = 20, retain: bool = True,
+                 background: bool = False):
         if mode not in MODES:
             raise ValueError(f"mode must be one of {MODES}")
         if mode == "replace_group" and not group_keys:
@@ -53,173 +69,215 @@ class KeyedSink:
         self.group_keys = list(group_keys)
         self.value_cols = list(value_cols) or [f.name for f in schema.fields if f.name not in keys]
         self.partition_cols = list(partition_cols)
-        self.compact_every = max(1, int(compact_every))
+        self.compact_every = max(2, int(compact_every))
         self.retain = retain
+        self.files = Files(spark, self.path)
+        self._lock = _LOCKS[self.path]
+        self._pool = ThreadPoolExecutor(1) if background else None
+        self._merging: Future | None = None
+
+    # ---- the log ----
+    def _numbers(self) -> list[int]:
+        return [int(n[:-5]) for n in self.files.names("_log", folders=False) if n.endswith(".json") and not n.startswith(".")]
+
+    def _manifest(self, number: int) -> dict:
+        return json.loads(self.files.read_text("_log", f"{number:020d}.json"))
 
-    # ---- storage helpers (Hadoop FileSystem, so any shared file system works) ----
-    def _fs(self):
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        p = jvm.org.apache.hadoop.fs.Path(self.path)
-        return p.getFileSystem(conf), jvm.org.apache.hadoop.fs.Path
+    def manifest(self) -> dict | None:
+        """The newest manifest: number, batch (the last applied), parts (partitions it wrote), mode, segments."""
+        numbers = self._numbers()
+        return self._manifest(numbers[-1]) if numbers else None
 
     def versions(self) -> list[int]:
-        """Committed versions (directories with a ``_SUCCESS`` marker), ascending."""
-        fs, Path = self._fs()
-        root = Path(self.path)
-        if not fs.exists(root):
-            return []
-        out = []
-        for st in fs.listStatus(root):
-            name = st.getPath().getName()
-            if st.isDirectory() and name.startswith("v="):
-                if fs.exists(Path(st.getPath(), "_SUCCESS")):
-                    out.append(int(name[2:]))
-        return sorted(out)
-
-    def _is_full(self, version: int) -> bool:
-        if not self.partition_cols:
-            return True
-        fs, Path = self._fs()
-        return fs.exists(Path(f"{self.path}/v={version}", "_FULL"))
-
-    def _partition_dirs(self, version: int) -> list[str]:
-        """Relative partition paths ('date=x' or 'a=x/b=y') stored in one version."""
-        fs, Path = self._fs()
-        level = [(Path(f"{self.path}/v={version}"), "")]
+        """Applied batch ids of the manifests that are kept, ascending."""
+        return sorted({self._manifest(n)["batch"] for n in self._numbers()})
+
+    def _commit(self, batch: int, segments: list[dict], before: dict | None, parts: list[str]) -> None:
+        number = before["number"] + 1 if before else 0
+        said = {"number": number, "batch": batch, "parts": parts, "mode": self.mode, "segments": segments}
+        self.files.create(json.dumps(said), "_log", f"{number:020d}.json")
+        self._expire()
+
+    def _expire(self) -> None:
+        """Delete manifests before the last ``READERS_KEEP``, and segments that only those name (or none, after a crash)."""
+        if not self.retain:
+            return
+        numbers = self._numbers()
+        kept = [self._manifest(n) for n in numbers[-READERS_KEEP:]]
+        named = {s["dir"] for m in kept for s in m["segments"]} | _WRITING
+        for n in numbers[:-READERS_KEEP]:
+            self.files.delete("_log", f"{n:020d}.json")
+        last = kept[-1]["batch"]
+        for seq in self.files.names("data", folders=True):
+            if int(seq[4:]) <= last:
+                tries = self.files.names("data", seq, folders=True)
+                gone = [t for t in tries if f"{seq}/{t}" not in named]
+                for t in gone:
+                    self.files.delete("data", seq, t)
+                if len(gone) == len(tries):
+                    self.files.delete("data", seq)
+
+    # ---- writing ----
+    def _delta(self, batch: DataFrame) -> DataFrame:
+        """The batch with one row per key, hashed by key (an aggregate by the keys leaves it so)."""
+        cols = self.schema.fieldNames()
+        if self.mode == "add":
+            sums = [F.sum(c).cast(self.schema[c].dataType).alias(c) for c in self.value_cols]
+            return batch.groupBy(*self.keys).agg(*sums).select(*cols)
+        if self.mode == "replace_group":
+            return batch.select(*cols).repartition(*self.keys)
+        return batch.select(*cols).repartition(*self.keys).dropDuplicates(self.keys)
+
+    def _write(self, rows: DataFrame, seq: int, level: int) -> dict:
+        folder = f"seq={seq}/try={uuid.uuid4().hex[:12]}"
+        _WRITING.add(folder)
+        writer = rows.write.partitionBy(*self.partition_cols) if self.partition_cols else rows.write
+        writer.parquet(f"{self.path}/data/{folder}")
+        parts = [""]
         for _ in self.partition_cols:
-            nxt = []
-            for p, rel in level:
-                for st in fs.listStatus(p):
-                    name = st.getPath().getName()
-                    if st.isDirectory() and "=" in name and not name.startswith(("_", ".")):
-                        nxt.append((st.getPath(), f"{rel}/{name}" if rel else name))
-            level = nxt
-        return [rel for _, rel in level]
-
-    def _layout(self, upto: int | None) -> dict[str, int]:
-        """Partition path -> newest committed version (<= upto) that holds it."""
-        newest: dict[str, int] = {}
-        vs = [v for v in self.versions() if upto is None or v <= upto]
-        full = [v for v in vs if self._is_full(v)]
-        for v in vs[vs.index(full[-1]):] if full else vs:
-            for rel in self._partition_dirs(v):
-                newest[rel] = v
-        return newest
+            parts = [f"{p}/{n}".lstrip("/") for p in parts for n in self.files.names("data", folder, *filter(None, [p]), folders=True)
+                     if not n.startswith(("_", "."))]
+        return {"dir": folder, "seq": seq, "level": level, "parts": parts, "bytes": self.files.size("data", folder)}
+
+    def apply(self, batch: DataFrame, batch_id: int) -> None:
+        """Append ``batch`` as version ``batch_id``; does nothing if that or a later batch is applied already."""
+        if self._merging is not None and self._merging.done():
+            self._merging.result()  # a failed merge is told here
+        now = self.manifest()
+        if now and now["mode"] != self.mode:
+            raise ValueError(f"{self.path} is kept in mode {now['mode']}, not {self.mode}")
+        if now and batch_id <= now["batch"]:
+            return
+        segment = self._write(self._delta(batch), batch_id, 0)
+        with self._lock:
+            now = self.manifest()
+            self._commit(batch_id, (now["segments"] if now else []) + ([segment] if segment["parts"] else []), now, segment["parts"])
+            _WRITING.discard(segment["dir"])
+        if self._pool is None:
+            self._tidy()
+        elif self._merging is None or self._merging.done():
+            self._merging = self._pool.submit(self._tidy)
+
+    # ---- compaction ----
+    def _tidy(self) -> None:
+        while True:
+            segments = self.manifest()["segments"]
+            levels = Counter(s["level"] for s in segments)
+            full = min((v for v, n in levels.items() if n >= self.compact_every), default=None)
+            if full is None:
+                break
+            run = [s for s in segments if s["level"] == full]
+            self._merge(run, None, full + 1)
+            if self.partition_cols:
+                self.compact_closed()
+
+    def compact_closed(self) -> None:
+        """Merge every partition that is in several segments but not in those of the last ``compact_every`` batches."""
+        segments = self.manifest()["segments"]
+        recent = sorted({s["seq"] for s in segments})[-self.compact_every:]
+        open_parts = {p for s in segments if s["level"] == 0 and s["seq"] in recent for p in s["parts"]}
+        times = Counter(p for s in segments for p in s["parts"])
+        closed = {p for p, n in times.items() if n > 1 and p not in open_parts}
+        if closed:
+            self._merge([s for s in segments if closed & set(s["parts"])], closed, max(s["level"] for s in segments))
+
+    def _merge(self, run: list[dict], parts: set[str] | None, level: int) -> None:
+        """Replace the segments ``run`` (or only their ``parts``) by one."""
+        merged = self._write(self._settled(self._rows(run, parts)).repartition(*self.keys), max(s["seq"] for s in run), level)
+        gone = {s["dir"] for s in run}
+        with self._lock:
+            now = self.manifest()
+            left, at = [], 0
+            for s in now["segments"]:
+                if s["dir"] in gone:
+                    at = len(left)
+                    rest = [p for p in s["parts"] if parts is not None and p not in parts]
+                    left += [{**s, "parts": rest}] if rest else []
+                else:
+                    left.append(s)
+            left.insert(at, merged)
+            self._commit(now["batch"], left, now, now["parts"])
+            _WRITING.discard(merged["dir"])
+
+    def wait(self) -> None:
+        """Wait for a merge in the background, and raise what it raised."""
+        if self._merging is not None:
+            self._merging.result()
 
+    # ---- reading ----
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], self.schema)
 
-    def read_version(self, version: int | None) -> DataFrame:
-        """The table as of ``version`` (an empty table for ``None``)."""
-        if version is None:
-            return self._empty()
-        if not self.partition_cols:
-            return self.spark.read.schema(self.schema).parquet(f"{self.path}/v={version}")
-        return self._read_partitions(self._layout(version))
-
-    def _read_partitions(self, layout: dict[str, int], only: set[str] | None = None) -> DataFrame:
-        leaves = [f"{self.path}/v={v}/{rel}" for rel, v in sorted(layout.items())
-                  if only is None or rel in only]
+    def _rows(self, segments: Iterable[dict], parts: set[str] | None) -> DataFrame | None:
+        """The segments' rows (in ``parts``) with their seq."""
+        leaves = ["/".join(filter(None, [self.path, "data", s["dir"], p])) for s in segments for p in s["parts"]
+                  if parts is None or p in parts]
         if not leaves:
+            return None
+        schema = T.StructType([*self.schema.fields, T.StructField("seq", T.LongType()), T.StructField("try", T.StringType())])
+        rows = self.spark.read.schema(schema).option("basePath", f"{self.path}/data").parquet(*leaves)
+        return rows.select(*self.schema.fieldNames(), F.col("seq").alias("_seq"))
+
+    def _settled(self, rows: DataFrame) -> DataFrame:
+        """One row per key (all of the newest rows per group) of rows from several segments."""
+        cols = self.schema.fieldNames()
+        if self.mode == "add":
+            return rows.groupBy(*self.keys).agg(*[F.sum(c).cast(self.schema[c].dataType).alias(c) for c in self.value_cols]).select(*cols)
+        if self.mode == "replace_group":
+            last = rows.groupBy(*[F.col(k).alias(f"_g{i}") for i, k in enumerate(self.group_keys)]).agg(F.max("_seq").alias("_last"))
+            same = [F.col(k).eqNullSafe(F.col(f"_g{i}")) for i, k in enumerate(self.group_keys)]
+            return rows.join(last, reduce(and_, same, F.col("_seq") == F.col("_last"))).select(*cols)
+        others = [c for c in cols if c not in self.keys]
+        if not others:
+            return rows.select(*cols).distinct()
+        pick = F.max_by if self.mode == "replace" else F.min_by
+        return rows.groupBy(*self.keys).agg(pick(F.struct(*others), F.col("_seq")).alias("_v")).select(
+            *[F.col(f"_v.{c}").alias(c) if c in others else F.col(c) for c in cols])
+
+    def _read(self, manifest: dict | None, parts: set[str] | None = None, keys: DataFrame | None = None) -> DataFrame:
+        if manifest is None:
             return self._empty()
-        schema = T.StructType(list(self.schema.fields) + [T.StructField("v", T.IntegerType())])
-        df = self.spark.read.schema(schema).option("basePath", self.path).parquet(*leaves)
-        return df.select(*self.schema.fieldNames())
+        segments = manifest["segments"]
+        times = Counter(p for s in segments for p in s["parts"] if parts is None or p in parts)
+        once, often = {p for p, n in times.items() if n == 1}, {p for p, n in times.items() if n > 1}
+        out = None
+        for which, settle in ((once, False), (often, True)):
+            rows = self._rows(segments, which)
+            if rows is None:
+                continue
+            rows = rows if keys is None else self._matching(rows, keys)
+            rows = self._settled(rows) if settle else rows.select(*self.schema.fieldNames())
+            out = rows if out is None else out.unionByName(rows)
+        return self._empty() if out is None else out
+
+    @staticmethod
+    def _matching(rows: DataFrame, keys: DataFrame) -> DataFrame:
+        """Rows whose key columns occur in ``keys`` (null equals null)."""
+        there = keys.select(*[F.col(c).alias(f"_k_{c}") for c in keys.columns])
+        return rows.join(there, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys.columns]), "left_semi")
 
     def snapshot(self) -> DataFrame:
         """The newest committed table (empty with the sink's schema before the first batch)."""
-        vs = self.versions()
-        return self.read_version(vs[-1] if vs else None)
-
-    def read_partitions_of(self, batch: DataFrame, version: int,
-                           touched: set[str] | None = None) -> DataFrame:
-        """Rows of ``version`` in the partitions that ``batch`` touches (the whole table when
-        unpartitioned); ``touched`` may be passed when already known."""
-        if not self.partition_cols:
-            return self.read_version(version)
-        return self._read_partitions(self._layout(version),
-                                     self.touched_partitions(batch) if touched is None else touched)
-
-    def touched_partitions(self, batch: DataFrame) -> set[str]:
-        """Partition paths ('date=...') that ``batch`` writes to."""
-        return self._touched(batch) if self.partition_cols else set()
-
-    def _touched(self, batch: DataFrame) -> set[str]:
-        # One row per touched partition (a handful of days per micro-batch), not per record.
-        vals = batch.select(*self.partition_cols).distinct().collect()
-        # Spark's own naming: special characters escaped, null as the default partition
-        named = self.spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        return {"/".join(named.getPartitionPathString(c, None if r[c] is None else str(r[c]))
-                         for c in self.partition_cols) for r in vals}
-
-    # ---- merge ----
-    @staticmethod
-    def _without(rows: DataFrame, others: DataFrame, keys: Sequence[str]) -> DataFrame:
-        """Rows whose keys do not occur in ``others`` (null equals null)."""
-        there = others.select(*[F.col(c).alias(f"_k_{c}") for c in keys])
-        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys])
-        return rows.join(there, same, "left_anti")
+        return self._as_kept(self.manifest())
 
-    def merge(self, current: DataFrame, batch: DataFrame) -> DataFrame:
-        cols = self.schema.fieldNames()
-        batch = batch.select(*cols)
-        if self.mode == "replace":
-            batch = batch.dropDuplicates(self.keys)
-            kept = self._without(current, batch, self.keys)
-            return kept.select(*cols).unionByName(batch)
-        if self.mode == "add":
-            both = current.select(*cols).unionByName(batch)
-            sums = [F.sum(c).cast(self.schema[c].dataType).alias(c) for c in self.value_cols]
-            return both.groupBy(*self.keys).agg(*sums).select(*cols)
-        if self.mode == "replace_group":
-            kept = self._without(current, batch.select(*self.group_keys).distinct(), self.group_keys)
-            return kept.select(*cols).unionByName(batch)
-        fresh = self._without(batch.dropDuplicates(self.keys), current, self.keys)
-        return current.select(*cols).unionByName(fresh.select(*cols))
-
-    def apply(self, batch: DataFrame, batch_id: int, touched: set[str] | None = None) -> None:
-        """Merge ``batch`` as version ``batch_id``; idempotent for a repeated ``batch_id``.
-        ``touched`` (a superset of the batch's partitions) saves a pass over the batch."""
-        base = [v for v in self.versions() if v < batch_id]
-        base_version = base[-1] if base else None
-        out = f"{self.path}/v={batch_id}"
-        if not self.partition_cols:
-            merged = self.merge(self.read_version(base_version), batch)
-            merged.write.mode("overwrite").parquet(out)
-            self._expire(base_version)
-            return
-        fulls = [v for v in base if self._is_full(v)]
-        since = len([v for v in base if not fulls or v > fulls[-1]])
-        full = base_version is None or since + 1 >= self.compact_every
-        if base_version is None:
-            current = self._empty()
-        else:
-            layout = self._layout(base_version)
-            if full:
-                current = self._read_partitions(layout, None)
-            else:
-                current = self._read_partitions(layout, self._touched(batch) if touched is None else touched)
-        # Spread by the whole key: adaptive execution joins small partitions (one file for a small
-        # batch), while a large day is written by many tasks.
-        merged = self.merge(current, batch).repartition(*self.keys)
-        merged.write.mode("overwrite").partitionBy(*self.partition_cols).parquet(out)
-        if full:
-            fs, Path = self._fs()
-            fs.create(Path(out, "_FULL"), True).close()
-        self._expire(base_version)
-
-    def _expire(self, base_version: int | None) -> None:
-        """Delete versions that neither a replay nor a reader of a recent snapshot needs: those older than
-        the last ``READERS_KEEP`` full versions (of partitioned tables the last two) <= ``base_version``."""
-        if not self.retain or base_version is None:
-            return
-        vs = [v for v in self.versions() if v <= base_version]
-        full = [v for v in vs if self._is_full(v)]
-        if not full:
-            return
-        fs, Path = self._fs()
-        oldest = full[-2 if self.partition_cols else -READERS_KEEP:][0]
-        for v in vs:
-            if v < oldest:
-                fs.delete(Path(f"{self.path}/v={v}"), True)
+    def read_version(self, version: int | None) -> DataFrame:
+        """The table as of batch ``version``, if its manifest is still kept (an empty table for ``None``)."""
+        if version is None:
+            return self._empty()
+        kept = [m for m in map(self._manifest, self._numbers()) if m["batch"] <= version]
+        return self._as_kept(kept[-1] if kept else None)
+
+    def _as_kept(self, manifest: dict | None) -> DataFrame:
+        if manifest and manifest["mode"] != self.mode:  # the other form of the same table
+            return KeyedSink(self.spark, self.path, self.schema, self.keys, manifest["mode"], self.group_keys,
+                             self.value_cols, self.partition_cols, self.compact_every, self.retain)._read(manifest)
+        return self._read(manifest)
+
+    def parts_of(self, batch_id: int) -> set[str] | None:
+        """Partitions that batch ``batch_id`` wrote, if it is the last one (None: not known, all of them)."""
+        now = self.manifest()
+        return set(now["parts"]) if now and now["batch"] == batch_id else None
+
+    def lookup(self, keys: DataFrame, parts: set[str] | None = None) -> DataFrame:
+        """The newest table's rows whose columns named like those of ``keys`` (keys or group keys) occur in it."""
+        return self._read(self.manifest(), parts, keys)

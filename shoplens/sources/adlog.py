@@ -22,11 +22,13 @@ def millis_to_ntz(ms: Column) -> Column:
 
 
 def _fields(lines: DataFrame) -> DataFrame:
-    """Split each line once: (value, ms, province, city, userid, adid, ok)."""
-    p = F.split(F.rtrim("value"), " ")
-    f = lines.select("value", F.size(p).alias("_n"), p[0].try_cast("bigint").alias("ms"),
-                     p[1].alias("province"), p[2].alias("city"),
-                     p[3].try_cast("bigint").alias("userid"), p[4].try_cast("bigint").alias("adid"))
+    """Split each line once: (value, ms, province, city, userid, adid, ok). The split stands behind a generator of one
+    row, as the optimiser would otherwise copy it into every field and every test that uses one."""
+    once = lines.select("value", F.explode(F.array(F.split(F.rtrim("value"), " "))).alias("p"))
+    p = F.col("p")
+    f = once.select("value", F.size(p).alias("_n"), p[0].try_cast("bigint").alias("ms"),
+                    p[1].alias("province"), p[2].alias("city"),
+                    p[3].try_cast("bigint").alias("userid"), p[4].try_cast("bigint").alias("adid"))
     # years 1 to 9999; other times are no clicks, and some do not fit a timestamp
     ok = (F.col("_n") >= 5) & F.col("ms").between(F.lit(-62135596800000), F.lit(253402300799999)) & (F.col("province") != "") \
         & (F.col("city") != "") & F.col("userid").isNotNull() & F.col("adid").isNotNull()

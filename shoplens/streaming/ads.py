@@ -3,29 +3,31 @@
 Four queries, each with its own checkpoint under a shared root:
 
 clean      source lines -> ``foreachBatch``: parse (bad lines to ``quarantine/``), re-read the
-           current blacklist snapshot, anti-join it, append the clean clicks as
-           ``clean/batch_id=<id>`` (skipped when that batch already committed, so a replay
-           never duplicates files for the readers downstream).
-stat       clean clicks -> watermark -> ``groupBy(window(1 day), date, province, city, adid)
-           .count()`` in update mode (running counts in the state store; the day window lets
-           the watermark evict finished days) -> keyed ``replace`` into ``ad_stat``; then the
-           touched (date, province) groups are re-ranked from the new ``ad_stat`` snapshot and
-           ``replace_group``-ed into ``ad_province_top3``.
-trend      clean clicks -> watermark -> ``groupBy(window(1 minute), adid).count()`` in update
-           mode -> keyed ``replace`` into ``ad_click_trend``.
+           current blacklist snapshot, anti-join it, and write the clean clicks to a staging folder. When that
+           write is committed, its files are moved to ``clean/batch_id=<id>`` one by one. A replay of a batch whose
+           staging is committed only moves what is left, so readers get each file once and none that is half written.
+stat       clean clicks -> ``foreachBatch``: the batch's counts by (date, province, city, adid) are added to
+           ``ad_stat``, those by province to ``ad_province_count``. Counts only grow, so the new leaders of a
+           (date, province) are among the old ones and the ads that the batch touched: only these are ranked and
+           ``replace_group``-ed into ``ad_province_top3``. No state store, nothing is late, no day is read again.
+trend      clean clicks -> the batch's counts by minute and ad, added to ``ad_click_trend``.
 blacklist  clean clicks -> per batch (date, userid, adid) counts -> keyed ``add`` into
            ``ad_user_click_count``; users whose accumulated count of a touched key exceeds the
            threshold -> keyed ``insert_absent`` into ``ad_blacklist``, which ``clean`` re-reads
            at its next batch.
 
+With a watermark, stat and trend are stateful aggregations in update mode instead (``groupBy(window, ...).count()``,
+keyed ``replace``): clicks later than the watermark are dropped and finished days leave the state.
 Ranking and aggregating over an aggregation are not allowed inside a streaming plan, so they run
-in ``foreachBatch`` over the keyed snapshots -- set-based, with no per-row lookups.
+in ``foreachBatch`` over the keyed tables -- set-based, with no per-row lookups.
 """
 
 from __future__ import annotations
 
 import os
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,10 +38,11 @@ from shoplens.operators import ads
 from shoplens.runtime import session_conf
 from shoplens.schema import (AD_BLACKLIST, AD_CLICK, AD_CLICK_TREND, AD_PROVINCE_TOP3, AD_STAT,
                              AD_USER_CLICK_COUNT)
+from shoplens.sinks.files import Files
 from shoplens.sinks.keyed import KeyedSink
 from shoplens.sources.adlog import parse_ad_log, quarantine
 
-# None: no click is ever late, and state is kept; a watermark bounds the state but drops late clicks.
+# None: no click is ever late and nothing is kept in a state store; a watermark drops late clicks.
 DEFAULT_WATERMARK = None
 DEFAULT_TRIGGER = {"processingTime": "5 seconds"}
 
@@ -61,25 +64,30 @@ class AdStreamStore:
     def clean_path(self) -> str:
         return self.path("clean")
 
-    def sink(self, name: str) -> KeyedSink:
+    def sink(self, name: str, mode: str | None = None) -> KeyedSink:
+        """A result table; ``mode`` is ``replace`` for the running counts of a stateful query."""
         s, p = self.spark, self.path("tables", name)
-        day = ["date"]  # day-partitioned: a micro-batch rewrites only the days it touches
-        if name == "ad_stat":
-            return KeyedSink(s, p, AD_STAT, ["date", "province", "city", "adid"], "replace",
-                             partition_cols=day)
+        day = ["date"]  # a lookup reads the days of its batch only; closed days are compacted
+        tables = {
+            "ad_stat": (AD_STAT, ["date", "province", "city", "adid"], "add"),
+            "ad_province_count": (AD_PROVINCE_TOP3, ["date", "province", "adid"], "add"),
+            "ad_click_trend": (AD_CLICK_TREND, ["date", "hour", "minute", "adid"], "add"),
+            "ad_user_click_count": (AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add"),
+        }
+        if name in tables:
+            schema, keys, usual = tables[name]
+            return KeyedSink(s, p, schema, keys, mode or usual, partition_cols=day)
         if name == "ad_province_top3":
             return KeyedSink(s, p, AD_PROVINCE_TOP3, ["date", "province", "adid"], "replace_group",
                              group_keys=["date", "province"], partition_cols=day)
-        if name == "ad_click_trend":
-            return KeyedSink(s, p, AD_CLICK_TREND, ["date", "hour", "minute", "adid"], "replace",
-                             partition_cols=day)
-        if name == "ad_user_click_count":
-            return KeyedSink(s, p, AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
-                             partition_cols=day)
         if name == "ad_blacklist":
             return KeyedSink(s, p, AD_BLACKLIST, ["userid"], "insert_absent")
         raise KeyError(name)
 
+    def seed_blacklist(self, users: DataFrame) -> None:
+        """Start from a list: version -1, before any batch's. Does nothing once a list is kept."""
+        self.sink("ad_blacklist").apply(users, -1)
+
 
 def _start(df_writer, name: str, store: AdStreamStore, trigger: dict | None,
            state_partitions: int | None = None) -> StreamingQuery:
@@ -95,27 +103,39 @@ def _start(df_writer, name: str, store: AdStreamStore, trigger: dict | None,
         return writer.start()
 
 
-def _committed(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+# ---------------------------------------------------------------- clean clicks
+def publish(store: AdStreamStore, batch_id: int, write) -> None:
+    """Exactly-once output of a batch as files of ``clean/batch_id=<id>``: ``write(path)`` fills a staging folder, whose committed
+    files are then moved. Whatever a crash leaves undone, the replay does: it writes only if the staging is
+    not committed, moves only files still there, and does nothing once the batch is marked as moved."""
+    files = Files(store.spark, store.root)
+    batch, mark = f"batch_id={batch_id}", ("_moved", f"{batch_id:020d}")
+    if files.exists(*mark):
+        return
+    if not files.exists("_staged", batch, "_SUCCESS"):
+        write(store.path("_staged", batch))
+    files.mkdirs("clean", batch)
+    for name in files.names("_staged", batch, folders=False):
+        if not name.startswith(("_", ".")):
+            files.move(("_staged", batch, name), ("clean", batch, name))
+    files.create("", *mark)
+    files.delete("_staged", batch)
+    for old in files.names("_moved")[:-2]:  # a replay is of the last batch
+        files.delete("_moved", old)
 
 
-# ---------------------------------------------------------------- clean clicks
 def start_clean_clicks(lines: DataFrame, store: AdStreamStore,
                        trigger: dict | None = None) -> StreamingQuery:
-    spark = store.spark
     blacklist = store.sink("ad_blacklist")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        out = store.path("clean", f"batch_id={batch_id}")
-        if _committed(spark, out):
-            return
         batch.persist()
         try:
-            quarantine(batch).write.mode("overwrite").text(store.path("quarantine", f"batch_id={batch_id}"))
-            clean = ads.drop_blacklisted(parse_ad_log(batch), blacklist.snapshot())
-            clean.write.mode("overwrite").parquet(out)
+            def write(path: str) -> None:
+                quarantine(batch).write.mode("overwrite").text(store.path("quarantine", f"batch_id={batch_id}"))
+                ads.drop_blacklisted(parse_ad_log(batch), blacklist.snapshot()).write.mode("overwrite").parquet(path)
+
+            publish(store, batch_id, write)
         finally:
             batch.unpersist()
 
@@ -129,9 +149,7 @@ def clean_clicks(store: AdStreamStore, max_files_per_trigger: int | None = None)
     ``batch_id=<id>`` sub-folders are discovered as a partition column.
     """
     spark = store.spark
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(store.clean_path)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(path)
+    Files(spark, store.clean_path).mkdirs()
     schema = T.StructType(list(AD_CLICK.fields) + [T.StructField("batch_id", T.LongType())])
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -157,27 +175,52 @@ def running_ad_stat(clicks: DataFrame, watermark: str | None = DEFAULT_WATERMARK
             .agg(F.count(F.lit(1)).alias("click_count")))
 
 
+def _each_batch(make):
+    """A foreachBatch function that hands ``make(rows, batch_id)`` batches that are not empty."""
+    def per_batch(rows: DataFrame, batch_id: int) -> None:
+        rows.persist()
+        try:
+            if not rows.isEmpty():  # e.g. a watermark advance only
+                make(rows, batch_id)
+        finally:
+            rows.unpersist()
+    return per_batch
+
+
 def start_ad_stat(clicks: DataFrame, store: AdStreamStore, watermark: str | None = DEFAULT_WATERMARK,
                   trigger: dict | None = None, top_k: int = 3,
                   state_partitions: int | None = None) -> StreamingQuery:
-    stat_sink, top_sink = store.sink("ad_stat"), store.sink("ad_province_top3")
-
-    def per_batch(updated: DataFrame, batch_id: int) -> None:
-        rows = updated.select(*AD_STAT.fieldNames()).persist()
+    top_sink, province_sink = store.sink("ad_province_top3"), store.sink("ad_province_count")
+    group = ["date", "province"]
+    if watermark:
+        stat_sink = store.sink("ad_stat", "replace")
+
+        def rerank(rows: DataFrame, batch_id: int) -> None:
+            stat_sink.apply(rows, batch_id)
+            current = stat_sink.lookup(rows.select(*group).distinct(), stat_sink.parts_of(batch_id))
+            top_sink.apply(ads.province_top3(ads.province_count(current), top_k), batch_id)
+
+        updates = running_ad_stat(clicks, watermark).select(*AD_STAT.fieldNames())
+        return _start(updates.writeStream.outputMode("update").foreachBatch(_each_batch(rerank)), "stat", store, trigger, state_partitions)
+    stat_sink = store.sink("ad_stat")
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        counts = ads.ad_stat(batch)
+        stat_sink.apply(counts, batch_id)
+        # small next to the batch: one row per (date, province, ad) it holds
+        provinces = ads.province_count(counts).persist()
         try:
-            if rows.isEmpty():  # no-data batch (watermark advance only): nothing to merge
-                return
-            days = stat_sink.touched_partitions(rows)  # one small job: the days of this batch
-            stat_sink.apply(rows, batch_id, days)
-            groups = rows.select("date", "province").distinct()
-            current = stat_sink.read_partitions_of(rows, batch_id, days) \
-                .join(groups, ["date", "province"], "left_semi")
-            top_sink.apply(ads.province_top3(ads.province_count(current), top_k), batch_id, days)
+            province_sink.apply(provinces, batch_id)
+            days = province_sink.parts_of(batch_id)
+            touched = province_sink.lookup(provinces.select(*group, "adid"), days)
+            leaders = top_sink.lookup(provinces.select(*group).distinct(), days)
+            others = leaders.join(provinces.select(*group, "adid").withColumnsRenamed({c: f"_{c}" for c in [*group, "adid"]}),
+                                  reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*group, "adid"]]), "left_anti")
+            top_sink.apply(ads.province_top3(touched.unionByName(others), top_k), batch_id)
         finally:
-            rows.unpersist()
+            provinces.unpersist()
 
-    query = running_ad_stat(clicks, watermark).writeStream.outputMode("update").foreachBatch(per_batch)
-    return _start(query, "stat", store, trigger, state_partitions)
+    return _start(clicks.writeStream.foreachBatch(_each_batch(add)), "stat", store, trigger)
 
 
 # ---------------------------------------------------------------- per-minute trend
@@ -190,18 +233,16 @@ def running_click_trend(clicks: DataFrame, watermark: str | None = DEFAULT_WATER
 
 def start_click_trend(clicks: DataFrame, store: AdStreamStore, watermark: str | None = DEFAULT_WATERMARK,
                       trigger: dict | None = None, state_partitions: int | None = None) -> StreamingQuery:
+    if watermark:
+        sink = store.sink("ad_click_trend", "replace")
+        updates = running_click_trend(clicks, watermark).select(*AD_CLICK_TREND.fieldNames())
+        return _start(updates.writeStream.outputMode("update").foreachBatch(_each_batch(sink.apply)), "trend", store, trigger, state_partitions)
     sink = store.sink("ad_click_trend")
 
-    def per_batch(updated: DataFrame, batch_id: int) -> None:
-        rows = updated.select(*AD_CLICK_TREND.fieldNames()).persist()
-        try:
-            if not rows.isEmpty():  # skip no-data batches (watermark advance only)
-                sink.apply(rows, batch_id)
-        finally:
-            rows.unpersist()
+    def add(batch: DataFrame, batch_id: int) -> None:
+        sink.apply(ads.click_trend(batch), batch_id)
 
-    query = running_click_trend(clicks, watermark).writeStream.outputMode("update").foreachBatch(per_batch)
-    return _start(query, "trend", store, trigger, state_partitions)
+    return _start(clicks.writeStream.foreachBatch(_each_batch(add)), "trend", store, trigger)
 
 
 # ---------------------------------------------------------------- blacklist maintenance
@@ -209,18 +250,16 @@ def start_blacklist(clicks: DataFrame, store: AdStreamStore, threshold: int = ad
                     trigger: dict | None = None) -> StreamingQuery:
     counts_sink, blacklist_sink = store.sink("ad_user_click_count"), store.sink("ad_blacklist")
 
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
+    def add(batch: DataFrame, batch_id: int) -> None:
         counts = ads.user_click_count(batch).persist()
         try:
-            if counts.isEmpty():
-                return
-            days = counts_sink.touched_partitions(counts)
-            counts_sink.apply(counts, batch_id, days)
-            keys = counts.select("date", "userid", "adid")
-            touched = counts_sink.read_partitions_of(counts, batch_id, days) \
-                .join(keys, ["date", "userid", "adid"], "left_semi")
-            blacklist_sink.apply(ads.blacklist_candidates(touched, threshold), batch_id)
+            counts_sink.apply(counts, batch_id)
+            touched = counts_sink.lookup(counts.select("date", "userid", "adid"), counts_sink.parts_of(batch_id))
+            users = ads.blacklist_candidates(touched, threshold).persist()
+            if not users.isEmpty():
+                blacklist_sink.apply(users, batch_id)
+            users.unpersist()
         finally:
             counts.unpersist()
 
-    return _start(clicks.writeStream.foreachBatch(per_batch), "blacklist", store, trigger)
+    return _start(clicks.writeStream.foreachBatch(_each_batch(add)), "blacklist", store, trigger)

@@ -131,15 +131,14 @@ def test_watermark_drops_events_beyond_delay(spark, root):
     assert got == {("20240106", 1), ("20240105", 1)}
 
 
-def test_partitioned_sink_rewrites_only_touched_days(spark, root):
+def test_partitioned_sink_writes_only_touched_days(spark, root):
     sink = KeyedSink(spark, os.path.join(root, "t"), AD_STAT, ["date", "province", "city", "adid"], "replace",
                      partition_cols=["date"])
     sink.apply(stat_rows(spark, [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 1)]), 0)
     b1 = stat_rows(spark, [("d2", "p", "c", 1, 4), ("d2", "p", "c", 2, 2)])
     sink.apply(b1, 1)
     sink.apply(b1, 1)  # replay
-    assert sorted(f for f in os.listdir(os.path.join(root, "t", "v=1")) if not f.startswith(".")) == \
-        ["_SUCCESS", "date=d2"]
+    assert [(s["seq"], sorted(s["parts"])) for s in sink.manifest()["segments"]] == [(0, ["date=d1", "date=d2"]), (1, ["date=d2"])]
     assert rows(sink.snapshot()) == [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 4), ("d2", "p", "c", 2, 2)]
     assert rows(sink.read_version(0)) == [("d1", "p", "c", 1, 5), ("d2", "p", "c", 1, 1)]
     add = KeyedSink(spark, os.path.join(root, "a"), AD_USER_CLICK_COUNT, ["date", "userid", "adid"], "add",
@@ -165,8 +164,10 @@ def test_compaction_and_retention_keep_results(spark, root):
         if b == 5:
             sink.apply(spark.createDataFrame(batch, AD_USER_CLICK_COUNT), b)  # replay
     assert {(r[0], r[1], r[2]): r[3] for r in sink.snapshot().collect()} == want
-    kept = sorted(int(d[2:]) for d in os.listdir(path) if d.startswith("v="))
-    assert kept[0] >= 3 and kept[-1] == 7  # versions before the last usable full one are gone
+    assert max(s["level"] for s in sink.manifest()["segments"]) > 0
+    named = {s["dir"] for n in sink._numbers() for s in sink._manifest(n)["segments"]}
+    there = {f"{q}/{t}" for q in os.listdir(os.path.join(path, "data")) for t in os.listdir(os.path.join(path, "data", q))}
+    assert there == named  # what no kept manifest names is deleted
 
 
 def test_continuous_job_all_queries(spark, root):
@@ -201,16 +202,171 @@ def test_partition_values_escaped_or_null(spark, root):
     assert {tuple(r) for r in sink.snapshot().collect()} == {("2024:01", 1, 1, 6), ("2024:01", 2, 1, 7), (None, 1, 1, 2)}
 
 
-def test_compaction_by_versions_and_readers_keep_files(spark, root):
-    path = os.path.join(root, "t")
-    sink = KeyedSink(spark, path, AD_STAT, ["date", "province", "city", "adid"], "replace",
-                     partition_cols=["date"], compact_every=4)
-    for b in range(1, 13, 2):  # odd ids only: the empty batches between were skipped
-        sink.apply(stat_rows(spark, [("d1", "p", "c", 1, b)]), b)
-    assert sum(sink._is_full(v) for v in sink.versions()) >= 2
-    plain = KeyedSink(spark, os.path.join(root, "p"), AD_STAT, ["date", "province", "city", "adid"], "replace")
+def test_readers_keep_files(spark, root):
+    plain = KeyedSink(spark, os.path.join(root, "p"), AD_STAT, ["date", "province", "city", "adid"], "replace", compact_every=2)
     plain.apply(stat_rows(spark, [("d", "p", "c", 1, 0)]), 0)
     before = plain.snapshot()
     for b in (1, 2, 3):
         plain.apply(stat_rows(spark, [("d", "p", "c", 1, b)]), b)
     assert rows(before) == [("d", "p", "c", 1, 0)]
+    assert rows(plain.snapshot()) == [("d", "p", "c", 1, 3)]
+
+
+COUNTS = ["date", "userid", "adid"]
+
+
+def counts_sink(spark, root, **options):
+    return KeyedSink(spark, os.path.join(root, "n"), AD_USER_CLICK_COUNT, COUNTS, "add", partition_cols=["date"], **options)
+
+
+def test_cost_of_a_batch_follows_the_batch(spark, root):
+    """A one-row batch writes one row beside a day of many thousand."""
+    sink = counts_sink(spark, root)
+    big = spark.range(200_000).selectExpr("'20240101' AS date", "id AS userid", "id % 7 AS adid", "1L AS click_count")
+    sink.apply(big, 0)
+    sink.apply(spark.createDataFrame([("20240101", 5, 5, 2)], AD_USER_CLICK_COUNT), 1)
+    old, new = sink.manifest()["segments"]
+    assert new["bytes"] < old["bytes"] / 50
+    assert rows(sink.lookup(spark.createDataFrame([("20240101", 5, 5), ("20240101", 6, 6)], "date string, userid long, adid long"),
+                            sink.parts_of(1))) == [("20240101", 5, 5, 3), ("20240101", 6, 6, 1)]
+
+
+def test_crash_before_the_manifest_is_no_batch(spark, root, monkeypatch):
+    sink = counts_sink(spark, root)
+    one = spark.createDataFrame([("d1", 1, 1, 1)], AD_USER_CLICK_COUNT)
+    sink.apply(one, 0)
+    monkeypatch.setattr(KeyedSink, "_commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    with pytest.raises(OSError):
+        sink.apply(one, 1)
+    monkeypatch.undo()
+    again = counts_sink(spark, root)  # a new process
+    assert rows(again.snapshot()) == [("d1", 1, 1, 1)] and again.versions() == [0]
+    again.apply(one, 1)
+    assert rows(again.snapshot()) == [("d1", 1, 1, 2)]
+
+
+def test_a_manifest_is_never_replaced(spark, root):
+    sink = counts_sink(spark, root)
+    sink.apply(spark.createDataFrame([("d1", 1, 1, 1)], AD_USER_CLICK_COUNT), 0)
+    with pytest.raises(Exception):
+        sink.files.create("{}", "_log", f"{0:020d}.json")
+    assert sink.manifest()["batch"] == 0
+
+
+@pytest.mark.parametrize("mode,background", [("replace", False), ("add", False), ("add", True), ("replace_group", False), ("insert_absent", False)])
+def test_log_equals_a_plain_table(spark, root, mode, background):
+    """Random batches with null keys, each mode, compaction at every other batch, against a plain dictionary."""
+    import random
+    r = random.Random(f"{mode}")
+    sink = KeyedSink(spark, os.path.join(root, "t"), AD_USER_CLICK_COUNT, COUNTS, mode, group_keys=["date", "userid"],
+                     partition_cols=["date"], compact_every=2, background=background)
+    want = {}
+    for b in range(7):
+        day = b // 3
+        batch = {(r.choice([f"d{day}", f"d{max(0, day - 1)}", None]), r.choice([1, 2, None]), r.randint(0, 3)): r.randint(1, 9) for _ in range(5)}
+        if mode == "replace_group":
+            groups = {k[:2] for k in batch}
+            want = {k: v for k, v in want.items() if k[:2] not in groups}
+        for k, v in batch.items():
+            if mode == "add":
+                want[k] = want.get(k, 0) + v
+            elif mode != "insert_absent" or k not in want:
+                want[k] = v
+        sink.apply(spark.createDataFrame([(*k, v) for k, v in batch.items()], AD_USER_CLICK_COUNT), b)
+        got = {tuple(x)[:3]: x[3] for x in sink.snapshot().collect()}
+        assert got == want
+        some = r.choice(sorted(want, key=str))
+        key = spark.createDataFrame([some], "date string, userid long, adid long")
+        assert [x[3] for x in sink.lookup(key).collect()] == [want[some]]
+    sink.wait()
+    assert {tuple(x)[:3]: x[3] for x in sink.snapshot().collect()} == want
+    assert len(sink.manifest()["segments"]) <= 6
+
+
+def test_closed_days_become_one_segment(spark, root):
+    sink = counts_sink(spark, root, compact_every=3)
+    for b in range(12):
+        sink.apply(spark.createDataFrame([(f"d{b // 4}", 1, 1, 1)], AD_USER_CLICK_COUNT), b)
+    times = [sum(p in s["parts"] for s in sink.manifest()["segments"]) for p in ("date=d0", "date=d1")]
+    assert times == [1, 1]
+    assert rows(sink.snapshot()) == [("d0", 1, 1, 4), ("d1", 1, 1, 4), ("d2", 1, 1, 4)]
+
+
+def test_half_published_batch_and_its_replay(spark, root, monkeypatch):
+    """A crash between two moved files: the replay moves the rest and writes nothing anew."""
+    from shoplens.sinks.files import Files
+    store = AdStreamStore(spark, root)
+    written = []
+
+    def write(path):
+        written.append(path)
+        spark.range(100).repartition(4).write.mode("overwrite").parquet(path)
+
+    move, moved = Files.move, []
+
+    def twice(self, source, target):
+        if source[0] == "_staged" and len(moved) == 2:
+            raise OSError("lost")
+        moved.append(target)
+        move(self, source, target)
+
+    monkeypatch.setattr(Files, "move", twice)
+    with pytest.raises(OSError):
+        sads.publish(store, 0, write)
+    monkeypatch.undo()
+    assert 0 < spark.read.parquet(store.clean_path).count() < 100
+    sads.publish(store, 0, write)
+    sads.publish(store, 0, write)
+    assert len(written) == 1
+    assert sorted(r.id for r in spark.read.parquet(store.clean_path).collect()) == list(range(100))
+    sads.publish(store, 1, write)
+    assert spark.read.parquet(store.clean_path).count() == 200
+
+
+def test_stream_starts_from_a_list(spark, root):
+    store = AdStreamStore(spark, root)
+    store.seed_blacklist(spark.createDataFrame([(8,)], "userid long"))
+    store.seed_blacklist(spark.createDataFrame([(9,)], "userid long"))  # a restart: the list is kept as it is
+    feed = os.path.join(root, "feed")
+    _write_lines(feed, "a.txt", [_line(DAY0 + i, 7, 1) for i in range(11)] + [_line(DAY0, 8, 1), _line(DAY0, 9, 1)])
+    sads.start_clean_clicks(read_ad_log_stream(spark, feed), store, NOW).awaitTermination()
+    assert sorted({r.userid for r in spark.read.parquet(store.clean_path).collect()}) == [7, 9]
+    sads.start_blacklist(sads.clean_clicks(store), store, trigger=NOW).awaitTermination()
+    assert rows(store.sink("ad_blacklist").snapshot()) == [(7,), (8,)]
+
+
+def test_top3_by_kept_leaders(spark, root):
+    """Leaders from the old ones and the touched ads equal those of all counts, batch by batch, without a state store."""
+    import random
+    r = random.Random(3)
+    store = AdStreamStore(spark, root)
+    feed, seen = os.path.join(root, "feed"), []
+    from shoplens.sources.adlog import parse_ad_log
+    for step in range(4):
+        lines = [_line(DAY0 + r.randint(0, 1) * DAY_MS, 1, r.randint(0, 6), prov=r.choice("pq"), city=r.choice("ab")) for _ in range(40)]
+        seen += lines
+        _write_lines(feed, f"{step}.txt", lines)
+        sads.start_clean_clicks(read_ad_log_stream(spark, feed), store, NOW).awaitTermination()
+        q = sads.start_ad_stat(sads.clean_clicks(store), store, trigger=NOW)
+        q.awaitTermination()
+        assert not any(p["stateOperators"] for p in q.recentProgress)
+        batch = parse_ad_log(spark.createDataFrame([(v,) for v in seen], "value string"))
+        assert rows(store.sink("ad_stat").snapshot()) == rows(ads.ad_stat(batch))
+        assert rows(store.sink("ad_province_top3").snapshot()) == rows(ads.province_top3(ads.province_count(ads.ad_stat(batch))))
+
+
+def test_sliding_sums_of_any_width(spark):
+    """Windows of several widths and slides, over days with gaps, against Spark's own windows."""
+    from pyspark.sql import functions as F
+    import random
+    r = random.Random(4)
+    times = [r.choice([0, 1400, 2880, 4300]) + r.randint(0, 200) for _ in range(150)]
+    clicks = spark.createDataFrame([(t * 60 + r.randint(0, 59), r.randint(0, 2)) for t in times], "s long, adid long").select(
+        F.timestamp_add("SECOND", F.col("s"), F.lit("2023-12-31 00:00:00").cast("timestamp_ntz")).alias("ts"), "adid")
+    for width, slide in ((60, 1), (60, 5), (7, 3), (3000, 60), (5, 10)):
+        plain = (clicks.groupBy(F.window("ts", f"{width} minutes", f"{slide} minutes").alias("w"), "adid")
+                 .agg(F.count(F.lit(1)).alias("n")).select(F.col("w.end").alias("window_end"), "adid", "n")) if slide <= width else None
+        got = ads.sliding_hour(clicks, width, slide)
+        if plain is not None:
+            assert rows(got) == rows(plain)
+    assert rows(ads.sliding_hour(clicks.limit(0))) == []
