@@ -1,16 +1,8 @@
 """Page-to-page conversion along a target page flow.
 
-Consecutive page pairs per session are computed in two levels so that no task has to hold a
-whole session, however large one grows:
-
-1. rows are partitioned by (session, time bucket) and ``lead`` runs inside each bucket;
-2. the first and last row of every (session, bucket) -- two rows per bucket -- are ranked per
-   session by bucket, and the last row of a bucket is paired with the first row of the next
-   non-empty bucket.
-
-Both levels together give exactly the pairs of one ordered pass over the session. Rows are
-ordered by (action_time, page_id); rows tied on both are interchangeable, so the page sequence
-is unique.
+Consecutive page pairs per session come from ``shoplens.operators.ordered``: sessions are shuffled whole, but a hot
+one in pieces of its time order, so no task has to hold a session, or an hour of one, however large it grows.
+Rows are ordered by (action_time, page_id); rows tied on both are interchangeable, so the page sequence is unique.
 """
 
 from __future__ import annotations
@@ -21,61 +13,28 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import half_up_ratio
-
-DEFAULT_BUCKET_SECONDS = 3600
-
-
-def _ranked(df: DataFrame, key: str, time_col: str, value: str, bucket_seconds: int) -> DataFrame:
-    """Level 1: ``lead`` and row number inside each (key, time bucket)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    bucket = F.floor(F.timestamp_diff("SECOND", epoch, F.col(time_col)) / bucket_seconds)
-    rows = df.select(key, time_col, value, bucket.alias("_b"))
-    w = Window.partitionBy(key, "_b").orderBy(time_col, value)
-    return rows.select(key, "_b", time_col, value, F.lead(value).over(w).alias("_next"),
-                       F.row_number().over(w).alias("_rn"))
-
-
-def _pairs(ranked: DataFrame, key: str, value: str) -> DataFrame:
-    inner = ranked.where(F.col("_next").isNotNull()) \
-        .select(key, value, F.col("_next").alias(f"next_{value}"))
-    return inner.unionByName(_cross_pairs(ranked, key, value))
-
-
-def _cross_pairs(ranked: DataFrame, key: str, value: str) -> DataFrame:
-    # Level 2 -- bucket edges: kind 0 = first row of a bucket, kind 1 = last row (a one-row
-    # bucket is both); the last row of a bucket pairs with the first row of the next one.
-    edges = ranked.where((F.col("_rn") == 1) | F.col("_next").isNull()).select(
-        key, "_b", value,
-        F.explode(F.array_distinct(F.array(
-            F.when(F.col("_rn") == 1, F.lit(0)),
-            F.when(F.col("_next").isNull(), F.lit(1))))).alias("_kind"))
-    edges = edges.where(F.col("_kind").isNotNull())
-    we = Window.partitionBy(key).orderBy("_b", "_kind")
-    cross = (edges.select(key, value, "_kind", F.lead(value).over(we).alias("_next"))
-             .where((F.col("_kind") == 1) & F.col("_next").isNotNull())
-             .select(key, value, F.col("_next").alias(f"next_{value}")))
-    return cross
+from shoplens.operators.ordered import followers
 
 
-def consecutive_pairs(df: DataFrame, key: str, time_col: str, value: str,
-                      bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def consecutive_pairs(df: DataFrame, key: str, time_col: str, value: str, tasks: int | None = None) -> DataFrame:
     """(key, value, next_value) for every pair of consecutive rows of a key ordered by
     (time_col, value)."""
-    return _pairs(_ranked(df, key, time_col, value, bucket_seconds), key, value)
+    rows, across = followers(df.select(key, time_col, value), key, [time_col, value], value, tasks)
+    return rows.where("_followed").select(key, value, F.col("_next").alias(f"next_{value}")).unionByName(across)
 
 
-def flow_counts(actions: DataFrame, flow: Sequence[int],
-                bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> tuple[DataFrame, DataFrame]:
-    """(pair counts, start-page count) from one scan: the start-page rows are counted from the
-    same level-1 rows the pairs come from, so both share one shuffle of the actions."""
-    ranked = _ranked(actions, "session_id", "action_time", "page_id", bucket_seconds)
+def flow_counts(actions: DataFrame, flow: Sequence[int]) -> tuple[DataFrame, DataFrame]:
+    """(pair counts, start-page count) from one pass: the start-page rows are counted from the
+    same rows the pairs come from, so both share one shuffle of the actions."""
+    rows, across = followers(actions.select("session_id", "action_time", "page_id"), "session_id",
+                             ["action_time", "page_id"], "page_id")
     start = int(flow[0])
     wanted = [p for _, p in target_pairs(flow)] + ["start"]
-    # every level-1 row yields its in-bucket pair and, on the start page, a 'start' label
-    row_labels = ranked.select(F.explode(F.array(
-        F.when(F.col("_next").isNotNull(), page_pair_key("page_id", "_next")),
+    # every row yields its pair and, on the start page, a 'start' label
+    row_labels = rows.select(F.explode(F.array(
+        F.when(F.col("_followed"), page_pair_key("page_id", "_next")),
         F.when(F.col("page_id") == start, F.lit("start")))).alias("label"))
-    cross_labels = _cross_pairs(ranked, "session_id", "page_id").select(page_pair_key().alias("label"))
+    cross_labels = across.select(page_pair_key().alias("label"))
     labels = row_labels.unionByName(cross_labels).where(F.col("label").isin(wanted))
     counts = labels.groupBy("label").agg(F.count(F.lit(1)).alias("cnt"))
     pairs = counts.where(F.col("label") != "start").select(F.col("label").alias("page_pair"), "cnt")
@@ -84,9 +43,9 @@ def flow_counts(actions: DataFrame, flow: Sequence[int],
     return pairs, start_count
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+def page_pairs(actions: DataFrame, tasks: int | None = None) -> DataFrame:
     """(session_id, page_id, next_page_id)."""
-    return consecutive_pairs(actions, "session_id", "action_time", "page_id", bucket_seconds)
+    return consecutive_pairs(actions, "session_id", "action_time", "page_id", tasks)
 
 
 def target_pairs(flow: Sequence[int]) -> list[tuple[int, str]]:

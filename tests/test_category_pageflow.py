@@ -3,11 +3,12 @@
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shoplens.operators import category, pageflow
+from shoplens.operators import category, ordered, pageflow
 
 FA_SCHEMA = ("session_id string, action_time timestamp_ntz, page_id bigint, click_category_id bigint, "
              "order_category_ids string, pay_category_ids string")
@@ -61,7 +62,9 @@ def _brute_pairs(df):
             .where(F.col("next_page_id").isNotNull()).select("session_id", "page_id", "next_page_id"))
 
 
-def test_two_level_pairs_equal_one_pass(spark):
+@pytest.mark.parametrize("tasks", [1, 4, 64])
+def test_ranged_pairs_equal_one_pass(spark, monkeypatch, tasks):
+    monkeypatch.setattr(ordered, "SAMPLED", 2)  # nearly every session counts as hot
     rnd = random.Random(7)
     seq = []
     for s in range(20):
@@ -71,8 +74,7 @@ def test_two_level_pairs_equal_one_pass(spark):
             seq.append((f"s{s}", t, rnd.randint(0, 5)))
     df = _actions(spark, seq)
     want = rows(_brute_pairs(df))
-    for bucket in (1, 60, 3600, 86400):
-        assert rows(pageflow.consecutive_pairs(df, "session_id", "action_time", "page_id", bucket)) == want
+    assert rows(pageflow.consecutive_pairs(df, "session_id", "action_time", "page_id", tasks)) == want
 
 
 def test_convert_rate_unseen_pair_and_zero_prev(spark):

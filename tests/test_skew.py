@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
-from shoplens.operators import ads, category, pageflow, sampling, sessions
+from shoplens.operators import ads, category, ordered, pageflow, sampling, sessions
 from shoplens.schema import USER_VISIT_ACTION
 
 T0 = dt.datetime(2024, 1, 1, 0, 0, 0)
@@ -34,24 +34,32 @@ def _actions(spark, n_hot=3000, n_cold=60, cold_len=100, seed=3):
     return spark.createDataFrame(data, USER_VISIT_ACTION)
 
 
-def test_hot_session_pairs_are_exact_and_split_by_bucket(spark):
-    acts = _actions(spark)
+def _pairs_in_one_pass(acts):
     w = Window.partitionBy("session_id").orderBy("action_time", "page_id")
-    brute = (acts.withColumn("next_page_id", F.lead("page_id").over(w))
-             .where(F.col("next_page_id").isNotNull()).select("session_id", "page_id", "next_page_id"))
-    pairs = pageflow.page_pairs(acts)
-    assert rows(pairs) == rows(brute)
-    # level one is partitioned by (session, hour bucket): the hot session lands in many tasks
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        assert "hashpartitioning(session_id" in _plan(pairs) and ", _b" in _plan(pairs)
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    bucket = F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
-                                      F.col("action_time")) / 3600)
-    spread = (acts.where("session_id = 'hot'").repartition(8, "session_id", bucket)
-              .select(F.spark_partition_id().alias("p")).distinct().count())
-    assert spread > 1
+    return (acts.withColumn("next_page_id", F.lead("page_id").over(w))
+            .where(F.col("next_page_id").isNotNull()).select("session_id", "page_id", "next_page_id"))
+
+
+def test_hot_session_pairs_are_exact_and_spread(spark):
+    """A third of all rows in one session: over 40 hours, within one hour, and all at one instant."""
+    wide = _actions(spark)
+    hot = F.col("session_id") == "hot"
+    hour = wide.withColumn("action_time", F.when(hot, F.timestamp_add("SECOND", F.pmod(F.hash("action_time"), F.lit(3600)),
+                                                                      F.lit(T0).cast("timestamp_ntz"))).otherwise(F.col("action_time")))
+    instant = wide.withColumns({"action_time": F.when(hot, F.lit(T0).cast("timestamp_ntz")).otherwise(F.col("action_time")),
+                                "page_id": F.when(hot, F.lit(3)).otherwise(F.col("page_id"))})
+    for acts in (wide, hour, instant):
+        assert rows(pageflow.page_pairs(acts, 16)) == rows(_pairs_in_one_pass(acts))
+        placed = ordered.in_pieces(acts.select("session_id", "action_time", "page_id"), "session_id", ["action_time", "page_id"], 16)
+        sizes = [r["count"] for r in placed.where(hot).groupBy("_piece").count().collect()]
+        assert len(sizes) >= 6 and max(sizes) < 9000 / 16 * 2.5
+        assert placed.where(~hot & F.col("_piece").isNotNull()).count() == 0
+
+
+def test_pairs_of_null_sessions_and_empty_tables(spark):
+    acts = _actions(spark).withColumn("session_id", F.nullif("session_id", F.lit("hot")))
+    assert rows(pageflow.page_pairs(acts, 16)) == rows(_pairs_in_one_pass(acts))
+    assert pageflow.page_pairs(acts.limit(0)).count() == 0
 
 
 def test_hot_session_summary_uses_partial_aggregation(spark):
