@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions.scalar import ids_array
-from shoplens.operators.sessions import (enrich, filter_sessions, has_session_constraints,
+from shoplens.operators.sessions import (enrich, filter_sessions, has_session_constraints, one_user_each,
                                          session_summary, user_predicate)
 from shoplens.operators.topk import top_k, top_k_per_group
 from shoplens.params import TaskParams
@@ -28,21 +28,21 @@ def filtered_actions(actions: DataFrame, sessions: DataFrame) -> DataFrame:
 
 
 def actions_of_qualifying_sessions(actions: DataFrame, users: DataFrame, p: TaskParams,
-                                   filtered_sessions=None) -> DataFrame:
-    """C2 with the cheapest plan the constraints allow.
-
-    A session belongs to one user, so when every constraint is a user attribute (age,
-    profession, city, sex -- the usual case) a session qualifies exactly when its user does:
-    the actions are semi-joined to the qualifying users and neither a session aggregation nor a
-    second scan of the actions is needed. Keyword / category constraints depend on the whole
-    session and take the session path (``filtered_sessions``, built on demand).
+                                   filtered_sessions=None, one_user: bool | None = None) -> DataFrame:
+    """C2 with the cheapest plan that the data allow; the rule is one: a session qualifies by its own user (the
+    smallest id among its actions) and its own keywords and categories, and all its actions count.
+
+    When every constraint is a user attribute (age, profession, city, sex -- the usual case) and one aggregate proves
+    that no session has two users (``one_user`` if known), a session qualifies exactly when its user does:
+    the actions are semi-joined to the qualifying users and are not shuffled by session. Else the
+    session path is taken (``filtered_sessions``, built on demand).
     """
-    if not has_session_constraints(p):
+    if not has_session_constraints(p) and (one_user_each(actions) if one_user is None else one_user):
         cond = user_predicate(p)
         u = users if cond is None else users.where(cond)
         return actions.join(u.select("user_id"), "user_id", "left_semi")
     if filtered_sessions is None:
-        filtered_sessions = filter_sessions(enrich(session_summary(actions), users), p)
+        filtered_sessions = filter_sessions(enrich(session_summary(actions, p), users), p)
     return filtered_actions(actions, filtered_sessions)
 
 

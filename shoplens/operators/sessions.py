@@ -2,7 +2,7 @@
 and bucket ratios.
 
 Plan shape: one shuffle on ``session_id`` builds the summary with a partial + final aggregate
-(min/max/count and ``collect_set`` all combine map-side, so a session holding a huge share of the
+(min/max/count, flags and ``collect_set`` all combine map-side, so a session holding a huge share of the
 rows is reduced before the shuffle); the user join is a plain equi-join that AQE turns into a
 broadcast when the filtered user side is small and otherwise splits skewed partitions; the user
 predicates (age, sex, profession, city) are pushed below the join into the user scan. The
@@ -37,8 +37,18 @@ SUMMARY_COLUMNS = ["session_id", "user_id", "start_time", "visit_length", "step_
 USER_COLUMNS = ["age", "professional", "sex", "city"]
 
 
-def session_summary(actions: DataFrame) -> DataFrame:
-    """One row per session with arrays kept for filtering (``kw_list``, ``cat_list``)."""
+FLAGS = ["has_keyword", "has_category"]
+
+
+def session_summary(actions: DataFrame, p: TaskParams = TaskParams()) -> DataFrame:
+    """One row per session, and for constraints of ``p`` on keywords or clicked categories (B9) the flags ``has_keyword``,
+    ``has_category``: whether any of its actions meets them. The lists are for showing; where they are not shown they are not built."""
+    flags = []
+    if p.keywords:
+        flags.append(F.bool_or(F.col("search_keyword").isin(list(p.keywords))).alias("has_keyword"))
+    if p.category_ids:
+        wanted = F.col("click_category_id").isin([int(c) for c in p.category_ids])
+        flags.append(F.bool_or((F.col("click_category_id") != -1) & wanted).alias("has_category"))
     agg = actions.groupBy("session_id").agg(
         F.expr("min(user_id) AS user_id"),
         F.expr("min(action_time) AS start_time"),
@@ -46,6 +56,7 @@ def session_summary(actions: DataFrame) -> DataFrame:
         F.expr("count(1) AS step_length"),
         F.expr("array_sort(collect_set(CASE WHEN search_keyword <> '' THEN search_keyword END)) AS kw_list"),
         F.expr("array_sort(collect_set(CASE WHEN click_category_id <> -1 THEN click_category_id END)) AS cat_list"),
+        *flags,
     )
     return agg.selectExpr(
         "session_id", "user_id", "start_time",
@@ -53,18 +64,26 @@ def session_summary(actions: DataFrame) -> DataFrame:
         "step_length",
         "nullif(array_join(kw_list, ','), '') AS search_keywords",
         "nullif(array_join(cat_list, ','), '') AS click_category_ids",
-        "kw_list", "cat_list")
+        *[c for c in FLAGS if c in agg.columns])
 
 
 def public(df: DataFrame) -> DataFrame:
-    """Drop the internal array columns."""
-    return df.drop("kw_list", "cat_list")
+    """Drop the internal flags."""
+    return df.drop(*FLAGS)
+
+
+def one_user_each(actions: DataFrame) -> bool:
+    """Whether every action has a session and no session has actions of two users (or of a user and of none): one
+    aggregate over two columns."""
+    users = actions.groupBy("session_id").agg(F.min("user_id").alias("a"), F.max("user_id").alias("z"),
+                                              F.count("user_id").alias("n"), F.count(F.lit(1)).alias("all"))
+    return users.where(F.col("session_id").isNull() | (F.col("a") != F.col("z")) | (F.col("n") != F.col("all")) & (F.col("n") > 0)).isEmpty()
 
 
 def enrich(summary: DataFrame, users: DataFrame) -> DataFrame:
     """Attach age/profession/sex/city; sessions of unknown users drop (inner join)."""
     u = users.select("user_id", *USER_COLUMNS)
-    return summary.join(u, "user_id").select(*SUMMARY_COLUMNS, *USER_COLUMNS, "kw_list", "cat_list")
+    return summary.join(u, "user_id").select(*SUMMARY_COLUMNS, *USER_COLUMNS, *[c for c in FLAGS if c in summary.columns])
 
 
 def age_predicate(p: TaskParams) -> Column | None:
@@ -90,14 +109,8 @@ def sex_predicate(p: TaskParams) -> Column | None:
 
 
 def overlap_predicates(p: TaskParams) -> list[Column]:
-    """Any of the session's keywords / clicked categories is in the given list."""
-    out = []
-    if p.keywords:
-        out.append(F.arrays_overlap("kw_list", F.array(*[F.lit(k) for k in p.keywords])))
-    if p.category_ids:
-        out.append(F.arrays_overlap("cat_list", F.array(*[F.lit(int(c)).cast("bigint")
-                                                          for c in p.category_ids])))
-    return out
+    """Any of the session's keywords / clicked categories is in the given list (flags of a ``session_summary`` for ``p``)."""
+    return [F.col(flag) for flag, values in zip(FLAGS, (p.keywords, p.category_ids)) if values]
 
 
 def session_predicate(p: TaskParams) -> Column | None:

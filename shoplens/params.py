@@ -1,4 +1,4 @@
-"""Task parameters: the JSON object that constrains a session / page / area task.
+"""Task parameters: the object that constrains a session / page / area task.
 
 A blank string and a missing key both mean "no constraint" (lists) or "use the default" (dates).
 Values are bound into plans as column literals, never concatenated into SQL text.
@@ -6,9 +6,10 @@ Values are bound into plans as column literals, never concatenated into SQL text
 
 from __future__ import annotations
 
-import json
 from dataclasses import dataclass, field, replace
 
+from shoplens.task_text import read_object
+
 
 def _blank(value) -> bool:
     return value is None or (isinstance(value, str) and value.strip() == "")
@@ -46,8 +47,8 @@ class TaskParams:
 
     @classmethod
     def from_json(cls, text: str) -> "TaskParams":
-        raw = json.loads(text)
-        return cls.from_dict(raw)
+        """From a JSON object, or one with bare names as in property files (``shoplens.task_text``)."""
+        return cls.from_dict(read_object(text))
 
     @classmethod
     def from_dict(cls, raw: dict) -> "TaskParams":

@@ -20,6 +20,7 @@ from shoplens.schema import AD_BLACKLIST
 from shoplens.sources.actions import scan_actions, scan_clicks
 from shoplens.sources import testdata
 from shoplens.sources.adlog import parse_ad_log, read_ad_log_stream
+from shoplens.sources.tables import read_actions, save_actions
 from shoplens.streaming import ads as stream_ads
 from shoplens.streaming.ads import AdStreamStore
 from shoplens.streaming.feed import write_feed
@@ -91,16 +92,16 @@ def q_area_top3_sql(spark, sf_dir):
 SESSION_PARAMS = DEFAULT_SESSION_PARAMS
 
 
-def _summary(t: Tables) -> DataFrame:
-    return sessions.session_summary(scan_actions(t.actions, SESSION_PARAMS))
+def _summary(t: Tables, p: TaskParams = SESSION_PARAMS) -> DataFrame:
+    return sessions.session_summary(scan_actions(t.actions, p), p)
 
 
-def _enriched(t: Tables) -> DataFrame:
-    return sessions.enrich(_summary(t), t.users)
+def _enriched(t: Tables, p: TaskParams = SESSION_PARAMS) -> DataFrame:
+    return sessions.enrich(_summary(t, p), t.users)
 
 
 def _filtered(t: Tables, p: TaskParams = SESSION_PARAMS) -> DataFrame:
-    return sessions.filter_sessions(_enriched(t), p)
+    return sessions.filter_sessions(_enriched(t, p), p)
 
 
 @query("session_summary")
@@ -108,6 +109,18 @@ def q_session_summary(spark, sf_dir):
     return sessions.public(_summary(Tables(spark, sf_dir)))
 
 
+SESSION_BUCKETS = 16
+
+
+@query("session_summary_table")
+def q_session_summary_table(spark, sf_dir):
+    """From a table kept by date and session bucket: its aggregate by session shuffles nothing."""
+    path = shared_dir(spark, "user_visit_action")
+    name = f"user_visit_action_{path.rsplit('/', 1)[1]}"
+    save_actions(Tables(spark, sf_dir).actions, name, SESSION_BUCKETS, path)
+    return sessions.public(sessions.session_summary(scan_actions(read_actions(spark, name), SESSION_PARAMS)))
+
+
 @query("session_enriched")
 def q_session_enriched(spark, sf_dir):
     return sessions.public(_enriched(Tables(spark, sf_dir)))
@@ -180,7 +193,7 @@ def q_session_extract(spark, sf_dir):
 @query("session_extract_detail")
 def q_session_extract_detail(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return sampling.extract_detail(scan_actions(t.actions, SESSION_PARAMS), _extracted(t))
+    return sampling.extract_detail(scan_actions(t.actions, SESSION_PARAMS), _extracted(t), SAMPLE_TOTAL)
 
 
 # ---------------------------------------------------------------- categories

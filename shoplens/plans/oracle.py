@@ -145,6 +145,7 @@ _SUMMARY_COLS = ("session_id, user_id, start_time, visit_length, step_length, se
 _ENRICHED_COLS = _SUMMARY_COLS + ", age, professional, sex, city"
 
 oracle("session_summary", _SESSION_CTES, f"SELECT {_SUMMARY_COLS} FROM summary")
+oracle("session_summary_table", _SESSION_CTES, f"SELECT {_SUMMARY_COLS} FROM summary")
 oracle("session_enriched", _SESSION_CTES, f"SELECT {_ENRICHED_COLS} FROM enriched")
 oracle("session_filter_age", _SESSION_CTES,
        "SELECT session_id, user_id FROM enriched WHERE age BETWEEN 20 AND 50")

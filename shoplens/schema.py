@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 L, S, I, D = T.LongType(), T.StringType(), T.IntegerType(), T.DoubleType()
@@ -38,16 +37,3 @@ AD_USER_CLICK_COUNT = struct(("date", S), ("userid", L), ("adid", L), ("click_co
 AD_PROVINCE_TOP3 = struct(("date", S), ("province", S), ("adid", L), ("click_count", L))
 AD_CLICK_TREND = struct(("date", S), ("hour", S), ("minute", S), ("adid", L), ("click_count", L))
 AD_BLACKLIST = struct(("userid", L))
-
-
-def check_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Validate that ``df`` carries every column of ``schema`` with a compatible type."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    missing = [f.name for f in schema.fields if f.name not in have]
-    if missing:
-        raise ValueError(f"missing columns {missing}; have {sorted(have)}")
-    wrong = [f.name for f in schema.fields if have[f.name] != f.dataType]
-    if wrong:
-        raise TypeError("column types differ for " + ", ".join(
-            f"{n}: {have[n].simpleString()} != {schema[n].dataType.simpleString()}" for n in wrong))
-    return df.select(*schema.fieldNames())

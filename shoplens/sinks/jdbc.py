@@ -24,8 +24,14 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: dict | None = N
      .options(**props).save())
 
 
-def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
+def save_table(df: DataFrame, name: str, partition_by: list[str] | None = None,
+               bucket_by: tuple[int, list[str]] | None = None, path: str | None = None) -> None:
+    """Replace table ``name`` (external if ``path`` is given)."""
+    writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if bucket_by:
+        writer = writer.bucketBy(bucket_by[0], *bucket_by[1]).sortBy(*bucket_by[1])
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)

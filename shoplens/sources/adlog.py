@@ -8,6 +8,8 @@ production, files in tests).
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,9 +37,11 @@ def _fields(lines: DataFrame) -> DataFrame:
     return f.withColumn("ok", F.coalesce(ok, F.lit(False)))
 
 
-def parse_ad_log(lines: DataFrame) -> DataFrame:
-    """Well-formed lines as (ts, date, province, city, userid, adid)."""
+def parse_ad_log(lines: DataFrame, zone: str = "UTC") -> DataFrame:
+    """Well-formed lines as (ts, date, province, city, userid, adid); ``ts``, and with it every day, hour and minute key, is the
+    wall clock of ``zone``."""
     ts = millis_to_ntz(F.col("ms"))
+    ts = ts if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), ts)
     return _fields(lines).where("ok").select(ts.alias("ts"), format_date_key(ts).alias("date"),
                                             "province", "city", "userid", "adid")
 
@@ -49,12 +53,37 @@ def quarantine(lines: DataFrame) -> DataFrame:
 
 def read_ad_log_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
                        fmt: str = "text") -> DataFrame:
-    """File-based stand-in for the Kafka topic: one log line per text line (or a parquet
-    ``value`` column). For Kafka: ``spark.readStream.format("kafka")...selectExpr("CAST(value AS
-    STRING) AS value")`` yields the same shape."""
+    """A stored log: one line per text line (or a parquet ``value`` column)."""
     reader = spark.readStream.format(fmt)
     if fmt != "text":
         reader = reader.schema(AD_LOG_RAW)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.load(path).select(F.col("value").cast("string").alias("value"))
+
+
+def kafka_options(brokers: str, topics: str, starting: str | dict = "latest", max_per_trigger: int | None = None,
+                  group: str | None = None, **more: str) -> dict[str, str]:
+    """Options of the Kafka source. ``starting`` holds for a first start only -- later the checkpoint's offsets do -- and is
+    ``latest``, ``earliest`` or offsets ``{topic: {partition: offset}}`` (-2 earliest, -1 latest)."""
+    if not brokers.strip() or not topics.strip():
+        raise ValueError("brokers and topics are needed")
+    if isinstance(starting, dict):
+        unknown = set(starting) - {t.strip() for t in topics.split(",")}
+        if unknown:
+            raise ValueError(f"offsets for topics that are not read: {sorted(unknown)}")
+        starting = json.dumps({t: {str(p): int(o) for p, o in of.items()} for t, of in starting.items()})
+    elif starting not in ("latest", "earliest"):
+        raise ValueError("starting is latest, earliest or a dictionary of offsets")
+    out = {"kafka.bootstrap.servers": brokers, "subscribe": topics, "startingOffsets": starting, "failOnDataLoss": "true", **more}
+    if max_per_trigger:
+        out["maxOffsetsPerTrigger"] = str(int(max_per_trigger))
+    if group:
+        out["groupIdPrefix"] = group
+    return out
+
+
+def read_ad_log_kafka(spark: SparkSession, brokers: str, topics: str, **options) -> DataFrame:
+    """The live log (``kafka_options``); needs Spark's Kafka connector on the class path."""
+    return (spark.readStream.format("kafka").options(**kafka_options(brokers, topics, **options)).load()
+            .select(F.col("value").cast("string").alias("value")))

@@ -125,7 +125,7 @@ def publish(store: AdStreamStore, batch_id: int, write) -> None:
 
 
 def start_clean_clicks(lines: DataFrame, store: AdStreamStore,
-                       trigger: dict | None = None) -> StreamingQuery:
+                       trigger: dict | None = None, zone: str = "UTC") -> StreamingQuery:
     blacklist = store.sink("ad_blacklist")
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -133,7 +133,7 @@ def start_clean_clicks(lines: DataFrame, store: AdStreamStore,
         try:
             def write(path: str) -> None:
                 quarantine(batch).write.mode("overwrite").text(store.path("quarantine", f"batch_id={batch_id}"))
-                ads.drop_blacklisted(parse_ad_log(batch), blacklist.snapshot()).write.mode("overwrite").parquet(path)
+                ads.drop_blacklisted(parse_ad_log(batch, zone), blacklist.snapshot()).write.mode("overwrite").parquet(path)
 
             publish(store, batch_id, write)
         finally:

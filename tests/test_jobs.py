@@ -9,6 +9,7 @@ from conftest import SF_SMALL, rows
 import __spark_entry__ as entry
 from shoplens.params import DEFAULT_SESSION_PARAMS, QUERY_PARAMS
 from shoplens.plans import jobs
+from shoplens.plans.catalog import SAMPLE_TOTAL
 from shoplens.plans.tables import Tables
 
 
@@ -19,8 +20,8 @@ def _tables(spark):
 
 def test_session_job_matches_keys(spark):
     out = tempfile.mkdtemp(prefix="shoplens-job-")
-    jobs.run_session_job(_tables(spark), DEFAULT_SESSION_PARAMS, out, "t1")
-    jobs.run_session_job(_tables(spark), DEFAULT_SESSION_PARAMS, out, "t1")  # rerun replaces
+    jobs.run_session_job(_tables(spark), DEFAULT_SESSION_PARAMS, out, "t1", SAMPLE_TOTAL)
+    jobs.run_session_job(_tables(spark), DEFAULT_SESSION_PARAMS, out, "t1", SAMPLE_TOTAL)  # rerun replaces
     q = entry.queries()
     pairs = {"session_stat_ratio": "session_stat_ratio", "session_extract": "session_extract",
              "top10_category": "top10_category", "top10_session": "top_sessions_per_category",

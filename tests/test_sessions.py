@@ -95,10 +95,10 @@ def _users(spark):
     ], USER_INFO)
 
 
-def _enriched(spark):
+def _enriched(spark, params):
     data = [action("a", 1, 0, kw="kw1", cat=3), action("b", 2, 0), action("c", 3, 0, kw="kw2"),
             action("d", 9, 0)]  # user 9 is unknown: dropped by the inner join
-    summary = sessions.session_summary(spark.createDataFrame(data, USER_VISIT_ACTION))
+    summary = sessions.session_summary(spark.createDataFrame(data, USER_VISIT_ACTION), params)
     return sessions.enrich(summary, _users(spark))
 
 
@@ -114,7 +114,7 @@ def _enriched(spark):
     (TaskParams(start_age=20, end_age=59, sex="male", keywords=("kw1",)), {"a"}),
 ])
 def test_filters(spark, params, want):
-    got = {r["session_id"] for r in sessions.filter_sessions(_enriched(spark), params).collect()}
+    got = {r["session_id"] for r in sessions.filter_sessions(_enriched(spark, params), params).collect()}
     assert got == want
 
 
@@ -165,3 +165,77 @@ def test_sampling_total_smaller_than_days_and_empty(spark):
     assert sampling.extract_sessions(summary, quota, total=2).count() == 0
     empty = sessions.session_summary(spark.createDataFrame([], USER_VISIT_ACTION))
     assert sampling.extract_quota(sampling.hour_counts(empty)).count() == 0
+
+
+def test_overlap_flags_need_no_lists(spark):
+    """A session with very many keywords is filtered by a flag: no list is built."""
+    many = spark.range(300_000).selectExpr(
+        "'2024-01-01' AS date", "1L AS user_id", "if(id % 3 = 0, 'small', 'huge') AS session_id", "id AS page_id",
+        "timestamp_ntz'2024-01-01 00:00:00' AS action_time", "if(id % 3 = 0, 'kw0', concat('kw', id)) AS search_keyword",
+        "id AS click_category_id")
+    p = TaskParams(keywords=("kw299999", "kw7"))
+    kept = sessions.filter_sessions(sessions.enrich(sessions.session_summary(many, p), _users(spark)), p).select("session_id")
+    assert [r[0] for r in kept.collect()] == ["huge"]
+    assert "collect_set" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filter_without_its_flags_is_refused(spark):
+    from pyspark.errors import AnalysisException
+    summary = sessions.session_summary(spark.createDataFrame([action("a", 1, 0)], USER_VISIT_ACTION))
+    with pytest.raises(AnalysisException):
+        sessions.filter_sessions(summary, TaskParams(keywords=("kw1",)))
+
+
+@pytest.mark.parametrize("total", [3, 2000, 200_000])
+def test_sample_equals_the_ranking(spark, monkeypatch, total):
+    """The cells give the sample of a ranking of whole hours, and no window holds an hour."""
+    from pyspark.sql import Window, functions as F
+    monkeypatch.setattr(sampling, "CELL", 20)
+    s = spark.range(4000).selectExpr("concat('s', id) AS session_id", "if(id % 3 = 0, NULL, 'k') AS search_keywords", "NULL AS click_category_ids",
+                                     "timestampadd(MINUTE, cast(if(id % 2 = 0, 5, id * 7) AS INT), timestamp_ntz'2024-01-01 00:00:00') AS start_time")
+    quota = sampling.extract_quota(sampling.hour_counts(s), total)
+    w = Window.partitionBy("date", "hour").orderBy(sampling.sample_hash(), "session_id")
+    ranked = sampling.with_date_hour(s).join(quota, ["date", "hour"]).withColumn("rn", F.row_number().over(w)).where("rn <= quota")
+    assert rows(sampling.extract_sessions(s, quota, total).select("session_id")) == rows(ranked.select("session_id"))
+    cells = sampling.in_cells(s, quota).groupBy("date", "hour", "_cell").count()
+    assert (cells.agg(F.max("count")).first()[0] or 0) < 60
+
+
+def test_one_session_rule(spark):
+    """A session with two users qualifies by its own user on either path."""
+    from shoplens.operators import category
+    data = [action("two", 1, 0, cat=1), action("two", 2, 1, cat=2), action("one", 2, 0, cat=3)]
+    acts, users = spark.createDataFrame(data, USER_VISIT_ACTION), _users(spark)
+    assert not sessions.one_user_each(acts) and sessions.one_user_each(acts.where("session_id = 'one'"))
+    assert not sessions.one_user_each(spark.createDataFrame([action("a", 1, 0), action("a", None, 1)], USER_VISIT_ACTION))
+    for p in (TaskParams(sex="male"), TaskParams(professionals=("professional2",))):
+        by_flag = TaskParams(**{**p.__dict__, "category_ids": (1, 2, 3)})  # met by every session: takes the session path
+        assert rows(category.actions_of_qualifying_sessions(acts, users, p)) == \
+            rows(category.actions_of_qualifying_sessions(acts, users, by_flag))
+
+
+TASK = """{startDate:"2020-03-01", \\
+  endDate:"2020-03-30", \\
+  startAge: 20, \\
+  endAge: 50, \\
+  professionals: "",  \\
+  cities: "", \\
+  sex:"", \\
+  keywords:"a, \\"b\\" }", \\
+  categoryIds:"", \\
+  targetPageFlow:"1,2,3,4,5,6,7"}"""
+
+
+def test_unquoted_task_object():
+    p = TaskParams.from_json(TASK)
+    assert (p.start_date, p.end_date, p.start_age, p.end_age) == ("2020-03-01", "2020-03-30", 20, 50)
+    assert p.keywords == ("a", '"b" }') and p.target_page_flow == tuple(range(1, 8)) and p.sex is None
+    assert TaskParams.from_json("{ 'sex' : male, startAge:07, cities: [city1, 'city 2',], flag: null, }").cities == ("city1", "city 2")
+    assert TaskParams.from_json("{}") == TaskParams()
+
+
+@pytest.mark.parametrize("text,place", [('{startAge: 20', "line 1, column 14"), ('{startAge 20}', "line 1, column 11"), ('{\n sex: "male}', "line 2, column 7"),
+                                        ('{a: 1} x', "line 1, column 8"), ('{a: 1, a: 2}', "line 1, column 8"), ('[1]', "line 1, column 1"), ('{a: ,}', "line 1, column 5")])
+def test_broken_task_object_tells_its_place(text, place):
+    with pytest.raises(ValueError, match=place):
+        TaskParams.from_json(text)
