@@ -1,7 +1,7 @@
 """Command line: run one application.
 
 python -m shoplens {session,page,area} (--sf-dir DIR | --tables PREFIX) (--out DIR | --jdbc-url URL) [--params TASK] [--task-id ID]
-python -m shoplens ads --root DIR (--brokers LIST --topics LIST | --feed DIR) [--zone ZONE] [--watermark DELAY] [--once]
+python -m shoplens ads --root DIR (--brokers LIST --topics LIST | --feed DIR | --log DIR) [--zone ZONE] [--watermark DELAY] [--once]
 
 ``--tables`` reads the catalog tables PREFIXuser_visit_action, PREFIXuser_info and PREFIXproduct_info. ``--params`` is a task object, or
 @FILE that holds one. ``--jdbc-user`` and the environment variable SHOPLENS_JDBC_PASSWORD go to the database.
@@ -18,6 +18,7 @@ from shoplens.plans.tables import Tables
 from shoplens.runtime import build_session
 from shoplens.sources.adlog import read_ad_log_kafka, read_ad_log_stream
 from shoplens.sources.city_area import city_area
+from shoplens.sources.logfeed import read_log_feed
 from shoplens.sources.tables import read_actions, read_products, read_users
 
 
@@ -40,15 +41,16 @@ def _arguments(argv) -> argparse.Namespace:
     ads.add_argument("--root", required=True)
     ads.add_argument("--brokers")
     ads.add_argument("--topics")
-    ads.add_argument("--feed", help="folder of log files instead of brokers")
-    ads.add_argument("--starting", default="latest")
+    ads.add_argument("--feed", help="folder that whole log files are put into, instead of brokers")
+    ads.add_argument("--log", help="folder of log files that grow, instead of brokers")
+    ads.add_argument("--starting", default="latest", help="for brokers and --log: latest or earliest")
     ads.add_argument("--zone", default="UTC")
     ads.add_argument("--watermark")
     ads.add_argument("--once", action="store_true", help="take what is there and stop")
     ads.add_argument("--master", default=argparse.SUPPRESS)
     args = ap.parse_args(argv)
-    if args.job == "ads" and bool(args.feed) == bool(args.brokers and args.topics):
-        ap.error("ads needs either --feed or --brokers and --topics")
+    if args.job == "ads" and sum(map(bool, (args.feed, args.log, args.brokers and args.topics))) != 1:
+        ap.error("ads needs --feed, --log, or --brokers and --topics")
     return args
 
 
@@ -63,7 +65,12 @@ def main(argv=None) -> None:
     args = _arguments(argv)
     spark = build_session(args.master)
     if args.job == "ads":
-        lines = read_ad_log_stream(spark, args.feed) if args.feed else read_ad_log_kafka(spark, args.brokers, args.topics, starting=args.starting)
+        if args.feed:
+            lines = read_ad_log_stream(spark, args.feed)
+        elif args.log:
+            lines = read_log_feed(spark, args.log, args.starting).select("value")
+        else:
+            lines = read_ad_log_kafka(spark, args.brokers, args.topics, starting=args.starting)
         trigger = {"availableNow": True} if args.once else None
         # with --once a query reads what those before it have written, so they run one after another
         _, queries = jobs.start_ad_stream_job(spark, lines, args.root, args.watermark, trigger, zone=args.zone, in_turn=args.once)

@@ -20,6 +20,7 @@ from shoplens.schema import AD_BLACKLIST
 from shoplens.sources.actions import scan_actions, scan_clicks
 from shoplens.sources import testdata
 from shoplens.sources.adlog import parse_ad_log, read_ad_log_stream
+from shoplens.sources.logfeed import read_log_feed
 from shoplens.sources.tables import read_actions, save_actions
 from shoplens.streaming import ads as stream_ads
 from shoplens.streaming.ads import AdStreamStore
@@ -425,6 +426,17 @@ def q_ad_blacklist_stream(spark, sf_dir):
     return _run_stream(spark, sf_dir, "blacklist").sink("ad_blacklist").snapshot()
 
 
+@query("ad_log_parsed_stream")
+def q_ad_log_parsed_stream(spark, sf_dir):
+    """Through the source that keeps its own offsets, into a file sink with its commit log."""
+    store = AdStreamStore(spark, shared_dir(spark, "ad-log"))
+    write_feed(Tables(spark, sf_dir).ad_log, store.path("feed"), STREAM_FEED_FILES)
+    lines = read_log_feed(spark, store.path("feed"), range_bytes=8 << 20).select("value")
+    (parse_ad_log(lines).writeStream.format("parquet").option("checkpointLocation", store.checkpoint("log"))
+     .trigger(**AVAILABLE_NOW).start(store.path("parsed")).awaitTermination())
+    return spark.read.parquet(store.path("parsed"))
+
+
 @query("ad_blacklist_filter_stream")
 def q_ad_blacklist_filter_stream(spark, sf_dir):
     store = _run_stream(spark, sf_dir, "clean", FIXED_BLACKLIST)

@@ -367,6 +367,7 @@ oracle("ad_province_top3_stream", _AD_CTES, "SELECT * FROM top3")
 oracle("ad_click_trend_stream", _AD_CTES, "SELECT * FROM trend")
 oracle("ad_blacklist_stream", _AD_CTES, "SELECT DISTINCT userid FROM ucc WHERE click_count > 10")
 
+oracle("ad_log_parsed_stream", _AD_CTES, "SELECT * FROM parsed")
 oracle("ad_blacklist_filter_stream", _AD_CTES,
        "SELECT userid, count(*) AS cnt FROM parsed WHERE userid NOT IN (0) GROUP BY userid")
 
