@@ -9,6 +9,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as entry
@@ -89,7 +90,7 @@ def test_class_lm(spark, edge, empty, docs, texts):
         assert r["base_score"] == pytest.approx(sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t), rel=1e-9)
         gain += r["held_out"] * (r["score"] - r["base_score"])
     assert gain > 0
-    few = class_lm.score_documents(edge.select("doc_id", "text"), exchange_words=8, classes=3, frequent_words=10).collect()
+    few = class_lm.score_documents(edge.select("doc_id", "text"), core=8, classes=3, min_count=2).collect()
     assert sorted(r["n_tokens"] for r in few) == sorted(len(words(t[1])) + 1 for t in EDGE)
     assert all(r["score"] <= 0 and math.isfinite(r["score"]) for r in few)
     assert class_lm.score_documents(empty.select("doc_id", "text")).count() == 0
@@ -97,11 +98,49 @@ def test_class_lm(spark, edge, empty, docs, texts):
     assert {(r["n_known"], r["train_tokens"]) for r in nothing} == {(0, 0)}
 
 
-def test_rare_and_frequent_words_score_alike(spark, docs):
-    some = docs.where("doc_id < 40").select("doc_id", "text")
-    a, b = ({r["doc_id"]: r["score"] for r in class_lm.score_documents(some, exchange_words=50, frequent_words=f).collect()}
-            for f in (60, 1 << 18))
-    assert a == pytest.approx(b, rel=1e-9)
+def test_class_lm_score_is_that_of_its_classes(docs):
+    """Every token's transition and emission, recomputed from the model's classes and the plain counts."""
+    some = docs.where("doc_id < 60").select("doc_id", "text")
+    counts = class_lm.stored(class_lm.word_counts(some.where("doc_id < 50")))
+    model = class_lm.train(some.where("doc_id < 50"), counts, core=50, min_count=3, classes=12)
+    assert model.likelihoods == sorted(model.likelihoods) and len(model.likelihoods) > 2  # every step raised it
+    assert len(set(model.cls[:len(model.keys)][model.cls[:len(model.keys)] < 12])) > 6
+    assert (model.cls[:len(model.keys)] < 12).mean() > 0.5 and len(model.keys) > 300  # most words, not the core alone
+    count = {r["h"]: r["c"] for r in counts.collect()}
+    key = {int(h): i for i, h in enumerate(model.keys.view(np.int64))}
+    rows = {r["doc_id"]: r for r in some.collect()}
+    d, unknown = class_lm.discounts(model.form_stats)
+    for r in class_lm.score(some, counts, model).where("doc_id % 7 = 0").collect():
+        one = rows[r["doc_id"]]["text"] or ""
+        batch = pa.RecordBatch.from_arrays([pa.array([one])], ["text"])
+        (_, _, t), = class_lm.chunks(batch, "text")
+        hashes, form, _ = class_lm.with_ends(t, 1)
+        total, before = 0.0, len(model.class_total) - 1
+        for h, f in zip(hashes.view(np.int64), form):
+            cls = len(model.class_total) - 1 if f < 0 else model.cls[key[int(h)]] if int(h) in key else 12 + f
+            total += model.moves[before, cls]
+            c = count.get(int(h), 0)
+            if 0 <= f and cls >= 12:
+                total += math.log10(c - d[f]) - math.log10(model.form_stats[f, 0]) if c else unknown[f]
+            elif f >= 0:
+                total += math.log10(c) - math.log10(model.class_total[cls])
+            before = cls
+        assert r["score"] == pytest.approx(total, rel=1e-9)
+    assert (10 ** model.moves).sum(axis=1) == pytest.approx(1)
+
+
+def test_class_lm_asks_for_more_where_words_do_not_fit(spark):
+    counts = spark.createDataFrame([(i, 0, c) for i, c in enumerate([2, 3, 4, 5, 8, 9, 16, 17, 33])], "h long, form long, c long")
+    assert [class_lm.least_count(counts, 2, t) for t in (9, 8, 5, 3, 1, 0)] == [2, 4, 8, 16, 32, 64]
+    assert class_lm.learned_classes(0) == 1 and class_lm.learned_classes(5) == 5 and class_lm.learned_classes(40_000) == 118
+
+
+def test_class_lm_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "x", 1.0), (2, None, 6, "y", 2.0)], "doc_id long, text string, n_tokens long, row string, score double")
+    got = class_lm.score_documents(docs, min_count=1)
+    assert got.columns == ["doc_id", "row", *class_lm.RESULTS]
+    assert {(r["row"], r["n_tokens"]) for r in got.collect()} == {("x", 3), ("y", 1)}
+    assert [r["n_tokens"] for r in class_lm.score_documents(docs.select("text")).orderBy("n_tokens").collect()] == [1, 3]
 
 
 def test_exchange_raises_likelihood():
