@@ -40,7 +40,7 @@ CORE, SWEEPS, BATCH_SWEEPS, BLOCK = 1024, 6, 2, 1024
 #: Learned classes: this power of the number of clustered words, within the bounds.
 GROWTH, FEWEST, MOST_CLASSES = 0.45, 16, 1024
 #: Distinct (word, context) pairs a task holds before it gives them out.
-PAIRS = 4_000_000
+PAIRS = 1_500_000
 #: Pseudo-count of P(class) in P(class | class before).
 SMOOTH = 16.0
 #: Largest discount: a word seen once keeps some of its count even where no word was seen twice.
@@ -175,11 +175,14 @@ def _gather(batches: Iterator[pa.RecordBatch], cls: np.ndarray, moving: np.ndarr
         for a, z in zip(edges, edges[1:]):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([int(block[a])], pa.int32()), pa.array([(codes[a:z] - block[a] * (BLOCK * 2 * k)).astype(np.int32).tobytes()], pa.binary()),
-                 pa.array([counts[a:z].astype(np.int32).tobytes()], pa.binary())], ["block", "codes", "counts"])
+                 pa.array([counts[a:z].tobytes()], pa.binary())], ["block", "codes", "counts"])
 
     def merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-        u, where = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-        return u, np.bincount(where, weights=np.concatenate([p[1] for p in parts]), minlength=len(u)).astype(np.int64)
+        codes = np.concatenate([p[0] for p in parts])
+        order = np.argsort(codes, kind="stable").astype(np.int32)
+        codes = codes[order]
+        first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
+        return codes[first], np.add.reduceat(np.concatenate([p[1] for p in parts])[order], first).astype(np.int32)
 
     held, size = [], 0
     for s in _ids(batches):
@@ -188,7 +191,8 @@ def _gather(batches: Iterator[pa.RecordBatch], cls: np.ndarray, moving: np.ndarr
             c = cls[s]
             word = s[at].astype(np.int64) * (2 * k)
             before = np.where(at > 0, c[np.maximum(at - 1, 0)], k - 1)
-            held.append(np.unique(np.concatenate([word + before, word + k + c[at + 1]]), return_counts=True))
+            codes, times = np.unique(np.concatenate([word + before, word + k + c[at + 1]]), return_counts=True)
+            held.append((codes, times.astype(np.int32)))
             size += len(held[-1][0])
             if size > PAIRS:
                 held = [merged(held)]
