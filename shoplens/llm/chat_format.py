@@ -140,24 +140,27 @@ def format_conversations(conversations: DataFrame, template: Template = inst_tem
 
 
 def digest(formatted: DataFrame, reader: Callable[[str], Turns] = read_back) -> DataFrame:
-    """Read back from the output: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars."""
-    def one(conv_id: int | None, text: str, spans: list[dict]) -> dict:
+    """Read back from the output: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, rewrites_history
+    (the template did: there are no spans, and no loss mask)."""
+    def one(conv_id: int | None, text: str, spans: list[dict], rewrites: bool) -> dict:
         turns = reader(text)
         loss = "".join(unescape(text[s["text_start"]:s["text_stop"]]) for s in spans if s["loss"])
         every = "".join(f"{role}\n{said}\n" for role, said in turns)
         sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
         return {"conv_id": conv_id, "n_turns": len(turns), "turns_sha256": sha(every), "loss_chars": len(loss),
-                "loss_sha256": sha(loss), "formatted_chars": len(text)}
+                "loss_sha256": sha(loss), "formatted_chars": len(text), "rewrites_history": rewrites}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
-                            ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+                            ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64()),
+                            ("rewrites_history", pa.bool_())])
         for batch in batches:
-            rows = zip(*(batch.column(n).to_pylist() for n in ("conv_id", "formatted", "spans")))
+            rows = zip(*(batch.column(n).to_pylist() for n in ("conv_id", "formatted", "spans", "rewrites_history")))
             yield pa.RecordBatch.from_pylist([one(*r) for r in rows], schema)
 
-    return formatted.select("conv_id", "formatted", "spans").mapInArrow(
-        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    return formatted.select("conv_id", "formatted", "spans", "rewrites_history").mapInArrow(
+        run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, "
+        "rewrites_history boolean")
 
 
 ORACLE = r"""
@@ -169,6 +172,6 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
        sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-       sum(n)::BIGINT AS formatted_chars
+       sum(n)::BIGINT AS formatted_chars, false AS rewrites_history
 FROM e GROUP BY conv_id
 """

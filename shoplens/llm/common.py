@@ -49,6 +49,31 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def in_ranges(rows: DataFrame, order: list[str], ranges: int, sampled: int = 32, seed: int = 42) -> DataFrame:
+    """``rows`` (stored) with ``_range`` (0, 1, ..., ascending in ``order``), range r in task r by one shuffle. The borders come
+    from a seeded sample, which decides how even the ranges are and nothing else; rows equal in ``order`` are told
+    apart by a row number, so no value is too frequent to be split."""
+    at = F.struct(*order, "_tie")
+    tied = rows.withColumn("_tie", F.monotonically_increasing_id())
+    sample = tied.select(at.alias("k")).sample(min(1.0, sampled * ranges / max(1, rows.count())), seed)
+    n = F.size("s")
+    # at most ``ranges`` borders, sorted: every n / ranges-th of the sample
+    borders = sample.agg(F.sort_array(F.collect_list("k")).alias("s")).select(F.transform(
+        F.slice(F.sequence(F.lit(1), F.lit(ranges)), 1, F.when(n > 0, F.lit(ranges - 1)).otherwise(F.lit(0))),
+        lambda i: F.get("s", F.floor(i * n / ranges).cast("int")))).scalar()
+    tied = tied.withColumn("_borders", borders)
+
+    def halve(x: Column, _: Column) -> Column:
+        middle = F.floor((x["lo"] + x["hi"]) / 2).cast("int")
+        above = at >= F.get("_borders", middle)
+        return F.when(x["lo"] >= x["hi"], x).otherwise(F.struct(
+            F.when(above, middle + 1).otherwise(x["lo"]).alias("lo"), F.when(above, x["hi"]).otherwise(middle).alias("hi")))
+
+    start = F.struct(F.lit(0).alias("lo"), F.coalesce(F.size("_borders"), F.lit(0)).alias("hi"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(ranges.bit_length())), start, halve)
+    return tied.withColumn("_range", found["lo"]).drop("_tie", "_borders").repartitionById(ranges, F.col("_range"))
+
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_WS = np.zeros(256, dtype=bool)

@@ -30,7 +30,11 @@ PIECE, LEVEL = 16_000, 3
 #: Relative margin below which a prediction is rejected.
 MARGIN = 0.02
 MADE = ["lang_pred", "score", "rejected"]
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")  # also numerals that are no decimal digits
+
+
+def has_letter(text: str) -> bool:
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS, excerpt: int = EXCERPT) -> dict[str, bytes]:
@@ -61,7 +65,7 @@ class Encoders:
             content, dict_type=zstd.DICT_TYPE_RAWCONTENT)) for content in dictionaries.values()]
 
     def predict(self, text: str | None, margin: float) -> tuple[str, float, bool]:
-        if not text or not self.made or not _LETTER.search(text):
+        if not text or not self.made or not has_letter(text):
             return "und", 0.0, False
         data = text.lower().encode()
         sizes = [sum(len(c.compress(data[i:i + PIECE])) for i in range(0, len(data), PIECE)) for c in self.made]

@@ -2,10 +2,10 @@
 
 The words of each source, its documents in a pseudorandom order, form one stream that is packed into
 blocks of ``block`` words. Targets: weights 5, 2, 1, repeating over the sources by code point (null last),
-share all words; none above 3 times its source's size, the excess reshared by weight. Each of ``shards`` output
-shards draws how many blocks it takes of each source: the whole part of the expected count, and
-multinomial draws over the fractions for the rest, so a source's total stays within a few blocks of its
-target. The drawn slots of a source, numbered over all shards, are mapped through a pseudorandom
+share all words; none above 3 times its source's size, the excess reshared by weight. A source's
+blocks in the mix are its expected number, rounded; each of ``shards`` output shards takes the whole part of its share,
+and what remains is drawn multinomially over the shards, so the counts per shard are random and the
+source's total lies within a block of its target, at the cap as well. The drawn slots of a source, numbered over all shards, are mapped through a pseudorandom
 permutation of its block indices (a new one each time around), and the blocks are joined by index.
 A source's slots end at 3 rounds, so no block, hence no document, is taken more than 3 times.
 
@@ -48,32 +48,24 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return s.select("source", "source_size", "_sid", "target")
 
 
-def draws(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED, most: int = MOST) -> DataFrame:
+def draws(sources: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """Blocks that each output shard takes of each source: _sid, _blocks, shard, n, first (number of the
-    source's first slot in the shard). One row per source and shard."""
-    s = sources.where(F.col("source_size") > 0).select(
-        "_sid", F.ceil(F.col("source_size") / block).cast("long").alias("_blocks"),
-        (F.ceil(F.col("source_size") / block) * F.col("target") / F.col("source_size") / shards).alias("_each"))
-    s = s.withColumn("_whole", F.floor(F.col("_each") + 1e-9).cast("long"))
-    s = s.withColumn("_part", F.greatest(F.col("_each") - F.col("_whole"), F.lit(0.0)))
-    up_to = Window.orderBy("_sid").rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("_from", F.coalesce(F.sum("_part").over(up_to), F.lit(0.0))).withColumn(
-        "_all", F.sum("_part").over(Window.partitionBy()))
-    by_shard = s.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    # multinomial: each draw, a point of [0, _all), counts for the source whose interval holds it
-    points = s.agg(F.max("_all").alias("_all")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where(
-        F.round("_all") >= 1).withColumn("_d", F.explode(F.sequence(F.lit(1), F.round("_all").cast("int"))))
-    unit = F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "shard", "_d"), F.lit(1 << 30)) / float(1 << 30)
-    marks = by_shard.where("_part > 0").select("shard", F.col("_from").alias("_at"), "_sid", F.lit(0).alias("_is")).unionByName(
-        points.select("shard", (unit * F.col("_all")).alias("_at"), F.lit(None).cast("int").alias("_sid"), F.lit(1).alias("_is")))
-    owner = F.last("_sid", ignorenulls=True).over(Window.partitionBy("shard").orderBy("_at", "_is"))
-    drawn = marks.withColumn("_sid", owner).where("_is = 1").groupBy("shard", "_sid").agg(F.count("*").alias("_drawn"))
-    out = by_shard.join(drawn, ["shard", "_sid"], "left").withColumn(
-        "n", F.col("_whole") + F.coalesce("_drawn", F.lit(0)))
-    before = Window.partitionBy("_sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    out = out.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    room = F.greatest(F.col("_blocks") * most - F.col("first"), F.lit(0))
-    return out.select("_sid", "_blocks", "shard", F.least("n", room).cast("long").alias("n"), "first")
+    source's first slot in the shard). One row per source and shard.
+
+    A source's slots over all shards are its expected number, rounded up or down at random by its fraction; every shard
+    gets the whole part of its share, and the rest, fewer than there are shards, is drawn over the shards multinomially."""
+    unit = F.pmod(F.xxhash64(F.lit(seed), F.lit("round"), "_sid"), F.lit(1 << 30)) / float(1 << 30)
+    s = sources.where(F.col("source_size") > 0).select("_sid", F.ceil(F.col("source_size") / block).cast("long").alias("_blocks"),
+                                                       (F.ceil(F.col("source_size") / block) * F.col("target") / F.col("source_size")).alias("_wanted"))
+    whole = F.floor(F.col("_wanted") + 1e-9)
+    s = s.withColumn("_all", (whole + (unit < F.col("_wanted") - whole).cast("int")).cast("long"))
+    drawn = s.select("_sid", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(shards).cast("long"))).alias("_d"), F.pmod("_all", F.lit(shards)).alias("_rest"))
+    drawn = drawn.where(F.col("_d") <= F.col("_rest")).select("_sid", F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "_sid", "_d"), F.lit(shards)).cast("int").alias("shard"))
+    drawn = drawn.groupBy("_sid", "shard").agg(F.count("*").alias("_drawn"))
+    out = s.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).join(drawn, ["_sid", "shard"], "left")
+    out = out.withColumn("n", F.floor(F.col("_all") / shards) + F.coalesce("_drawn", F.lit(0)))
+    before = Window.partitionBy("_sid").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # a row per shard
+    return out.select("_sid", "_blocks", "shard", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
 
 
 def permuted(index: Column, size: Column, keys: list[Column], rounds: int = ROUNDS) -> Column:
@@ -89,8 +81,9 @@ def permuted(index: Column, size: Column, keys: list[Column], rounds: int = ROUN
 def slots(drawn: DataFrame, seed: int = SEED) -> DataFrame:
     """A row per drawn slot: shard, _slot (within the shard and source), _sid, _block."""
     runs = drawn.where("n > 0").withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(RUN).cast("long"))))
-    # a hot source is one row here; its runs are dealt out before they become slots
-    runs = runs.repartition("_sid", "shard", "_run")
+    # a hot source is one row here; its runs are dealt out before they become slots. The number of tasks is given,
+    # as adaptive execution would join the few small rows to one
+    runs = runs.repartition(int(drawn.sparkSession.conf.get("spark.sql.shuffle.partitions")), "_sid", "shard", "_run")
     s = runs.withColumn("_slot", F.explode(F.sequence("_run", F.least(F.col("_run") + (RUN - 1), F.col("n") - 1))))
     i = F.col("first") + F.col("_slot")
     s = s.select("shard", "_slot", "_sid", "_blocks", F.floor(i / F.col("_blocks")).alias("_round"),
@@ -130,11 +123,17 @@ def _pieces(rows: DataFrame, block: int) -> DataFrame:
         "_words", F.least(last + 1, (F.col("_block") + 1) * block) - begin)
 
 
+def times_drawn(sources: DataFrame, block: int, shards: int, seed: int) -> DataFrame:
+    """_sid, _block, _times of the blocks that are taken; never broadcast, as it grows with the words."""
+    found = slots(stored(draws(sources, block, shards, seed)), seed).groupBy("_sid", "_block").agg(F.count("*").alias("_times"))
+    return found.hint("merge")
+
+
 def mix_digest(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: a row per document."""
     rows, sources = _streams(_rows(docs), seed)
     rows = stored(rows)
-    drawn = slots(stored(draws(sources, block, shards, seed)), seed).groupBy("_sid", "_block").agg(F.count("*").alias("_times"))
+    drawn = times_drawn(sources, block, shards, seed)
     # a word's place in the stream names its document's row
     taken = _pieces(rows, block).join(drawn, ["_sid", "_block"]).groupBy("_sid", "_start").agg(
         F.sum(F.col("_words") * F.col("_times")).alias("taken"))
@@ -148,7 +147,7 @@ def mix(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, seed: int = S
     words of the document from ``offset`` on)."""
     rows, sources = _streams(_rows(docs), seed)
     taken = slots(stored(draws(sources, block, shards, seed)), seed).join(
-        _pieces(rows, block), ["_sid", "_block"])
+        _pieces(rows, block).hint("merge"), ["_sid", "_block"])
     return taken.select("shard", F.col("_sid").alias("source_rank"), F.col("_slot").alias("slot"), F.col("_block").alias("block"),
                         "doc_id", "source", F.col("_offset").alias("offset"), F.col("_words").alias("n_words"))
 
@@ -160,7 +159,7 @@ def mix_documents(docs: DataFrame, block: int = BLOCK, shards: int = SHARDS, see
     own = docs.columns
     rows, sources = _streams(_rows(docs), seed)
     rows = stored(rows)
-    drawn = slots(stored(draws(sources, block, shards, seed)), seed).groupBy("_sid", "_block").agg(F.count("*").alias("_times"))
+    drawn = times_drawn(sources, block, shards, seed)
     piece = F.struct(F.col("_offset").alias("at"), F.col("_words").alias("n"), F.col("_times").alias("times"))
     plan = _pieces(rows, block).join(drawn, ["_sid", "_block"]).groupBy("doc_id", "source", "_t", "_sid", "_start", "size").agg(
         F.sort_array(F.collect_list(piece)).alias("_pieces"))

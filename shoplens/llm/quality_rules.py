@@ -6,15 +6,17 @@ language, is compared with the language's reference by the Jensen-Shannon distan
 length test, so they cover the whole corpus; one pass makes them (a map-side combined aggregate of
 one row per language), a second one judges.
 
-Defined results: null text has no words and fails the base rules; a null or unlisted language has
-no common words, and a null one no reference, so only the remaining tests apply; histograms of texts
-shorter than the guards are not compared; an empty table gives no rows; columns of the input with
-names made here are replaced, all others pass.
+The common words are listed for four languages; for any other they are its 12 most frequent words in the documents.
+
+Defined results: null text has no words and fails the base rules; a null language has no common words and no
+reference, so only the remaining tests apply; histograms of texts
+shorter than the guards are not compared; an empty table gives no rows; columns of the input named like a
+result are replaced, all others pass.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shoplens.llm.common import WS_CHARS, small, stored, words
 
@@ -60,24 +62,39 @@ def _pairs(df: DataFrame, source: str, target: str, gap: int) -> DataFrame:
                                             lambda x, y: F.xxhash64(x, y)))
 
 
-def features(docs: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
+def learned_words(docs: DataFrame, common: dict[str, list[str]] | None = None, most: int = 12) -> DataFrame:
+    """_lang, _learned: the ``most`` most frequent words of every language of ``docs`` (text, lang) that ``common`` does not list,
+    from all its documents. A row per such language."""
+    listed = list(COMMON_WORDS if common is None else common)
+    others = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(listed))
+    counts = others.select("lang", F.explode(words(F.col("text"))).alias("w")).groupBy("lang", "w").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("lang").orderBy(F.col("n").desc(), "w")
+    top = counts.withColumn("i", F.row_number().over(order)).where(F.col("i") <= most)
+    return top.groupBy(F.col("lang").alias("_lang")).agg(F.sort_array(F.collect_list("w")).alias("_learned"))
+
+
+def features(docs: DataFrame, common: dict[str, list[str]] | None = None, learned: DataFrame | None = None) -> DataFrame:
     """``docs`` (text, lang, any other columns) with n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, n_chars_seen and the histograms _classes and _common."""
     common = COMMON_WORDS if common is None else common
     keep = [c for c in docs.columns if c not in FEATURES]
     listed = F.create_map(*[x for k, v in common.items() for x in (F.lit(k), F.array(*map(F.lit, v)))]) \
         if common else F.lit(None).cast("map<string,array<string>>")
-    longest = max([len(w.encode()) for v in common.values() for w in v], default=0)
-    out = docs.select(*keep).withColumns({
-        "_t": F.coalesce("text", F.lit("")), "_w": words(F.col("text")),
-        "_c": F.coalesce(F.try_element_at(listed, F.col("lang")), F.array().cast("array<string>")),
-    })
+    # the input in a struct, so no column of it can clash with those made here
+    out = docs.select(F.struct(*keep).alias("_row"), "lang", F.coalesce("text", F.lit("")).alias("_t"), words(F.col("text")).alias("_w"))
+    none = F.array().cast("array<string>")
+    if learned is None:
+        out = out.withColumn("_c", F.coalesce(F.try_element_at(listed, F.col("lang")), none))
+    else:
+        out = out.join(small(learned), F.col("lang") == F.col("_lang"), "left").withColumn(
+            "_c", F.coalesce(F.try_element_at(listed, F.col("lang")), "_learned", none))
+    out = out.withColumn("_longest", F.coalesce(F.array_max(F.transform("_c", F.octet_length)), F.lit(0)))
     # what is left without lower-case letters and white space is short; the classes are counted in it
     out = out.withColumns({
         "n_words": F.size("_w").cast("long"),
         "word_chars": F.length(F.concat_ws("", "_w")).cast("long"),
         "_rest": F.regexp_replace("_t", r"[\p{Ll}\x20\x09-\x0D]+", ""),
-        "_hits": F.filter("_w", lambda w: (F.octet_length(w) <= longest) & F.array_contains(F.col("_c"), w)),
+        "_hits": F.filter("_w", lambda w: (F.octet_length(w) <= F.col("_longest")) & F.array_contains(F.col("_c"), w)),
         "_lines": F.filter(F.split("_t", "\n"), lambda x: F.length(F.btrim(x, F.lit(WS_CHARS))) > 0),
     })
     out = _pairs(_pairs(_pairs(out, "_w", "_p2", 1), "_p2", "_p4", 2), "_p4", "_p8", 4)
@@ -105,13 +122,14 @@ def features(docs: DataFrame, common: dict[str, list[str]] | None = None) -> Dat
             F.array((F.col("n_words") - F.size("_hits")).cast("double"))),
     })
     out = out.withColumn("_classes", F.concat("_classes", F.array(F.col("n_chars_seen") - _total(F.col("_classes")))))
-    return out.select(*keep, *FEATURES)
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], *FEATURES)
 
 
 def language_reference(seen: DataFrame, common: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per language from ``features()`` rows: summed histograms of its documents of 20 words
     or more. Sums of whole counts as doubles are exact in any order."""
-    widest = max([len(v) for v in (COMMON_WORDS if common is None else common).values()], default=0) + 1
+    widest = max([len(v) for v in (COMMON_WORDS if common is None else common).values()], default=12) + 1
+    widest = max(widest, 13)
     part = lambda c, i: F.coalesce(F.sum(F.get(c, F.lit(i))), F.lit(0.0))
     return seen.where(F.col("lang").isNotNull() & (F.col("n_words") >= 20)).groupBy(F.col("lang").alias("_lang")).agg(
         F.array(*[part("_classes", i) for i in range(6)]).alias("_ref_classes"),
@@ -145,15 +163,16 @@ def judge(seen: DataFrame, reference: DataFrame, max_class_distance: float = MAX
 def quality(docs: DataFrame, common: dict[str, list[str]] | None = None, **limits) -> DataFrame:
     """Verdict for each row, texts left behind: the features are stored once and serve both the
     reference and the verdict."""
-    seen = stored(features(docs, common).drop("text"))
+    seen = stored(features(docs, common, stored(learned_words(docs, common))).drop("text"))
     return judge(seen, stored(language_reference(seen, common)), **limits)
 
 
 def filter_quality(docs: DataFrame, common: dict[str, list[str]] | None = None, **limits) -> DataFrame:
     """The rows of ``docs`` that are kept, all columns; texts are read twice and never copied."""
-    reference = stored(language_reference(features(docs.select("lang", "text"), common), common))
+    learned = stored(learned_words(docs, common))
+    reference = stored(language_reference(features(docs.select("lang", "text"), common, learned), common))
     inside = docs.select(F.struct(*docs.columns).alias("_row"), "lang", "text")
     # Catalyst would push the test below the projections and compute each lambda's operands again for
     # every element; a row number in the test keeps it above them
-    verdict = judge(features(inside, common), reference, **limits).withColumn("_n", F.monotonically_increasing_id())
+    verdict = judge(features(inside, common, learned), reference, **limits).withColumn("_n", F.monotonically_increasing_id())
     return verdict.where(F.col("kept") & (F.col("_n") >= 0)).select("_row.*")

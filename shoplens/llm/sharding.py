@@ -14,7 +14,7 @@ Slots number each shard's rows from 0 in the pseudorandom order of md5(text dige
 counted per (shard, leading hex digits), so no shard is numbered by one task.
 
 Defined results: a null text counts as empty (size 1, crc32 0); null doc_ids come before all others of
-their text; an empty table gives no rows; columns of the input with names made here are replaced.
+their text; an empty table gives no rows; columns of the input named like a result are replaced, all others pass.
 """
 
 from __future__ import annotations
@@ -86,10 +86,10 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, k
     """``docs`` (doc_id, text, any other columns) with size, text_crc32, law, shard, slot, grown_shard;
     the text itself crosses the one exchange only if ``keep_text``."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.drop(*MADE).withColumns({
-        "size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary")),
-        "_key": sort_key(F.col("text"), F.col("doc_id")),
-    })
+    kept = [c for c in docs.columns if c not in MADE and (keep_text or c != "text")]
+    rows = docs.select(  # the input in a struct, so no column of it can clash with those made here
+        F.struct(*kept, F.lit(0).alias("_always")).alias("_row"), "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"), sort_key(F.col("text"), F.col("doc_id")).alias("_key"))
     narrow = stored(rows.select("_key", "size", "doc_id"))
     count = narrow.count()
     digits = next((d for d in (2, 3) if shards * 16 ** d * 1000 >= count), 4)
@@ -103,10 +103,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, tolerance: float = TOLERANCE, k
     # at most shards * 16 ** 4 narrow rows: a proven bound for the broadcast
     before = placed(narrow).groupBy("shard", "_bin").agg(F.count("*").alias("_n")).select(
         "shard", "_bin", F.coalesce(F.sum("_n").over(order), F.lit(0)).alias("_before"))
-    out = placed(rows if keep_text else rows.drop("text")).join(F.broadcast(before), ["shard", "_bin"])
+    out = placed(rows).join(F.broadcast(before), ["shard", "_bin"])
     number = F.row_number().over(Window.partitionBy("shard", "_bin").orderBy("_mixed", "_key"))
-    kept = [c for c in docs.columns if c not in MADE and (keep_text or c != "text")]
-    return out.select(*kept, "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in kept], "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                       (F.col("_before") + number - 1).cast("long").alias("slot"),
                       F.lit(None).cast("int").alias("grown_shard"))
 
