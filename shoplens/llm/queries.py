@@ -45,7 +45,7 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.report(docs, table(spark, sf_dir, "benchmark"))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
