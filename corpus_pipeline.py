@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shoplens.llm import decontaminate, mixing, near_dedup, quality_rules, sharding
+from shoplens.llm.common import scratch
 from shoplens.runtime import shared_dir
 
 
@@ -51,6 +52,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "corpus-pipeline")
     for k, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{k}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):  # a stage's own intermediates go once its rows are written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs

@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from shoplens.runtime import shared_dir
+from shoplens.sinks.files import Files
 
 #: ASCII white space (space, tab to carriage return) and the words between it.
 WS_CHARS = " \t\n\x0b\x0c\r"
@@ -36,10 +39,31 @@ def n_words(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")
 
 
-def stored(df: DataFrame) -> DataFrame:
+#: Paths of the tables stored in each open ``scratch`` block, outermost first.
+_BLOCKS: ContextVar[tuple[list[str], ...]] = ContextVar("_BLOCKS", default=())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes in the block are removed when it ends; what is used later is stored with ``keep``."""
+    mine: list[str] = []
+    token = _BLOCKS.set((*_BLOCKS.get(), mine))
+    try:
+        yield
+    finally:
+        _BLOCKS.reset(token)
+        for path in mine:
+            Files(spark, path).delete()
+
+
+def stored(df: DataFrame, keep: bool = False) -> DataFrame:
     """Narrow intermediate written as Parquet to the shared checkpoint folder, so that later jobs neither
-    recompute it nor depend on the executors that made it; its size is known to the joins that follow."""
+    recompute it nor depend on the executors that made it; its size is known to the joins that follow. In a ``scratch``
+    block it goes with the block, or with the one around it if ``keep``."""
     path = shared_dir(df.sparkSession, "stored")
+    blocks = _BLOCKS.get()[:-1] if keep else _BLOCKS.get()
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

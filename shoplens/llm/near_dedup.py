@@ -11,7 +11,9 @@ Candidates share a bucket (sketch number, value, length band; each text is in it
 within the similarity's length ratio meet); pairs that share fewer than ``SHARED`` sketches go. First, rounds of few
 pairs: in each bucket all are paired with its smallest member of each component found so far. Verification
 aligns the two sequences of labelled shingles: their longest common subsequence within the band of offsets that the
-threshold allows, c; similarity c / (n1 + n2 - c). Links of at least ``SIMILARITY`` are merged into
+threshold allows, c; similarity c / (n1 + n2 - c). The shingles of the texts that can be in a pair (those with
+``SHARED`` shared buckets of a band) are stored once, so documents are read twice, whatever the number of rounds; a
+leader's pairs are dealt out in lots of ``LOT``, to each of which its shingles go once. Links of at least ``SIMILARITY`` are merged into
 components by label propagation; the rounds end when they find none. What they left out follows in one pass: in
 the buckets that still hold more than one component, every pair of texts of different components is verified, so
 no candidate is left untried but those inside a component. Buckets are compared there in blocks of ``BLOCK`` texts,
@@ -32,11 +34,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoplens.llm.common import WORD, Tokens, chunks, mix64, small, stored, words
+from shoplens.llm.common import WORD, Tokens, chunks, mix64, scratch, small, stored, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICK, SHARED = 16, 2, 3
-BLOCK = 256
+BLOCK, LOT = 256, 64
 MADE = ["class_id", "class_size", "is_kept"]
 
 
@@ -116,12 +118,16 @@ def normal(text: Column) -> Column:
     return F.array_join(words(F.lower(text)), " ")
 
 
+def raw_digest() -> Column:
+    return F.md5(F.col("text").cast("binary"))
+
+
 def has_words(text: Column) -> Column:
     return F.coalesce(text.rlike(WORD), F.lit(False))
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, digest, thash (of the text as it is), n (shingles), sketch (array) of the rows with words."""
+    """doc_id, digest (of the words), raw (digest of the text as it is), n (shingles), sketch (array) of the rows with words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, t in chunks(batch, "_norm"):
@@ -134,31 +140,44 @@ def sketches(docs: DataFrame) -> DataFrame:
                 flat = pa.array(np.ascontiguousarray(sketch(np.stack(values))).reshape(-1).view(np.int64))
                 offsets = pa.array(np.arange(b - a + 1, dtype=np.int32) * SKETCHES)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(a, b - a) for c in ("doc_id", "_digest", "_thash")]
+                    [batch.column(c).slice(a, b - a) for c in ("doc_id", "_digest", "_raw")]
                     + [pa.array(sizes, pa.int64()), pa.ListArray.from_arrays(offsets, flat)],
-                    ["doc_id", "digest", "thash", "n", "sketch"])
+                    ["doc_id", "digest", "raw", "n", "sketch"])
 
     # the test for words reads up to the first one; a test of _norm would make the words once more
     rows = docs.where(has_words(F.col("text"))).select(
-        F.col("doc_id").cast("long"), F.xxhash64("text").alias("_thash"), normal(F.col("text")).alias("_norm"))
-    return rows.select("doc_id", F.md5(F.col("_norm").cast("binary")).alias("_digest"), "_thash", "_norm").mapInArrow(
-        run, "doc_id long, digest string, thash long, n long, sketch array<long>")
+        F.col("doc_id").cast("long"), raw_digest().alias("_raw"), normal(F.col("text")).alias("_norm"))
+    return rows.select("doc_id", F.md5(F.col("_norm").cast("binary")).alias("_digest"), "_raw", "_norm").mapInArrow(
+        run, "doc_id long, digest string, raw string, n long, sketch array<long>")
 
 
-def _verify(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b: numbers of texts) whose texts (id, _norm) align well enough."""
+def _verify(pairs: DataFrame, shingles: DataFrame, least: float, size: int = LOT) -> DataFrame:
+    """The pairs (a, b: numbers of texts) whose ``shingles`` (id, _h) align well enough. Of each pair, the text with more
+    pairs leads; its others are dealt to lots of about ``size``, each lot beginning with the leader's shingles."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, left = None, None
         for batch in batches:
-            keep, last, left = [], None, None
-            for d, x, y in zip(batch.column("a").to_pylist(), batch.column("_x"), batch.column("_y")):
-                if d != last:
-                    last, left = d, labelled(_word_hashes(x.as_py()))
-                keep.append(alignment_similarity(left, labelled(_word_hashes(y.as_py())), least) >= least)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    left = texts.select(F.col("id").alias("a"), F.col("_norm").alias("_x"))
-    right = texts.select(F.col("id").alias("b"), F.col("_norm").alias("_y"))
-    return pairs.join(right, "b").join(left, "a").select("a", "b", "_x", "_y").mapInArrow(run, "a long, b long")
+            one, other = [], []
+            for top, x, h in zip(batch.column("_top").to_pylist(), batch.column("id").to_pylist(), batch.column("_h")):
+                held = np.frombuffer(h.as_buffer(), np.uint64)
+                if top == x:
+                    lead, left = x, held.copy()
+                elif alignment_similarity(left, held, least) >= least:
+                    one.append(min(lead, x))
+                    other.append(max(lead, x))
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(other, pa.int64())], ["a", "b"])
+
+    counts = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("_c"))
+    one, other = (counts.select(F.col("id").alias(x), F.col("_c").alias(f"_c{x}")) for x in "ab")
+    top = F.col("_ca") >= F.col("_cb")
+    dealt = stored(pairs.join(one, "a").join(other, "b").select(
+        F.when(top, F.col("a")).otherwise(F.col("b")).alias("_top"), F.when(top, F.col("b")).otherwise(F.col("a")).alias("id"),
+        F.ceil(F.greatest("_ca", "_cb") / size).alias("_lots")).select(
+        "_top", F.pmod(F.xxhash64("id"), "_lots").alias("_lot"), "id"))
+    leaders = dealt.select("_top", "_lot").distinct().select("_top", "_lot", F.col("_top").alias("id"))
+    rows = dealt.unionByName(leaders).join(shingles, "id")
+    return rows.repartition("_top", "_lot").sortWithinPartitions("_top", "_lot", F.col("id") != F.col("_top")).select(
+        "_top", "id", "_h").mapInArrow(run, "a long, b long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -295,40 +314,56 @@ def untried(buckets: DataFrame, reps: DataFrame, labels: DataFrame | None, least
     return dealt.repartition(*DEAL).sortWithinPartitions(*DEAL).mapInArrow(run, dealt.schema)
 
 
-def _verify_blocks(groups: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """a, b: the candidate pairs in the groups of ``untried`` whose texts (id, _norm) align well enough."""
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = [labelled(_word_hashes(t.as_py())).tobytes() for t in batch.column("_norm")]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(made, pa.binary())], ["id", "_h"])
-
+def _verify_blocks(groups: DataFrame, shingles: DataFrame, least: float) -> DataFrame:
+    """a, b: the candidate pairs in the groups of ``untried`` whose ``shingles`` (id, _h) align well enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _groups(batches):
             yield _links(table, least)
 
-    rows = groups.join(texts.mapInArrow(shingles, "id long, _h binary"), "id")
-    return rows.repartition(*DEAL).sortWithinPartitions(*DEAL).mapInArrow(run, "a long, b long")
+    return groups.join(shingles, "id").repartition(*DEAL).sortWithinPartitions(*DEAL).mapInArrow(run, "a long, b long")
+
+
+def _shingles(docs: DataFrame, reps: DataFrame, buckets: DataFrame) -> DataFrame:
+    """id, _h (labelled shingles) of the texts that can be in a pair: a pair shares ``SHARED`` buckets of one band."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a, b, t in chunks(batch, "_norm"):
+                ends = np.searchsorted(t.row, np.arange(b - a + 1))
+                made = [labelled(t.hash[ends[i]:ends[i + 1]]).tobytes() for i in range(b - a)]
+                yield pa.RecordBatch.from_arrays([batch.column("id").slice(a, b - a), pa.array(made, pa.binary())], ["id", "_h"])
+
+    enough = buckets.groupBy("id", "_band").agg(F.count("*").alias("_n")).where(F.col("_n") >= SHARED).select("id").distinct()
+    needed = stored(enough.join(reps, "id").select("id", "raw"))
+    # the texts are found again by the digest of one row each; only those are normalised and moved
+    texts = docs.select("text", raw_digest().alias("raw")).join(small(needed), "raw").dropDuplicates(["id"])
+    return texts.select("id", normal(F.col("text")).alias("_norm")).mapInArrow(run, "id long, _h binary")
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(rows, labels): doc_id, digest and thash of each row with words; digest and label of each text. Texts go by a
-    number once they are stored, so that buckets, pairs and links are pairs of longs."""
-    rows = stored(sketches(docs))
-    reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("thash").alias(
-        "thash")).withColumn("id", F.monotonically_increasing_id()))
+    """(rows, labels): doc_id, digest and raw of each row with words; digest and label of each text."""
+    with scratch(docs.sparkSession):
+        rows = stored(sketches(docs), keep=True)
+        reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("raw").alias(
+            "raw")).withColumn("id", F.monotonically_increasing_id()))
+        labels, found = _labels(docs, reps, least), reps.select("digest", "id")
+        if labels is None:
+            found = found.select("digest", F.col("id").alias("label"))
+        else:
+            found = found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
+        return rows.select("doc_id", "digest", "raw"), stored(found, keep=True)
+
+
+def _labels(docs: DataFrame, reps: DataFrame, least: float) -> DataFrame | None:
+    """id, label of the linked texts of ``reps`` (None: no links). Texts go by a number, so that buckets, pairs and links
+    are pairs of longs."""
     band = F.floor(F.log("n") / float(-np.log(least)) + 1e-9)
     buckets = reps.select("id", "sketch", F.explode(F.array(band, band + 1)).alias("_band")).select(
         "id", "_band", F.posexplode("sketch").alias("_s", "_v")).select("id", "_s", "_band", F.xxhash64("_s", "_v", "_band").alias("key"))
     crowded = buckets.groupBy("key").agg(F.min("id").alias("_first"), F.count("*").alias("_c")).where("_c > 1").drop("_c")
     buckets = stored(buckets.join(crowded, "key"))
+    shingles = stored(_shingles(docs, reps, buckets))
     tried, labels = None, None
 
-    def found_texts(ids: DataFrame) -> DataFrame:
-        needed = stored(ids.distinct().join(reps, "id").select("id", "thash"))
-        # the texts are found again by the hash of one row each; only those are normalised and moved
-        texts = docs.select("text", F.xxhash64("text").alias("thash")).join(small(needed), "thash").dropDuplicates(["id"])
-        return texts.select("id", normal(F.col("text")).alias("_norm"))
-
     while True:
         if labels is None:
             pairs = buckets.where("id != _first").select(F.col("_first").alias("a"), F.col("id").alias("b"))
@@ -349,20 +384,17 @@ def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame,
         pairs = stored(pairs.join(one, "a").join(other, "b").where(near & (alike >= SHARED)).select("a", "b"))
         if pairs.isEmpty():
             break
-        new = stored(_verify(pairs, found_texts(pairs.select(F.explode(F.array("a", "b")).alias("id"))), least))
+        new = stored(_verify(pairs, shingles, least))
         tried = pairs if tried is None else tried.union(pairs)
         if new.isEmpty():
             break
         labels = components(new) if labels is None else merged(labels, new)
     groups = stored(untried(buckets, reps, labels, least))
     if not groups.isEmpty():
-        new = stored(_verify_blocks(groups, found_texts(groups.select("id")), least))
+        new = stored(_verify_blocks(groups, shingles, least))
         if not new.isEmpty():
             labels = components(new) if labels is None else merged(labels, new)
-    found = reps.select("digest", "id")
-    if labels is None:
-        return rows.select("doc_id", "digest", "thash"), found.select("digest", F.col("id").alias("label"))
-    return rows.select("doc_id", "digest", "thash"), found.join(labels, "id", "left").select("digest", F.coalesce("label", "id").alias("label"))
+    return labels
 
 
 def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -378,12 +410,13 @@ def classes(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
 def keep_one(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay, all columns: one of each class, and all without words."""
-    rows, labels = text_classes(docs, least)
-    first = rows.join(labels, "digest").groupBy("label").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"), F.col("thash"))).alias("k"))
-    first = stored(first.select(F.col("k.doc_id").alias("_d"), F.col("k.thash").alias("_g")))
-    # the row is found again by its id and the hash of its text, without making its words once more
+    with scratch(docs.sparkSession):
+        rows, labels = text_classes(docs, least)
+        first = rows.join(labels, "digest").groupBy("label").agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id"), F.col("digest"), F.col("raw"))).alias("k"))
+        first = stored(first.select(F.col("k.doc_id").alias("_d"), F.col("k.raw").alias("_g")), keep=True)
+    # the row is found again by its id and the digest of its text, without making its words once more
     every = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                        F.xxhash64("text").alias("_t"), has_words(F.col("text")).alias("_worded"))
+                        raw_digest().alias("_t"), has_words(F.col("text")).alias("_worded"))
     one = every.where("_worded").join(first, (F.col("_t") == F.col("_g")) & F.col("_id").eqNullSafe(F.col("_d"))).dropDuplicates(["_t", "_id"])
     return one.select("_row.*").unionByName(every.where("NOT _worded").select("_row.*"))
