@@ -370,3 +370,59 @@ def test_sliding_sums_of_any_width(spark):
         if plain is not None:
             assert rows(got) == rows(plain)
     assert rows(ads.sliding_hour(clicks.limit(0))) == []
+
+
+def _files(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.startswith("part-")]
+
+
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("mode", ["add", "replace", "replace_group"])
+def test_files_of_a_segment_follow_its_days(spark, root, mode, adaptive):
+    """Kept rows dealt by key over 16 tasks: a day is a file, not a file a task."""
+    from shoplens.runtime import session_conf
+    counts = spark.range(600).selectExpr("concat('2024010', id % 3) AS date", "id AS userid", "id % 7 AS adid", "id AS click_count")
+    sink = KeyedSink(spark, os.path.join(root, "t"), AD_USER_CLICK_COUNT, COUNTS, mode, group_keys=["date", "userid"],
+                     partition_cols=["date"], compact_every=2)
+    with session_conf(spark, {"spark.sql.adaptive.enabled": adaptive}):
+        kept = counts.repartition(16, *COUNTS).persist()
+        try:
+            sink.apply(kept, 0)
+            assert len(_files(sink.path)) == 3
+            sink.apply(kept, 1)  # and so do merged ones
+            assert [len(_files(os.path.join(sink.path, "data", s["dir"]))) for s in sink.manifest()["segments"]] == [3]
+        finally:
+            kept.unpersist()
+        times = 2 if mode == "add" else 1
+        assert rows(sink.snapshot()) == rows(counts.withColumn("click_count", counts.click_count * times))
+
+
+def _ten_files(root):
+    """A log of two days in ten files: what one batch of the clean query reads in many tasks."""
+    feed = os.path.join(root, "feed")
+    lines = [_line(DAY0 + i * 600_000, i % 3, i % 4, prov=str(i % 2)) for i in range(250)]
+    for k in range(10):
+        _write_lines(feed, f"{k}.txt", lines[k::10])
+    return feed, lines
+
+
+def test_clean_files_follow_the_lines_of_a_batch(spark, root, monkeypatch):
+    """Clean files, and with them the batches of a reader by files, do not multiply with the tasks that write them."""
+    from shoplens.sources.adlog import parse_ad_log
+    feed, lines = _ten_files(root)
+    want = parse_ad_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    whole = AdStreamStore(spark, os.path.join(root, "whole"))
+    sads.start_clean_clicks(read_ad_log_stream(spark, feed), whole, NOW).awaitTermination()
+    assert len(_files(whole.clean_path)) == 1
+    q = sads.start_blacklist(sads.clean_clicks(whole, max_files_per_trigger=1), whole, trigger=NOW)
+    q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress] == [250]
+    assert rows(whole.sink("ad_blacklist").snapshot()) == [(0,), (1,), (2,)]
+    monkeypatch.setattr(sads, "CLEAN_FILE_LINES", 100)
+    cut = AdStreamStore(spark, os.path.join(root, "cut"))
+    sads.start_clean_clicks(read_ad_log_stream(spark, feed), cut, NOW).awaitTermination()
+    spans = [spark.read.parquet(f).agg({"ts": "min"}).union(spark.read.parquet(f).agg({"ts": "max"})).collect() for f in sorted(_files(cut.clean_path))]
+    times = [r[0] for span in spans for r in span]
+    assert len(spans) == 3 and times == sorted(times)
+    for store in (cut, whole):
+        assert rows(spark.read.parquet(store.clean_path).select(*want.columns)) == rows(want)
