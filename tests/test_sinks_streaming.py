@@ -426,3 +426,20 @@ def test_clean_files_follow_the_lines_of_a_batch(spark, root, monkeypatch):
     assert len(spans) == 3 and times == sorted(times)
     for store in (cut, whole):
         assert rows(spark.read.parquet(store.clean_path).select(*want.columns)) == rows(want)
+
+
+def test_stat_of_many_files_is_one_small_batch(spark, root):
+    """The counts of a batch, kept in as many tasks as the session shuffles by, leave a file a day in each table."""
+    from shoplens.runtime import session_conf
+    from shoplens.sources.adlog import parse_ad_log
+    feed, lines = _ten_files(root)
+    store = AdStreamStore(spark, root)
+    with session_conf(spark, {"spark.sql.shuffle.partitions": 40}):
+        sads.start_clean_clicks(read_ad_log_stream(spark, feed), store, NOW).awaitTermination()
+        q = sads.start_ad_stat(sads.clean_clicks(store, max_files_per_trigger=1), store, trigger=NOW)
+        q.awaitTermination()
+    assert [p["numInputRows"] for p in q.recentProgress] == [250]
+    batch = parse_ad_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    for name in ("ad_stat", "ad_province_count"):
+        assert len(_files(store.path("tables", name))) == 2
+    assert rows(store.sink("ad_stat").snapshot()) == rows(ads.ad_stat(batch))
