@@ -443,3 +443,22 @@ def test_stat_of_many_files_is_one_small_batch(spark, root):
     for name in ("ad_stat", "ad_province_count"):
         assert len(_files(store.path("tables", name))) == 2
     assert rows(store.sink("ad_stat").snapshot()) == rows(ads.ad_stat(batch))
+
+
+def test_top3_of_many_files_and_batches(spark, root, monkeypatch):
+    """Leaders over several clean files of a batch, each a batch of its own, equal those of all clicks; a day is a file a batch."""
+    from shoplens.runtime import session_conf
+    from shoplens.sources.adlog import parse_ad_log
+    feed, lines = _ten_files(root)
+    store = AdStreamStore(spark, root)
+    monkeypatch.setattr(sads, "CLEAN_FILE_LINES", 125)
+    with session_conf(spark, {"spark.sql.shuffle.partitions": 40}):
+        sads.start_clean_clicks(read_ad_log_stream(spark, feed), store, NOW).awaitTermination()
+        q = sads.start_ad_stat(sads.clean_clicks(store, max_files_per_trigger=1), store, trigger=NOW)
+        q.awaitTermination()
+    assert len([p for p in q.recentProgress if p["numInputRows"]]) == 2
+    segments = store.sink("ad_province_top3").manifest()["segments"]
+    for name in ("ad_province_count", "ad_province_top3"):
+        assert len(_files(store.path("tables", name))) == sum(len(s["parts"]) for s in segments)
+    batch = parse_ad_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    assert rows(store.sink("ad_province_top3").snapshot()) == rows(ads.province_top3(ads.province_count(ads.ad_stat(batch))))
