@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shoplens.llm.common import WORD, Tokens, chunks, mix64, scratch, small, stored, words
+from shoplens.llm.common import WORD, Tokens, chunks, mix64, narrow, scratch, small, stored, words
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCHES, PICK, SHARED = 16, 2, 3
@@ -341,7 +341,7 @@ def _shingles(docs: DataFrame, reps: DataFrame, buckets: DataFrame) -> DataFrame
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(rows, labels): doc_id, digest and raw of each row with words; digest and label of each text."""
-    with scratch(docs.sparkSession):
+    with scratch(docs.sparkSession), narrow(docs.sparkSession):
         rows = stored(sketches(docs), keep=True)
         reps = stored(rows.groupBy("digest").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.min("raw").alias(
             "raw")).withColumn("id", F.monotonically_increasing_id()))
